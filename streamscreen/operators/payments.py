@@ -10,8 +10,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from streamscreen import schemas
+from streamscreen.functions.once import once
 from streamscreen.functions.units import exact_sum
-from streamscreen.sources.topics import add_headers, header_map, record
+from streamscreen.sources.topics import add_headers, header, record, unique_headers
 
 RAW, APPROVED, FLAGGED, DEAD_LETTER = (
     "payments.raw", "payments.approved", "payments.flagged", "payments.dlq")
@@ -52,10 +53,8 @@ def score(payments: DataFrame, rules: Sequence[ScoreRule] | None = None) -> Data
     rules = score_rules() if rules is None else rules
     points = [F.when(r.applies(), F.lit(r.weight)).otherwise(F.lit(0)) for r in rules]
     reasons = [F.when(r.applies(), F.lit(r.reason)) for r in rules]
-    return payments.select(
-        "*",
-        reduce(lambda a, b: a + b, points).cast("int").alias("risk_score"),
-        F.array_compact(F.array(*reasons)).alias("risk_reasons"))
+    return once(payments, risk_score=reduce(lambda a, b: a + b, points).cast("int"),
+                risk_reasons=F.array_compact(F.array(*reasons)))
 
 
 def drop_zero_amounts(payments: DataFrame) -> DataFrame:
@@ -83,36 +82,32 @@ def screen(checked: DataFrame, *, rules: Sequence[ScoreRule] | None = None,
     record columns plus ``event`` and ``error``. One narrow pass, no shuffle; every input row gives
     at most one output record with ``topic``, ``key``, ``value`` and ``headers``.
     """
-    headers = header_map(F.col("headers"))
-    incoming = F.transform(F.map_entries(headers),
-                           lambda e: F.struct(e["key"].alias("key"), e["value"].alias("value")))
-    amount = F.col("event.amount")
     valid = F.col("error").isNull()
+    amount = F.col("event.amount")
     fields = [F.col(f"event.{name}").alias(name) for name in schemas.PAYMENT.fieldNames()]
-
     source = checked.where(~valid | amount.isNull() | (amount != 0)).select(
-        *fields,
-        F.struct("topic", "partition", "offset", "key").alias("_in"),
-        F.coalesce("error", F.when(F.col("event.amount").isNull(), F.lit("amount not numeric")))
-        .alias("_error"),
-        valid.alias("_valid"), headers["excel_row"].alias("_excel_row"), incoming.alias("_headers"))
-    judged = route(score(source, rules), flag_score, approved, flagged)
+        *fields, F.struct("topic", "partition", "offset", "key").alias("_in"),
+        valid.alias("_valid"), "headers",
+        F.coalesce("error", F.when(amount.isNull(), F.lit("amount not numeric"))).alias("_error"))
+    source = once(source, _headers=unique_headers(F.col("headers")))
+    judged = once(route(score(source, rules), flag_score, approved, flagged),
+                  _route=F.when(F.col("_error").isNull(), F.col("topic")).otherwise(F.lit(dead_letter)))
 
     ok = F.col("_error").isNull()
+    payment = F.struct(*schemas.PAYMENT.fieldNames())
     event = F.to_json(F.struct(*schemas.PAYMENT.fieldNames(), "risk_score", "risk_reasons"))
     letter = F.to_json(F.struct(
         F.col("_error").alias("error"), F.col("_in.topic").alias("topic"),
         F.col("_in.partition").alias("partition"), F.col("_in.offset").alias("offset"),
         _text_or_empty(F.col("_in.key")).alias("key"),
-        _text_or_empty(F.col("_excel_row")).alias("excel_row"),
-        F.when(F.col("_valid"), F.struct(*schemas.PAYMENT.fieldNames())).alias("event")))
-    out_topic = F.when(ok, F.col("topic")).otherwise(F.lit(dead_letter))
+        header(F.col("_headers"), "excel_row", "").alias("excel_row"),
+        F.when(F.col("_valid"), payment).alias("event")))
     return judged.select(
-        out_topic.alias("topic"),
+        F.col("_route").alias("topic"),
         F.when(ok, F.col("_in.key")).alias("key"),
         F.encode(F.when(ok, event).otherwise(letter), "UTF-8").alias("value"),
         F.when(ok, add_headers(F.col("_headers"), {
-            "processed_by": F.lit(processed_by), "model": F.lit("rules_v1"), "routed_to": F.col("topic"),
+            "processed_by": F.lit(processed_by), "model": F.lit("rules_v1"), "routed_to": F.col("_route"),
         })).otherwise(F.col("_headers")).alias("headers"))
 
 

@@ -20,7 +20,7 @@ def detect(transactions: DataFrame, limits: Limits = Limits()) -> DataFrame:
 
 
 def detect_stream(transactions: DataFrame, limits: Limits = Limits(), *,
-                  watermark: str = "5 seconds", state_ttl_ms: int = 3_600_000) -> DataFrame:
+                  watermark: str = "5 seconds", state_ttl_ms: int | None = 3_600_000) -> DataFrame:
     """All alerts of an unbounded stream, for one query in append mode.
 
     Per-transaction rules also see late rows; the spend window ignores rows behind the watermark and

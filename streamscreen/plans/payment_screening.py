@@ -15,7 +15,7 @@ def ingest(spark: SparkSession, path: str, sheet: str = "payments") -> tuple[Dat
     """Raw topic records of a payment file, and its rows that fail validation."""
     rows = tabular.keep_complete(tabular.read_payment_rows(spark, path))
     checked = check_rows(rows, PAYMENT_RULES)
-    good = checked.where(F.col("error").isNull()).drop("event", "errors", "error")
+    good = checked.where(F.col("error").isNull()).drop("event", "error")
     return (payments.payment_records(good, F.col("source"), F.lit(sheet), F.col("row")),
             rejected(checked))
 

@@ -353,7 +353,7 @@ def person_events(spark, sf):
 @register
 def person_rejects(spark, sf):
     _, bad = people.publish_people(_people(spark, sf))
-    return bad.select("event_id", "error", F.size("errors").cast("int").alias("problems"))
+    return bad.select("event_id", "error")
 
 
 @register
@@ -590,7 +590,7 @@ def _drained(spark: SparkSession, df: DataFrame, mode: str = "append") -> DataFr
 @register
 def streamed_fraud_alerts(spark, sf):
     txns = b.transactions(spark, sf, b.event_stream(spark, sf))
-    return _drained(spark, _without_text(card_fraud.detect_stream(txns, b.SCALED)))
+    return _drained(spark, _without_text(card_fraud.detect_stream(txns, b.SCALED, state_ttl_ms=None)))
 
 
 @register

@@ -87,12 +87,17 @@ def header(headers: Column, name: str, default: str = "?") -> Column:
     return F.coalesce(first["value"].cast("string"), F.lit(default))
 
 
+def unique_headers(headers: Column) -> Column:
+    """Headers without null keys or values; of equal keys the last one stays."""
+    kept = F.filter(headers, lambda h, i: h["key"].isNotNull() & h["value"].isNotNull() & ~F.exists(
+        F.slice(headers, i + 2, F.size(headers)),
+        lambda later: (later["key"] == h["key"]) & later["value"].isNotNull()))
+    return F.coalesce(kept, F.array().cast(schemas.HEADERS))
+
+
 def header_map(headers: Column) -> Column:
     """Headers as a map; null keys or values are left out, the last of equal keys wins."""
-    named = F.filter(headers, lambda h: h["key"].isNotNull() & h["value"].isNotNull())
-    last = F.filter(named, lambda h, i: ~F.exists(
-        F.slice(named, i + 2, F.size(named)), lambda later: later["key"] == h["key"]))
-    return F.map_from_entries(F.coalesce(last, F.array().cast(schemas.HEADERS)))
+    return F.map_from_entries(unique_headers(headers))
 
 
 def add_headers(headers: Column, extra: Mapping[str, Column]) -> Column:

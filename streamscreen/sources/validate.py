@@ -4,22 +4,23 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
+from streamscreen.functions.once import once
 from streamscreen.schemas import EventRules, Field
 
 _END = "\x03"
 
 
-def strict_json(text: Column) -> Column:
-    """``text`` as a VARIANT, or null unless all of it is one JSON document.
+def with_document(df: DataFrame, text: Column) -> DataFrame:
+    """Add ``_doc``: ``text`` as a VARIANT, or null unless all of it is one JSON document.
 
     A JSON reader stops after the first document; wrapping the text in an array with an end mark
     turns anything left over into a syntax error or a missing mark. Duplicate keys are refused.
     """
     wrapped = F.try_parse_json(F.concat(F.lit("["), text, F.lit(f',"\\u{ord(_END):04x}"]')))
-    whole = F.try_variant_get(wrapped, "$[1]", "string") == _END
-    return F.when(whole, F.try_variant_get(wrapped, "$[0]", "variant"))
+    whole = F.try_variant_get("_wrapped", "$[1]", "string") == _END
+    return once(once(df, _wrapped=wrapped),
+                _doc=F.when(whole, F.try_variant_get("_wrapped", "$[0]", "variant"))).drop("_wrapped")
 
 
 def _member(document: Column, name: str, kind: str = "variant") -> Column:
@@ -30,53 +31,65 @@ def _type_of(document: Column, name: str) -> Column:
     return F.schema_of_variant(_member(document, name))
 
 
-def _checks(document: Column, rule: Field) -> list[Column]:
-    kind = _type_of(document, rule.name)
-    number = _member(document, rule.name, "double")
-    text = _member(document, rule.name, "string")
+# How each JSON type reads in the type text of a VARIANT.
+_TYPE_TEXT = {"string": "STRING", "number": r"(BIGINT|DECIMAL\(\d+,\d+\)|DOUBLE)"}
+_TYPE_TEXT["integer"] = _TYPE_TEXT["number"]
+_READ_AS = {"string": "string", "number": "double", "integer": "double"}
+
+
+def _limits(rule: Field, value: Column) -> list[Column]:
+    """Broken limits of a value of the right type."""
     out = []
-    if rule.kind == "string":
-        typed = kind == "STRING"
-    elif rule.kind == "number":
-        typed = kind.rlike("^(BIGINT|DECIMAL|DOUBLE)")
-    else:
-        typed = kind.rlike("^(BIGINT|DECIMAL|DOUBLE)") & (number == F.floor(number))
-    out.append(F.when(kind.isNull(), F.lit(f"'{rule.name}' is a required property"))
-               .when(~typed, F.lit(f"'{rule.name}' is not of type {rule.kind}")))
+    if rule.kind == "integer":
+        out.append(F.when(value != F.floor(value), F.lit(f"'{rule.name}' is not of type integer")))
     if rule.minimum is not None:
-        out.append(F.when(typed & (number < rule.minimum),
+        out.append(F.when(value < rule.minimum,
                           F.lit(f"'{rule.name}' is less than the minimum of {rule.minimum}")))
     if rule.min_length is not None:
-        out.append(F.when(typed & (F.length(text) < rule.min_length), F.lit(f"'{rule.name}' is too short")))
+        out.append(F.when(F.length(value) < rule.min_length, F.lit(f"'{rule.name}' is too short")))
     if rule.one_of:
-        out.append(F.when(typed & ~text.isin(*rule.one_of),
+        out.append(F.when(~value.isin(*rule.one_of),
                           F.lit(f"'{rule.name}' is not one of {list(rule.one_of)}")))
     return out
 
 
+def _first_problem(doc: Column, text: Column, rules: EventRules) -> Column:
+    """The first problem of an object whose keys or types are wrong."""
+    out = []
+    for rule in rules.fields:
+        kind = _type_of(doc, rule.name)
+        typed = kind.rlike(f"^{_TYPE_TEXT[rule.kind]}$")
+        out.append(F.when(kind.isNull(), F.lit(f"'{rule.name}' is a required property"))
+                   .when(~typed, F.lit(f"'{rule.name}' is not of type {rule.kind}")))
+        value = _member(doc, rule.name, _READ_AS[rule.kind])
+        out += [F.when(typed, broken) for broken in _limits(rule, value)]
+    extra = F.array_except(F.json_object_keys(text), F.array(*[F.lit(f.name) for f in rules.fields]))
+    out.append(F.when(F.size(extra) > 0, F.concat(
+        F.lit("additional properties are not allowed: "), F.array_join(extra, ", "))))
+    return F.coalesce(*out)
+
+
 def check(df: DataFrame, text: Column, rules: EventRules) -> DataFrame:
-    """Add ``event`` (typed struct, null if invalid), ``errors`` and ``error`` (the first one, or null).
+    """Add ``event`` (typed struct, null if invalid) and ``error`` (the first problem, or null).
 
     Types are exact: a quoted number or a null is not a number, and an integer may be written ``1.0``.
+    The type text of a whole document tells at once whether its keys and types are the expected
+    ones; only documents that fail this are taken apart field by field for the message.
     """
-    names = [f.name for f in rules.fields]
-    parsed = df.withColumn("_text", text).withColumn("_doc", strict_json(F.col("_text")))
-    doc = F.col("_doc")
-    is_object = F.schema_of_variant(doc).startswith("OBJECT")
-    extra = F.array_except(F.json_object_keys(F.col("_text")), F.array(*map(F.lit, names)))
-    problems = F.array_compact(F.array(
-        *[problem for rule in rules.fields for problem in _checks(doc, rule)],
-        F.when(F.size(extra) > 0, F.concat(F.lit("additional properties are not allowed: "),
-                                           F.array_join(extra, ", ")))))
-    errors = (F.when(doc.isNull(), F.array(F.lit("not a JSON document")))
-              .when(~is_object, F.array(F.lit("not of type object"))).otherwise(problems))
-    judged = parsed.withColumn("errors", errors)
-    event = F.struct(*[
-        _member(doc, name, "double" if rules.schema[name].dataType == T.DoubleType()
-                else rules.schema[name].dataType.simpleString()).alias(name) for name in names])
-    return (judged.withColumn("error", F.get("errors", F.lit(0)))
-            .withColumn("event", F.when(F.col("error").isNull(), event))
-            .drop("_text", "_doc"))
+    fields = sorted(rules.fields, key=lambda f: f.name)
+    shape = "^OBJECT<" + ", ".join(f"{f.name}: {_TYPE_TEXT[f.kind]}" for f in fields) + ">$"
+    row_type = "struct<" + ",".join(f"{f.name}:{_READ_AS[f.kind]}" for f in rules.fields) + ">"
+    doc, whole, row = F.col("_doc"), F.col("_whole"), F.col("_row")
+    typed = once(once(with_document(df, text), _whole=F.schema_of_variant(doc)),
+                 _row=F.when(whole.rlike(shape), F.try_variant_get(doc, "$", row_type)))
+    broken = [limit for f in rules.fields for limit in _limits(f, row[f.name])]
+    judged = once(typed, error=(
+        F.when(row.isNotNull(), F.coalesce(*broken, F.lit(None).cast("string")))
+        .when(doc.isNull(), F.lit("not a JSON document"))
+        .when(~whole.startswith("OBJECT"), F.lit("not of type object"))
+        .otherwise(_first_problem(doc, text, rules))))
+    event = F.struct(*[row[f.name].cast(rules.schema[f.name].dataType).alias(f.name) for f in rules.fields])
+    return judged.select(*df.columns, F.when(F.col("error").isNull(), event).alias("event"), "error")
 
 
 def check_records(records: DataFrame, rules: EventRules) -> DataFrame:
@@ -110,36 +123,23 @@ def parse_transactions(df: DataFrame, text: Column, record_timestamp: Column | N
     only counts in the spend window.
     """
     doc = F.col("_doc")
-    parsed = df.withColumn("_doc", strict_json(F.trim(text)))
+    fields = ("transaction_id", "customer_id", "amount", "merchant", "city", "event_time", "hour")
+    record_ts = F.lit(None).cast("timestamp") if record_timestamp is None else record_timestamp
+    parsed = with_document(df.withColumn("_record_ts", record_ts), F.trim(text))
     present = F.schema_of_variant(doc).startswith("OBJECT")
     for name in REQUIRED_TRANSACTION_KEYS:
-        present = present & _type_of(doc, name).isNotNull()
-
-    def or_default(name: str, default: str) -> Column:
-        return F.when(_type_of(doc, name).isNull(), F.lit(default)).otherwise(_member(doc, name, "string"))
-
-    def whole(name: str) -> Column:
-        as_text, kind = _member(doc, name, "string"), _type_of(doc, name)
-        quoted = F.when(as_text.rlike(r"^\s*[+-]?\d+\s*$"), F.trim(as_text).try_cast("long"))
-        return F.when(kind == "STRING", quoted).otherwise(_member(doc, name, "double").try_cast("long"))
-
-    hour = F.when(_type_of(doc, "hour").isNull(), F.lit(0)).otherwise(whole("hour").cast("int"))
-    amount = F.when(_type_of(doc, "amount") == "STRING",
-                    F.trim(_member(doc, "amount", "string")).try_cast("double")) \
-        .otherwise(_member(doc, "amount", "double"))
-    event_time = F.coalesce(F.when(_type_of(doc, "event_time") == "BIGINT",
-                                   _member(doc, "event_time", "bigint")), whole("event_time"))
-    at = F.timestamp_millis(event_time)
-    if record_timestamp is not None:
-        at = F.coalesce(at, record_timestamp)
-    columns = [
-        _member(doc, "transaction_id", "string").alias("transaction_id"),
-        _member(doc, "customer_id", "string").alias("customer_id"),
-        amount.alias("amount"),
-        or_default("merchant", "").alias("merchant"), or_default("city", "").alias("city"),
-        event_time.alias("event_time"), hour.alias("hour"), at.alias("event_ts")]
-    return (parsed.where(present).select(*columns)
-            .where(F.col("customer_id").isNotNull() & F.col("amount").isNotNull())
-            .withColumn("complete", F.col("event_time").isNotNull() & F.col("hour").isNotNull()))
-
-
+        present = present & _member(doc, name).isNotNull()
+
+    def or_default(name: str, kind: str, default: object) -> Column:
+        return F.when(_member(doc, name).isNull(), F.lit(default)).otherwise(_member(doc, name, kind))
+
+    values = once(
+        parsed.where(present),
+        transaction_id=_member(doc, "transaction_id", "string"),
+        customer_id=_member(doc, "customer_id", "string"), amount=_member(doc, "amount", "double"),
+        merchant=or_default("merchant", "string", ""), city=or_default("city", "string", ""),
+        event_time=_member(doc, "event_time", "bigint"), hour=or_default("hour", "int", 0))
+    at = F.coalesce(F.timestamp_millis(F.col("event_time")), F.col("_record_ts"))
+    return (values.where(F.col("customer_id").isNotNull() & F.col("amount").isNotNull())
+            .select(*fields, at.alias("event_ts"),
+                    (F.col("event_time").isNotNull() & F.col("hour").isNotNull()).alias("complete")))

@@ -20,6 +20,10 @@ _AMOUNT = T.StructType([T.StructField("amount", T.DoubleType())])
 _LAST = T.StructType([T.StructField("ts", T.LongType())])
 
 
+def _time_mode(ttl_ms: int | None) -> str:
+    return "none" if ttl_ms is None else "processingTime"
+
+
 def _rows_of(batches: Iterator[pd.DataFrame], order: list[str]) -> pd.DataFrame:
     frames = [b for b in batches if len(b)]
     rows = pd.concat(frames, ignore_index=True) if len(frames) > 1 else frames[0]
@@ -70,7 +74,8 @@ def with_streaming_history(transactions: DataFrame, window_ms: int, ttl_ms: int
                            tie: tuple[str, ...] = ("transaction_id",)) -> DataFrame:
     """Streaming form of :func:`streamscreen.operators.rules.with_history`.
 
-    Processing-time mode: late rows are kept, and state may expire.
+    Late rows are kept. State that may expire needs processing time, in which Spark keeps starting
+    micro-batches; pass ``ttl_ms=None`` for a query that is to end when its input is used up.
     """
     columns = [c for c in ("transaction_id", "customer_id", "amount", "city", "event_time", "hour")
                if c in transactions.columns]
@@ -79,7 +84,7 @@ def with_streaming_history(transactions: DataFrame, window_ms: int, ttl_ms: int
                            T.StructField("recent_count", T.LongType()),
                            T.StructField("previous_amount", T.DoubleType())])
     return source.groupBy(key).transformWithStateInPandas(
-        TransactionHistory(window_ms, ttl_ms, time, tie), schema, "append", "processingTime")
+        TransactionHistory(window_ms, ttl_ms, time, tie), schema, "append", _time_mode(ttl_ms))
 
 
 class CoolOff(StatefulProcessor):
@@ -113,7 +118,7 @@ def cool_off_stream(alerts: DataFrame, *, key: str = "customer_id", time: str =
                     ttl_ms: int | None = None) -> DataFrame:
     """Streaming form of :func:`streamscreen.operators.rules.cool_off`."""
     return alerts.groupBy(key).transformWithStateInPandas(
-        CoolOff(quiet_ms, time, tie, ttl_ms), alerts.schema, "append", "processingTime")
+        CoolOff(quiet_ms, time, tie, ttl_ms), alerts.schema, "append", _time_mode(ttl_ms))
 
 
 class BucketTotals(StatefulProcessor):
@@ -155,4 +160,4 @@ def bucket_totals(transactions: DataFrame, *, key: str = "customer_id", time: st
     return transactions.select(key, time, "amount").groupBy(key).transformWithStateInPandas(
         BucketTotals(bucket_ms, time, ttl_ms),
         "key string, bucket_ms long, bucket_count long, running_amount double",
-        "update", "processingTime")
+        "update", _time_mode(ttl_ms))
