@@ -219,12 +219,10 @@ def payment_validation(spark, sf):
 @register
 def payment_screening_records(spark, sf):
     out = payment_screening.screen_records(b.payment_records(spark, sf))
-    value = F.col("value").cast("string")
-    return out.select(
+    body = "event_id string, offset string, risk_score int, error string"
+    return out.withColumn("_body", F.from_json(F.col("value").cast("string"), body)).select(
         "topic", F.col("key").cast("string").alias("key"),
-        F.coalesce(F.get_json_object(value, "$.event_id"), F.get_json_object(value, "$.offset")).alias("id"),
-        F.get_json_object(value, "$.risk_score").cast("int").alias("risk_score"),
-        F.get_json_object(value, "$.error").alias("error"),
+        F.coalesce("_body.event_id", "_body.offset").alias("id"), "_body.risk_score", "_body.error",
         topics.header(F.col("headers"), "excel_row").alias("excel_row"),
         topics.header(F.col("headers"), "routed_to").alias("routed_to"))
 

@@ -8,23 +8,26 @@ from pyspark.sql import functions as F
 from streamscreen.functions.once import once
 from streamscreen.schemas import EventRules, Field
 
-_END = "\x03"
+_END = "end"
 
 
 def with_document(df: DataFrame, text: Column) -> DataFrame:
-    """Add ``_doc``: ``text`` as a VARIANT, or null unless all of it is one JSON document.
+    """Add ``_doc``, a VARIANT holding the JSON document of ``text`` as ``$.doc``, and ``_whole``, its
+    type text; both are null or lack the end mark unless all of ``text`` is one JSON document.
 
-    A JSON reader stops after the first document; wrapping the text in an array with an end mark
-    turns anything left over into a syntax error or a missing mark. Duplicate keys are refused.
+    A JSON reader stops after the first document. Wrapped in an object with an end mark, anything
+    left over is a syntax error or hides the mark. Duplicate keys are refused.
     """
-    wrapped = F.try_parse_json(F.concat(F.lit("["), text, F.lit(f',"\\u{ord(_END):04x}"]')))
-    whole = F.try_variant_get("_wrapped", "$[1]", "string") == _END
-    return once(once(df, _wrapped=wrapped),
-                _doc=F.when(whole, F.try_variant_get("_wrapped", "$[0]", "variant"))).drop("_wrapped")
+    wrapped = F.concat(F.lit('{"doc":'), text, F.lit(f',"end":"{_END}"}}'))
+    return once(once(df, _doc=F.try_parse_json(wrapped)), _whole=F.schema_of_variant("_doc"))
+
+
+def _is_object() -> Column:
+    return F.col("_whole").rlike("^OBJECT<doc: OBJECT<.*>, end: STRING>$")
 
 
 def _member(document: Column, name: str, kind: str = "variant") -> Column:
-    return F.try_variant_get(document, f"$.{name}", kind)
+    return F.try_variant_get(document, f"$.doc.{name}", kind)
 
 
 def _type_of(document: Column, name: str) -> Column:
@@ -77,16 +80,17 @@ def check(df: DataFrame, text: Column, rules: EventRules) -> DataFrame:
     ones; only documents that fail this are taken apart field by field for the message.
     """
     fields = sorted(rules.fields, key=lambda f: f.name)
-    shape = "^OBJECT<" + ", ".join(f"{f.name}: {_TYPE_TEXT[f.kind]}" for f in fields) + ">$"
+    shape = ("^OBJECT<doc: OBJECT<" + ", ".join(f"{f.name}: {_TYPE_TEXT[f.kind]}" for f in fields)
+             + ">, end: STRING>$")
     row_type = "struct<" + ",".join(f"{f.name}:{_READ_AS[f.kind]}" for f in rules.fields) + ">"
     doc, whole, row = F.col("_doc"), F.col("_whole"), F.col("_row")
-    typed = once(once(with_document(df, text), _whole=F.schema_of_variant(doc)),
-                 _row=F.when(whole.rlike(shape), F.try_variant_get(doc, "$", row_type)))
+    typed = once(with_document(df, text),
+                 _row=F.when(whole.rlike(shape), F.try_variant_get(doc, "$.doc", row_type)))
     broken = [limit for f in rules.fields for limit in _limits(f, row[f.name])]
     judged = once(typed, error=(
         F.when(row.isNotNull(), F.coalesce(*broken, F.lit(None).cast("string")))
-        .when(doc.isNull(), F.lit("not a JSON document"))
-        .when(~whole.startswith("OBJECT"), F.lit("not of type object"))
+        .when(whole.isNull() | ~whole.endswith(", end: STRING>"), F.lit("not a JSON document"))
+        .when(~_is_object(), F.lit("not of type object"))
         .otherwise(_first_problem(doc, text, rules))))
     event = F.struct(*[row[f.name].cast(rules.schema[f.name].dataType).alias(f.name) for f in rules.fields])
     return judged.select(*df.columns, F.when(F.col("error").isNull(), event).alias("event"), "error")
@@ -126,7 +130,7 @@ def parse_transactions(df: DataFrame, text: Column, record_timestamp: Column | N
     fields = ("transaction_id", "customer_id", "amount", "merchant", "city", "event_time", "hour")
     record_ts = F.lit(None).cast("timestamp") if record_timestamp is None else record_timestamp
     parsed = with_document(df.withColumn("_record_ts", record_ts), F.trim(text))
-    present = F.schema_of_variant(doc).startswith("OBJECT")
+    present = _is_object()
     for name in REQUIRED_TRANSACTION_KEYS:
         present = present & _member(doc, name).isNotNull()
 
