@@ -91,7 +91,7 @@ def unique_headers(headers: Column) -> Column:
     """Headers without null keys or values; of equal keys the last one stays."""
     kept = F.filter(headers, lambda h, i: h["key"].isNotNull() & h["value"].isNotNull() & ~F.exists(
         F.slice(headers, i + 2, F.size(headers)),
-        lambda later: (later["key"] == h["key"]) & later["value"].isNotNull()))
+        lambda later: later["key"].eqNullSafe(h["key"]) & later["value"].isNotNull()))
     return F.coalesce(kept, F.array().cast(schemas.HEADERS))
 
 
