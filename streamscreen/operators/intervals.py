@@ -50,26 +50,24 @@ def interval_join(left: DataFrame, right: DataFrame, on: Sequence[tuple[str, str
     """Inner join where the keys are equal and
     ``right_time - before_ms <= left_time <= right_time + after_ms``, both ends included.
 
-    Streaming inputs must carry watermarks; Spark then bounds the join state by the interval.
-    In batch the interval also becomes an equality on time buckets, each right row standing in at
-    most two of them, so a key holding many rows is spread over its buckets and only rows close in
-    time meet.
+    The interval also becomes an equality on time buckets, each right row standing in at most two
+    of them, so a key holding many rows is spread over its buckets and only rows close in time meet.
+    Streaming inputs must carry watermarks; Spark then bounds the join state by the interval, and
+    the state of a key is spread over its buckets too.
     """
-    keys_equal = reduce(lambda a, b: a & b, (left[l] == right[r] for l, r in on))
-    if left.isStreaming or right.isStreaming:
-        before, after = _interval(before_ms), _interval(after_ms)
-        return left.join(right, keys_equal & (left[left_time] >= right[right_time] - before)
-                         & (left[left_time] <= right[right_time] + after), "inner")
     width = before_ms + after_ms + 1
-    lhs = (left.withColumn("_l_ms", epoch_ms(left, left_time))
-           .withColumn("_l_bucket", _bucket(F.col("_l_ms"), width)))
+    lhs = left.withColumn("_l_ms", epoch_ms(left, left_time)).withColumn(
+        "_l_bucket", _bucket(F.col("_l_ms"), width))
     rhs = right.withColumn("_r_ms", epoch_ms(right, right_time))
     rhs = rhs.withColumn("_r_bucket", F.explode(F.sequence(
         _bucket(F.col("_r_ms") - before_ms, width), _bucket(F.col("_r_ms") + after_ms, width))))
+    close = F.col("_l_ms").between(F.col("_r_ms") - before_ms, F.col("_r_ms") + after_ms)
+    if left.isStreaming or right.isStreaming:
+        # Written on the watermarked columns, from which Spark derives when state may go.
+        close = ((lhs[left_time] >= rhs[right_time] - _interval(before_ms))
+                 & (lhs[left_time] <= rhs[right_time] + _interval(after_ms)))
     keys_equal = reduce(lambda a, b: a & b, (lhs[l] == rhs[r] for l, r in on))
-    return (lhs.join(rhs, keys_equal & (F.col("_l_bucket") == F.col("_r_bucket"))
-                     & F.col("_l_ms").between(F.col("_r_ms") - before_ms, F.col("_r_ms") + after_ms),
-                     "inner")
+    return (lhs.join(rhs, keys_equal & (F.col("_l_bucket") == F.col("_r_bucket")) & close, "inner")
             .drop("_l_ms", "_l_bucket", "_r_ms", "_r_bucket"))
 
 

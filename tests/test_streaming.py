@@ -190,7 +190,8 @@ def env(tmp_path_factory):
                          "at": stamp(part * 600 + i * 50)} for i, c in enumerate(("Rome", "Oslo", "Rome"))])
     sensors.add({"sensor_id": "end", "location": "End", "at": stamp(80_000)})
     sensors.add({"sensor_id": "end", "location": "End", "at": stamp(80_001)})
-    forecasts.add({"city": "End", "temperature_f": 1, "at": stamp(90_000)})
+    forecasts.add({"city": "End", "temperature_f": 1, "at": stamp(80_000)})
+    forecasts.add({"city": "End", "temperature_f": 1, "at": stamp(80_001)})
     return sensors, forecasts
 
 
