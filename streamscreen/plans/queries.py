@@ -492,13 +492,13 @@ def unit_round_trip(spark, sf):
 @register
 def five_minute_readings(spark, sf):
     return windows.windowed_readings(b.sensors(spark, sf), "event_ts").withColumn(
-        "avg_temp", F.round("avg_temp", 4))
+        "avg_temp", F.round("avg_temp", 6))
 
 
 @register
 def hopping_forecasts(spark, sf):
     return windows.hopping_forecast(b.weather(spark, sf), "event_ts").withColumn(
-        "avg_forecast_temp", F.round("avg_forecast_temp", 4))
+        "avg_forecast_temp", F.round("avg_forecast_temp", 6))
 
 
 @register
@@ -514,8 +514,8 @@ def city_sessions(spark, sf):
 @register
 def hourly_city_averages(spark, sf):
     return windows.hourly_averages(b.sensors(spark, sf), "event_ts").select(
-        "location", "window_start", "reading_count", F.round("avg_temp", 4).alias("avg_temp"),
-        F.round("avg_humidity", 4).alias("avg_humidity"))
+        "location", "window_start", "reading_count", F.round("avg_temp", 6).alias("avg_temp"),
+        F.round("avg_humidity", 6).alias("avg_humidity"))
 
 
 @register
