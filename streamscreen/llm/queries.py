@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from streamscreen.llm import chat, decontaminate, token_counts
+from streamscreen.llm import chat, decontaminate, pii, token_counts
 from streamscreen.llm.common import table
 
 REGISTRY = {}
@@ -16,6 +16,15 @@ def register(query):
     return query
 
 
+@register
+def op1_pii(spark, sf):
+    found = pii.find(table(spark, sf, "documents"))
+    counts = [F.size(F.filter("base", lambda s, k=k: s["rank"] == k)).cast("long").alias(f"n_{kind}")
+              for k, kind in enumerate(pii.KINDS)]
+    return found.select("doc_id", *counts, F.sha2(pii.joined(F.col("base")), 256).alias("base_sha256"),
+                        pii.joined(F.col("spans")).alias("spans"))
+
+
 @register
 def op4_chat_formatting(spark, sf):
     """All conversations, and one that says control strings; everything is read back from the output."""
