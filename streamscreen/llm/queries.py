@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from streamscreen.llm import chat, decontaminate, pii, token_counts
+from streamscreen.llm import chat, decontaminate, fingerprints, pii, token_counts
 from streamscreen.llm.common import table
 
 REGISTRY = {}
@@ -97,6 +97,20 @@ FROM doc_words LEFT JOIN covered USING (doc_id) LEFT JOIN items USING (doc_id)
 """
 
 
+@register
+def op8_document_fingerprints(spark, sf):
+    rows = fingerprints.edited(table(spark, sf, "documents"))
+    marked = rows.select(
+        "doc_id", F.length("text").cast("long").alias("n_chars"), F.sha2("edited_text", 256).alias("edited_sha256"),
+        fingerprints.fingerprint(F.col("text")).alias("_own"), fingerprints.fingerprint(F.col("edited_text")).alias("_edited"),
+        fingerprints.fingerprint(F.col("next_text")).alias("_next"))
+    return marked.select(
+        "doc_id", "n_chars", "edited_sha256", fingerprints.as_text(F.col("_own")).alias("fingerprint"),
+        fingerprints.as_text(F.col("_edited")).alias("edited_fingerprint"),
+        fingerprints.likeness(F.col("_own"), F.col("_edited")).alias("near_edited"),
+        fingerprints.likeness(F.col("_own"), F.col("_next")).alias("near_next"))
+
+
 @register
 def op10_token_counts(spark, sf):
     return token_counts.token_totals(table(spark, sf, "documents"))
