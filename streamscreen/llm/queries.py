@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from streamscreen.llm import chat, decontaminate, fingerprints, pii, token_counts
-from streamscreen.llm.common import table
+from streamscreen.llm import chat, decontaminate, fingerprints, language, pii, token_counts
+from streamscreen.llm.common import remainder, table
 
 REGISTRY = {}
 ORACLE: dict[str, str] = {}
@@ -97,6 +97,14 @@ FROM doc_words LEFT JOIN covered USING (doc_id) LEFT JOIN items USING (doc_id)
 """
 
 
+@register
+def op7_language_id(spark, sf):
+    docs = table(spark, sf, "documents").withColumn("held_out", remainder(F.col("doc_id"), 4) == 2)
+    model = language.fit(language.training_passages(docs.where(~F.col("held_out")).select("doc_id", "text", "lang")))
+    return language.predict(docs.select("doc_id", "text", "held_out"), model).select(
+        "doc_id", "held_out", "lang_pred", "score")
+
+
 @register
 def op8_document_fingerprints(spark, sf):
     rows = fingerprints.edited(table(spark, sf, "documents"))
