@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from streamscreen.llm import chat, decontaminate, fingerprints, language, pii, token_counts
+from streamscreen.llm import chat, decontaminate, fingerprints, language, pii, token_counts, toxicity
 from streamscreen.llm.common import remainder, table
 
 REGISTRY = {}
@@ -19,8 +19,11 @@ def register(query):
 @register
 def op1_pii(spark, sf):
     found = pii.find(table(spark, sf, "documents"))
-    counts = [F.size(F.filter("base", lambda s, k=k: s["rank"] == k)).cast("long").alias(f"n_{kind}")
-              for k, kind in enumerate(pii.KINDS)]
+
+    def count(rank, kind):
+        return F.size(F.filter("base", lambda s: s["rank"] == rank)).cast("long").alias(f"n_{kind}")
+
+    counts = [count(k, kind) for k, kind in enumerate(pii.KINDS)]
     return found.select("doc_id", *counts, F.sha2(pii.joined(F.col("base")), 256).alias("base_sha256"),
                         pii.joined(F.col("spans")).alias("spans"))
 
@@ -97,6 +100,21 @@ FROM doc_words LEFT JOIN covered USING (doc_id) LEFT JOIN items USING (doc_id)
 """
 
 
+def _labelled(docs, spark, sf, label):
+    """doc_id, text and label of the rows that may be learned from: not held out."""
+    labels = table(spark, sf, "labels").select("doc_id", label).where(F.col(label).isNotNull())
+    return docs.where(~F.col("held_out")).select("doc_id", "text").join(labels, "doc_id")
+
+
+@register
+def op6_toxicity(spark, sf):
+    docs = table(spark, sf, "documents").select("doc_id", "text", (remainder(F.col("doc_id"), 5) == 0).alias("held_out"))
+    model = toxicity.fit(_labelled(docs, spark, sf, "toxic"))
+    scored = toxicity.score(docs, model)
+    return scored.select("doc_id", "held_out", "score", F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted"),
+                         F.size("passages").cast("long").alias("n_passages"))
+
+
 @register
 def op7_language_id(spark, sf):
     docs = table(spark, sf, "documents").withColumn("held_out", remainder(F.col("doc_id"), 4) == 2)
