@@ -35,3 +35,15 @@ def join_counted(left: DataFrame, right: DataFrame, on: Column, how: str, max_ro
     if right.limit(max_rows + 1).count() <= max_rows:
         right = F.broadcast(right)
     return left.join(right, on, how)
+
+
+def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, max_rows: int) -> DataFrame:
+    """doc_id, text and ``label`` of at most about ``max_rows`` labelled documents, chosen by a hash of doc_id.
+
+    The labels are sampled before they meet the texts, so the texts are filtered where they are read. A document with
+    several labels gets the largest.
+    """
+    known = labels.where(F.col(label).isNotNull() & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.max(label).alias(label))
+    chosen = bounded_sample(known, "doc_id", max_rows).withColumnRenamed("doc_id", "_label_id")
+    return join_counted(docs.select("doc_id", "text"), chosen, F.col("doc_id") == F.col("_label_id"), "inner",
+                        ).drop("_label_id")

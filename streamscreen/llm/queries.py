@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from streamscreen.llm import chat, decontaminate, fingerprints, language, pii, token_counts, toxicity
+from streamscreen.llm import chat, decontaminate, fingerprints, language, pii, quality_rules, token_counts, toxicity
 from streamscreen.llm.common import remainder, table
 
 REGISTRY = {}
@@ -28,6 +28,20 @@ def op1_pii(spark, sf):
                         pii.joined(F.col("spans")).alias("spans"))
 
 
+def _may_learn(spark, sf, label):
+    """doc_id and label of the rows that may be learned from."""
+    return table(spark, sf, "labels").select("doc_id", label).where(remainder(F.col("doc_id"), 5) != 0)
+
+
+@register
+def op2_quality_rules(spark, sf):
+    docs = table(spark, sf, "documents").select("doc_id", "text", (remainder(F.col("doc_id"), 5) == 0).alias("held_out"))
+    model = quality_rules.fit(docs, _may_learn(spark, sf, "quality"))
+    return quality_rules.score(docs, model, ["doc_id", "held_out"]).select(
+        "doc_id", "held_out", "score",
+        F.when(F.col("score") >= quality_rules.THRESHOLD, 1).otherwise(0).alias("predicted"))
+
+
 @register
 def op4_chat_formatting(spark, sf):
     """All conversations, and one that says control strings; everything is read back from the output."""
@@ -100,16 +114,10 @@ FROM doc_words LEFT JOIN covered USING (doc_id) LEFT JOIN items USING (doc_id)
 """
 
 
-def _labelled(docs, spark, sf, label):
-    """doc_id, text and label of the rows that may be learned from: not held out."""
-    labels = table(spark, sf, "labels").select("doc_id", label).where(F.col(label).isNotNull())
-    return docs.where(~F.col("held_out")).select("doc_id", "text").join(labels, "doc_id")
-
-
 @register
 def op6_toxicity(spark, sf):
     docs = table(spark, sf, "documents").select("doc_id", "text", (remainder(F.col("doc_id"), 5) == 0).alias("held_out"))
-    model = toxicity.fit(_labelled(docs, spark, sf, "toxic"))
+    model = toxicity.fit(docs, _may_learn(spark, sf, "toxic"))
     scored = toxicity.score(docs, model)
     return scored.select("doc_id", "held_out", "score", F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted"),
                          F.size("passages").cast("long").alias("n_passages"))

@@ -32,7 +32,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from streamscreen.llm.common import bounded_sample
+from streamscreen.llm.common import labelled_sample
+from streamscreen.session import durable
 
 MAX_ROWS = 24_000
 BEGINNINGS = (4, 5, 6)
@@ -218,10 +219,11 @@ def _curve(evidence: np.ndarray, toxic: np.ndarray) -> tuple[float, float]:
     return float(w[0]), float(w[1])
 
 
-def fit(labelled: DataFrame, max_rows: int = MAX_ROWS) -> Model:
-    """A model of (doc_id, text, toxic) rows."""
-    usable = labelled.where(F.col("toxic").isNotNull() & F.col("text").isNotNull()).select("doc_id", "text", "toxic")
-    sample = bounded_sample(usable, "doc_id", max_rows)
+def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", max_rows: int = MAX_ROWS) -> Model:
+    """A model of documents (doc_id, text) and their labels (doc_id, ``label`` 0 or 1)."""
+    rows = labelled_sample(docs, labels, label, max_rows).where(F.col("text").isNotNull())
+    # Three passes read the sample.
+    sample = durable(rows.select("doc_id", "text", (F.col(label) > 0).cast("int").alias("toxic")), "toxic-sample")
     half = F.pmod(F.xxhash64("doc_id", F.lit(7)), F.lit(2))
     beginnings, words = lexicon(sample.where(half == 0))
     model = Model(beginnings, words)
@@ -247,7 +249,7 @@ def fit(labelled: DataFrame, max_rows: int = MAX_ROWS) -> Model:
     spread = (lengths * np.exp(-model.decay * np.array([r["best"] for r in calm]))).sum()
     model.k = len(calm) / max(spread, 1.0)
 
-    shared = labelled.sparkSession.sparkContext.broadcast(model)
+    shared = docs.sparkSession.sparkContext.broadcast(model)
 
     @F.pandas_udf("double")
     def evidence(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
