@@ -1,10 +1,59 @@
-"""Documents to tokens."""
+"""From documents to token ids, in stages that each read what the one before wrote.
+
+Every stage takes (spark, docs, sf_dir) and returns a DataFrame; all but the last return the columns of documents. Rules,
+n-gram sets, windows and identifiers are those of the stage's own input, all of it.
+"""
 
 from __future__ import annotations
 
-STAGES = []
+from pyspark.sql import DataFrame, SparkSession
+
+from streamscreen.llm import decontaminate, near_duplicates, pieces, pii, quality_rules
+from streamscreen.llm.common import table
+from streamscreen.llm.queries import may_learn
+from streamscreen.session import durable
+
+
+def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the rule ensemble, learned from the labelled ones, does not reject."""
+    return quality_rules.keep_good(docs, quality_rules.fit(docs, may_learn(spark, sf_dir, "quality")))
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates."""
+    return near_duplicates.deduplicate(docs)
+
+
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a benchmark window."""
+    return decontaminate.clean(docs, table(spark, sf_dir, "benchmark"))
+
+
+def redact_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Personal data replaced by its kind."""
+    return pii.redact(docs)
+
+
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """doc_id, lang, source and the pieces of each text."""
+    return pieces.encode(docs.select("doc_id", "lang", "source", "text")).select(
+        "doc_id", "lang", "source", "n_pieces", "ids", "restored")
+
+
+STAGES = [
+    ("quality classifier", keep_good),
+    ("n-gram Jaccard join", drop_near_duplicates),
+    ("benchmark decontamination", drop_contaminated),
+    ("PII", redact_personal_data),
+    ("SentencePiece encoding", encode),
+]
+
+#: SQL can express neither the trained classifier nor the piece search; tests compare run() with brute force.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    for number, (_, stage) in enumerate(STAGES):
+        docs = durable(stage(spark, docs, sf_dir), f"pipeline-{number}")
+    return docs

@@ -4,7 +4,18 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from streamscreen.llm import chat, decontaminate, fingerprints, language, pii, quality_rules, token_counts, toxicity
+from streamscreen.llm import (
+    chat,
+    decontaminate,
+    fingerprints,
+    language,
+    near_duplicates,
+    pieces,
+    pii,
+    quality_rules,
+    token_counts,
+    toxicity,
+)
 from streamscreen.llm.common import remainder, table
 
 REGISTRY = {}
@@ -28,7 +39,7 @@ def op1_pii(spark, sf):
                         pii.joined(F.col("spans")).alias("spans"))
 
 
-def _may_learn(spark, sf, label):
+def may_learn(spark, sf, label):
     """doc_id and label of the rows that may be learned from."""
     return table(spark, sf, "labels").select("doc_id", label).where(remainder(F.col("doc_id"), 5) != 0)
 
@@ -36,12 +47,18 @@ def _may_learn(spark, sf, label):
 @register
 def op2_quality_rules(spark, sf):
     docs = table(spark, sf, "documents").select("doc_id", "text", (remainder(F.col("doc_id"), 5) == 0).alias("held_out"))
-    model = quality_rules.fit(docs, _may_learn(spark, sf, "quality"))
+    model = quality_rules.fit(docs, may_learn(spark, sf, "quality"))
     return quality_rules.score(docs, model, ["doc_id", "held_out"]).select(
         "doc_id", "held_out", "score",
         F.when(F.col("score") >= quality_rules.THRESHOLD, 1).otherwise(0).alias("predicted"))
 
 
+@register
+def op3_sentence_pieces(spark, sf):
+    return pieces.encode(table(spark, sf, "documents").select("doc_id", "text")).select(
+        "doc_id", "n_pieces", "ids", "restored")
+
+
 @register
 def op4_chat_formatting(spark, sf):
     """All conversations, and one that says control strings; everything is read back from the output."""
@@ -117,7 +134,7 @@ FROM doc_words LEFT JOIN covered USING (doc_id) LEFT JOIN items USING (doc_id)
 @register
 def op6_toxicity(spark, sf):
     docs = table(spark, sf, "documents").select("doc_id", "text", (remainder(F.col("doc_id"), 5) == 0).alias("held_out"))
-    model = toxicity.fit(docs, _may_learn(spark, sf, "toxic"))
+    model = toxicity.fit(docs, may_learn(spark, sf, "toxic"))
     scored = toxicity.score(docs, model)
     return scored.select("doc_id", "held_out", "score", F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted"),
                          F.size("passages").cast("long").alias("n_passages"))
@@ -145,6 +162,11 @@ def op8_document_fingerprints(spark, sf):
         fingerprints.likeness(F.col("_own"), F.col("_next")).alias("near_next"))
 
 
+@register
+def op9_near_duplicates(spark, sf):
+    return near_duplicates.near_duplicates(table(spark, sf, "documents").select("doc_id", "text"))
+
+
 @register
 def op10_token_counts(spark, sf):
     return token_counts.token_totals(table(spark, sf, "documents"))
