@@ -36,7 +36,7 @@ ROWS_A_RANGE = 4000
 
 def pieces(text: Column) -> Column:
     cut = F.regexp_extract_all(text, F.lit(rf"[^.!?\n]{{1,{MAX_PIECE}}}+[.!?]*+"), F.lit(0))
-    return F.filter(F.transform(cut, F.trim), lambda p: p != "")
+    return F.filter(F.transform(cut, lambda p: F.trim(p)), lambda p: p != "")
 
 
 def _summed(keys: Column) -> Column:
