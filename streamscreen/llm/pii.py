@@ -202,19 +202,19 @@ def _added(scanned: DataFrame, rounds: int) -> DataFrame:
                    .withColumnsRenamed({"doc_id": "_id", "_row": "_key"}), "pii-added")
 
 
-def _same_row() -> Column:
-    return F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_row") == F.col("_key"))
+def _same_row(row: str) -> Column:
+    return F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col(row) == F.col("_key"))
 
 
-def _all_spans() -> Column:
-    return F.array_sort(F.array_union(F.col("base"), F.coalesce(F.col("_added"), F.array().cast(NO_SPANS))))
+def _all_spans(base: str) -> Column:
+    return F.array_sort(F.array_union(F.col(base), F.coalesce(F.col("_added"), F.array().cast(NO_SPANS))))
 
 
 def find(docs: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     """doc_id, base and spans (base and added), each an array of (start, rank, end) sorted by start and kind."""
     scanned = scan(docs)
-    return join_counted(scanned.drop("tokens"), _added(scanned, rounds), _same_row(), "left").select(
-        "doc_id", "base", _all_spans().alias("spans"))
+    return join_counted(scanned.drop("tokens"), _added(scanned, rounds), _same_row("_row"), "left").select(
+        "doc_id", "base", _all_spans("base").alias("spans"))
 
 
 def joined(spans: Column) -> Column:
@@ -228,8 +228,8 @@ def redact(docs: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     """``docs`` with every span replaced by its kind in brackets; n_chars, if there is one, follows the text."""
     added = _added(scan(docs), rounds)
     rows = docs.withColumn("_text", F.coalesce("text", F.lit(""))).withColumn(
-        "_row", _row_key(F.col("_text"), F.col("doc_id"))).withColumn("base", base_spans(F.col("_text")))
-    spans = join_counted(rows, added, _same_row(), "left").withColumn("_spans", _all_spans())
+        "_row", _row_key(F.col("_text"), F.col("doc_id"))).withColumn("_base", base_spans(F.col("_text")))
+    spans = join_counted(rows, added, _same_row("_row"), "left").withColumn("_spans", _all_spans("_base"))
     names = F.array(*[F.lit(f"[{k.upper()}]") for k in KINDS])
     begin = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out"))
 

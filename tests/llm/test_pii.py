@@ -1,0 +1,80 @@
+import re
+
+import pytest
+
+from streamscreen.llm import pii
+
+#: The plain forms, with every check: what base spans must be.
+PLAIN = {
+    "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
+    "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
+    "card": r"[0-9]([\x20-]?[0-9])+",
+    "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
+}
+
+
+def luhn(digits):
+    total = 0
+    for i, c in enumerate(reversed(digits)):
+        n = int(c) * (2 if i % 2 else 1)
+        total += n - 9 if n > 9 else n
+    return total % 10 == 0
+
+
+def brute(text):
+    found = []
+    for rank, (kind, pattern) in enumerate(PLAIN.items()):
+        for m in re.finditer(pattern, text or ""):
+            digits = re.sub("[^0-9]", "", m[0])
+            good = {"email": True, "ip": kind == "ip" and all(int(p) <= 255 for p in m[0].split(".")),
+                    "card": 12 <= len(digits) <= 19 and luhn(digits), "phone": 9 <= len(digits) <= 15}[kind]
+            if good:
+                found.append((m.start(), rank, m.end()))
+    return sorted(found)
+
+
+TEXTS = [
+    None, "", "no data", "a@b.c+d@e.f. x..y@z-.q-.-r", "@a.b a@b a@.c a@b..c", "1.2.3.4.5.6.7.8 256.1.1.1 0255.000.1.1 1.2.3.4",
+    "+1 (269) 555-3296, +12 +1 2 +49 30 1234567 8 +1-2-3-4-5-6-7-8-9-(", "4111 1111 1111 1111 4111-1111-1111-1112 4111111111111111",
+    "é😀 4111 1111 1111 1111 ü a@b.de", "9" * 5000 + " " + "1 " * 5000 + "x@" * 3000, "a" * 200_000 + "@b.cd", "." * 3000 + "7.7.7.7",
+    "a@b.de a@b.de a@b.de", "+" * 50 + "1" * 20 + " 0" * 6,
+]
+
+
+def table(spark, texts):
+    data = [(i, t, "x", 1) for i, t in enumerate(texts)]
+    return spark.createDataFrame(data, "doc_id long, text string, base string, start int")
+
+
+def test_base_spans_match_the_plain_forms(spark):
+    for r in pii.find(table(spark, TEXTS)).collect():
+        want = brute(TEXTS[r["doc_id"]])
+        assert [tuple(s) for s in r["base"]] == want, r["doc_id"]
+        assert set(want) <= {tuple(s) for s in r["spans"]}
+
+
+def test_contexts_find_unseen_identifiers(spark):
+    seeds = [f"my phone is +49 30 12345{i:02d} thanks" for i in range(20)]
+    numbers = [f"my count is {i}001 items" for i in range(20)]
+    texts = [*seeds, *numbers, "my phone is 030-1234-567 thanks", "my phone is nothing thanks", "it was 030-1234-567 there"]
+    got = {r["doc_id"]: (r["base"], r["spans"]) for r in pii.find(table(spark, texts)).collect()}
+    assert all(len(got[i][0]) == 1 == len(got[i][1]) for i in range(20))
+    assert all(got[i] == ([], []) for i in range(20, 40))
+    assert [tuple(s) for s in got[40][1]] == [(12, 3, 24)] and got[40][0] == []
+    assert got[41][1] == got[42][1] == []
+
+
+def test_redaction_keeps_columns_and_other_text(spark):
+    docs = spark.createDataFrame(
+        [(1, "é a@b.de, +1 (269) 555-3296 end", "x", 9), (2, None, None, None), (3, "plain", "y", 5), (3, "plain", "y", 5), (None, "1.1.1.1", "z", 7)],
+        "doc_id long, text string, base string, n_chars long")
+    got = pii.redact(docs)
+    assert got.columns == docs.columns
+    assert sorted(map(tuple, got.collect()), key=repr) == sorted([
+        (1, "é [EMAIL], [PHONE] end", "x", 22), (2, None, None, None), (3, "plain", "y", 5), (3, "plain", "y", 5),
+        (None, "[IP]", "z", 4)], key=repr)
+
+
+@pytest.mark.parametrize("texts", [[]])
+def test_empty_table(spark, texts):
+    assert pii.find(table(spark, texts)).collect() == []
