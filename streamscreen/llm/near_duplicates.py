@@ -245,7 +245,8 @@ def near_duplicates(docs: DataFrame, n: int = N, threshold: float = THRESHOLD, r
         counts.join(roots, "node", "left"), F.col("representative") == F.col("node"), "left").select(
         F.col("set_key").alias("_key"), "representative", F.coalesce("root", "representative").alias("class_id"),
         (F.col("copies") - 1 + F.coalesce("linked_docs", F.lit(0))).alias("n_links")), "near-result")
-    return scanned.select("doc_id", "set_key").join(final, F.col("set_key") == F.col("_key"), "left").select(
+    named = (F.col("set_key") == F.col("_key")) & F.col("doc_id").isNotNull()
+    return scanned.select("doc_id", "set_key").join(final, named, "left").select(
         "doc_id", F.coalesce("class_id", "doc_id").alias("class_id"),
         F.coalesce("representative", "doc_id").alias("representative"), F.coalesce("n_links", F.lit(0)).cast("bigint").alias("n_links"))
 
