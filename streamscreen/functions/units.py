@@ -6,9 +6,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Sums of amounts run over whole ten-thousandths, so a retried task or another
-# partitioning gives the same total to the last digit.
-AMOUNT_UNITS = 10_000
+# Sums of amounts run over whole units of 10^-10 as decimals, so a retried task or another
+# partitioning gives the same total to the last digit. Amounts from 10^18 have no such units.
+AMOUNT_DIGITS = 10
+_AMOUNT = "decimal(28,10)"
+_UNITS = "decimal(38,0)"
 
 
 def f_to_c(fahrenheit: Column, digits: int = 2) -> Column:
@@ -32,16 +34,25 @@ def aqi_in_range(value: Column) -> Column:
 
 
 def to_units(amount: Column) -> Column:
-    return F.round(amount * AMOUNT_UNITS).cast("long")
+    """Whole units of an amount, from the shortest decimal text of its double; null for NaN and from 10^18 on."""
+    scale = F.lit(10 ** AMOUNT_DIGITS).cast("decimal(11,0)")
+    return (amount.try_cast(_AMOUNT) * scale).cast("decimal(28,0)").cast(_UNITS)
 
 
 def from_units(units: Column) -> Column:
-    return units / F.lit(float(AMOUNT_UNITS))
+    return units.cast("double") / F.lit(float(10 ** AMOUNT_DIGITS))
+
+
+def without_units(amount: Column) -> Column:
+    """The amount where ``to_units`` has none: NaN, or 10^18 and more; else null."""
+    return F.when(amount.try_cast(_AMOUNT).isNull(), amount)
 
 
 def exact_sum(amount: Column) -> Column:
-    """Order-independent sum of a money column."""
-    return from_units(F.sum(to_units(amount)))
+    """Order-independent sum of a money column. No amount ends the job: amounts from 10^18 on are
+    added as doubles, and a NaN makes the sum NaN."""
+    exact, other = from_units(F.sum(to_units(amount))), F.sum(without_units(amount))
+    return F.when(other.isNull(), exact).otherwise(F.coalesce(exact, F.lit(0.0)) + other)
 
 
 def capped_score(base: float, extra: Column, cap: float = 100.0) -> Column:
@@ -71,9 +82,3 @@ def utc_hh_mm(ms: Column) -> Column:
     """``HH:MM`` in UTC of an epoch-millisecond value."""
     minute = F.floor(F.pmod(ms, F.lit(86_400_000)) / 60_000)
     return F.format_string("%02d:%02d", F.floor(minute / 60), F.pmod(minute, F.lit(60)))
-
-
-def event_timestamp(event_time: Column, record_timestamp: Column | None = None) -> Column:
-    """Event time of a payload, or the record's own timestamp where it cannot be read."""
-    parsed = F.timestamp_millis(event_time.try_cast("long"))
-    return parsed if record_timestamp is None else F.coalesce(parsed, record_timestamp)

@@ -36,11 +36,13 @@ def lookup_join(stream: DataFrame, table: DataFrame, on: tuple[str, str], *,
 
     The table is broadcast only when measured small. Otherwise the join shuffles, and adaptive
     execution splits the partition of a hot key; the table side has one row per key to copy.
-    On a streaming input the static table is re-read by every micro-batch and Spark's own size
-    limit decides.
+    A streaming input is refused: Spark would plan the table once, so the query would never see it change. Join each
+    micro-batch instead (``streaming.jobs.run_with_table``).
     """
     left, right = on
-    if not stream.isStreaming and not table.isStreaming and small_enough(table, max_rows, max_bytes):
+    if stream.isStreaming:
+        raise ValueError("a stream meets a table per micro-batch: see streaming.jobs.run_with_table")
+    if not table.isStreaming and small_enough(table, max_rows, max_bytes):
         table = F.broadcast(table)
     return stream.join(table, stream[left] == table[right], "inner")
 

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from streamscreen.functions.display import clock_hour, dollars, span, times
-from streamscreen.functions.units import capped_score, epoch_ms, from_units, to_units
+from streamscreen.functions.units import capped_score, epoch_ms, exact_sum, from_units, to_units
 from streamscreen.operators.history import HOT_ROWS, distinct_look_back, hot_keys, look_back, running
 from streamscreen.session import durable
 
@@ -106,15 +106,16 @@ def spend_alerts(transactions: DataFrame, limits: Limits = Limits(), *,
     last = F.max_by(F.struct("transaction_id", "city", "event_time"), F.struct(*order_by))
     grouped = (transactions.where(F.col("amount").isNotNull())
                .groupBy("customer_id", F.window(time, limits.spend_window).alias("window"))
-               .agg(F.sum(to_units(F.col("amount"))).alias("_units"),
+               .agg(exact_sum(F.col("amount")).alias("_total"),
                     F.count(F.lit(1)).alias("_n"), last.alias("_last"))
                .select("*", F.col("window.start").alias("_start"), F.col("window.end").alias("_end")))
-    total = from_units(F.col("_units"))
+    total = F.col("_total")
     start, end = epoch_ms(grouped, "_start"), epoch_ms(grouped, "_end")
     details = F.concat(
         F.col("_n").cast("string"), F.lit(" transactions totalling "), dollars(total),
         F.lit(f" in {limits.spend_window} window "), span(start, end))
-    return grouped.where(total > limits.spend_limit).select(
+    # NaN compares as larger than any number; a total that is none gives no alert.
+    return grouped.where(~F.isnan(total) & (total > limits.spend_limit)).select(
         F.col("_last.transaction_id").alias("transaction_id"), "customer_id",
         total.alias("amount"), F.col("_last.city").alias("city"),
         F.col("_last.event_time").alias("event_time"),
@@ -148,7 +149,8 @@ def card_velocity(payments: DataFrame, *, card: str = "card_id", time: str = "ev
                   hot_rows: int = HOT_ROWS) -> DataFrame:
     """R8: per card, count and amount within the look-back window and the country seen before.
 
-    Adds ``recent_count``, ``recent_amount``, ``previous_country`` and ``country_changed``.
+    Adds ``recent_count``, ``recent_amount``, ``previous_country`` and ``country_changed``. Amounts
+    that are no number or reach 10^18 stay out of ``recent_amount``.
     """
     out = look_back(payments, [card], time, tie, window_ms,
                     sums={"recent_count": F.lit(1).cast("long"), "_units": to_units(F.col("amount"))},

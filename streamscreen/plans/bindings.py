@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from streamscreen.functions.units import epoch_ms
 from streamscreen.operators.rules import Limits
 from streamscreen.schemas import PAYMENT
+from streamscreen.session import new_path
 
 EVENTS_SCHEMA = ("event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, "
                  "value double, props string")
@@ -23,13 +24,56 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The events file as a stream, ``ts`` as an instant of time."""
-    events = (spark.readStream.schema(EVENTS_SCHEMA).option("pathGlobFilter", "events.parquet")
-              .parquet(sf_dir))
+#: Forecasts are the events, issued for this much later: no reading meets a forecast made of itself.
+FORECAST_LEAD_MS = 17 * 60_000
+#: A closing row comes this much after the last event.
+CLOSING_MS = 3 * 86_400_000
+
+
+def event_parts(spark: SparkSession, sf_dir: str, parts: int) -> list[DataFrame]:
+    """The events in ``parts`` slices of equal length of time, oldest first."""
+    events = table(spark, sf_dir, "events")
+    ms = epoch_ms(events, "ts")
+    first, last = events.agg(F.min(ms), F.max(ms)).first()
+    if first is None:
+        return [events] * parts
+    cuts = [first + (last - first) * i // parts for i in range(1, parts)]
+    lower, upper = [None, *cuts], [*cuts, None]
+    every = F.lit(True)
+    return [events.where((every if a is None else ms > a) & (every if z is None else ms <= z))
+            for a, z in zip(lower, upper, strict=True)]
+
+
+def closing_row(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One event of a known user well after all others, without value: it moves the watermark past every open window.
+
+    Its own window stays open, so it is in no result of an append-mode window.
+    """
+    events = table(spark, sf_dir, "events")
+    at = F.max("ts") + F.expr(f"INTERVAL {CLOSING_MS // 1000} SECONDS")
+    return events.agg(at.alias("ts"), F.min("user_id").alias("user_id")).select(
+        F.lit(-1).cast("bigint").alias("event_id"), "ts", "user_id", F.lit("close").alias("event_type"),
+        F.lit(0.0).alias("value"), F.lit('{"k": 0}').alias("props"))
+
+
+def write_events(events: DataFrame, path: str) -> None:
+    events.select("event_id", "ts", "user_id", "event_type", "value", "props").write.mode("append").parquet(path)
+
+
+def read_event_stream(spark: SparkSession, path: str, files_per_batch: int = 1) -> DataFrame:
+    """A folder of event files as a stream, ``ts`` as an instant of time; micro-batches are bounded by files."""
+    events = (spark.readStream.schema(EVENTS_SCHEMA).option("maxFilesPerTrigger", str(files_per_batch)).parquet(path))
     return events.withColumn("ts", F.timestamp_millis(epoch_ms(events, "ts")))
 
 
+def event_stream(spark: SparkSession, sf_dir: str, *, parts: int = 3, closed: bool = False) -> DataFrame:
+    """All events as a stream of several micro-batches; ``closed`` adds the closing row as a last one."""
+    path = new_path(spark, "event-files")
+    for part in [*event_parts(spark, sf_dir, parts), *([closing_row(spark, sf_dir)] if closed else [])]:
+        write_events(part, path)
+    return read_event_stream(spark, path)
+
+
 def places(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Home city of each customer."""
     customer = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
@@ -73,15 +117,15 @@ def sensors(spark: SparkSession, sf_dir: str, events: DataFrame | None = None) -
 
 def weather(spark: SparkSession, sf_dir: str, events: DataFrame | None = None) -> DataFrame:
     events = table(spark, sf_dir, "events") if events is None else events
-    views = events.where(F.col("event_type") == "view")
-    return _placed(views, spark, sf_dir).select(
+    lead = F.expr(f"INTERVAL {FORECAST_LEAD_MS // 60_000} MINUTES")
+    return _placed(events, spark, sf_dir).select(
         F.col("n_name").alias("city"), F.col("n_state").alias("state"),
-        epoch_ms(events, "ts").cast("string").alias("timestamp"),
+        (epoch_ms(events, "ts") + FORECAST_LEAD_MS).cast("string").alias("timestamp"),
         F.floor("value").cast("int").alias("temperature_f"),
         ((F.floor("value") - 32) * 5 / 9).alias("temperature_c"), F.lit("F").alias("temperature_unit"),
         F.concat((F.floor("value") % 30).cast("string"), F.lit(" mph")).alias("wind_speed"),
         F.lit("N").alias("wind_direction"), F.col("props").alias("short_forecast"),
-        F.col("event_type").alias("period_name"), F.col("ts").alias("event_ts"))
+        F.col("event_type").alias("period_name"), (F.col("ts") + lead).alias("event_ts"))
 
 
 def users(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,8 +1,10 @@
 """Environmental monitoring: weather, sensor and user data joined into views and alerts.
 
 ``sensors``, ``weather`` and ``users`` have the columns of the declared streams; ``users`` is the
-lookup table with one row per city (:func:`streamscreen.operators.tables.users_table`). Every query
-takes batch or streaming inputs unless it says otherwise.
+lookup table with one row per city (:func:`streamscreen.operators.tables.users_table`). Queries without users take
+batch or streaming inputs. A join with the users table inside one streaming plan would use the table as it was when the
+query started, so streams join it per micro-batch: ``streaming.jobs.run_with_table`` calls the same functions with the
+table as it is then.
 """
 
 from __future__ import annotations
@@ -54,22 +56,23 @@ def user_weather(weather: DataFrame, users: DataFrame) -> DataFrame:
         F.col("timestamp").alias("forecast_time"))
 
 
-def _three_way(sensors: DataFrame, users: DataFrame, weather: DataFrame, sensor_time: str,
-               weather_time: str, within_ms: int) -> DataFrame:
+def readings_with_forecast(sensors: DataFrame, weather: DataFrame, *, sensor_time: str, weather_time: str,
+                           within_ms: int = HOUR_MS) -> DataFrame:
+    """Readings with the forecasts (``w_`` columns) of the same city at most ``within_ms`` apart.
+
+    Every such pair is a row: with a hundred times the rate of both streams there are 10^4 times the rows.
+    """
     forecasts = weather.select(F.col("city").alias("w_city"), F.col(weather_time).alias("w_time"),
                                F.col("temperature_f").alias("w_temperature_f"),
                                F.col("short_forecast").alias("w_short_forecast"),
                                F.col("wind_speed").alias("w_wind_speed"))
-    with_users = _with_users(sensors, users, "location")
-    return interval_join(with_users, forecasts, [("u_city", "w_city")], left_time=sensor_time,
+    return interval_join(sensors, forecasts, [("location", "w_city")], left_time=sensor_time,
                          right_time="w_time", before_ms=within_ms, after_ms=within_ms)
 
 
-def complete_dashboard(sensors: DataFrame, users: DataFrame, weather: DataFrame, *,
-                       sensor_time: str, weather_time: str, within_ms: int = HOUR_MS) -> DataFrame:
-    """Sensor reading, user and forecast of the same city at most ``within_ms`` apart."""
-    joined = _three_way(sensors, users, weather, sensor_time, weather_time, within_ms)
-    return joined.select(
+def dashboard_of(joined: DataFrame, users: DataFrame) -> DataFrame:
+    """The full dashboard from the rows of ``readings_with_forecast``."""
+    return _with_users(joined, users, "location").select(
         *_users("user_id", "username", "email", "city", "state"), "sensor_id",
         F.col("temperature_fahrenheit").alias("sensor_temp"), "humidity_percent", "pressure_hpa",
         "air_quality_index", "air_quality_status", F.col("w_temperature_f").alias("forecast_temp"),
@@ -78,15 +81,26 @@ def complete_dashboard(sensors: DataFrame, users: DataFrame, weather: DataFrame,
         .alias("alert_status"))
 
 
-def short_dashboard(sensors: DataFrame, users: DataFrame, weather: DataFrame, *,
-                    sensor_time: str, weather_time: str, within_ms: int = HOUR_MS) -> DataFrame:
-    joined = _three_way(sensors, users, weather, sensor_time, weather_time, within_ms)
-    return joined.select(
+def short_dashboard_of(joined: DataFrame, users: DataFrame) -> DataFrame:
+    return _with_users(joined, users, "location").select(
         *_users("user_id", "username", "city"), F.col("temperature_fahrenheit").alias("sensor_temp"),
         "air_quality_index", F.col("w_temperature_f").alias("forecast_temp"),
         F.col("w_short_forecast").alias("short_forecast"))
 
 
+def complete_dashboard(sensors: DataFrame, users: DataFrame, weather: DataFrame, *,
+                       sensor_time: str, weather_time: str, within_ms: int = HOUR_MS) -> DataFrame:
+    """Sensor reading, user and forecast of the same city at most ``within_ms`` apart."""
+    return dashboard_of(readings_with_forecast(sensors, weather, sensor_time=sensor_time, weather_time=weather_time,
+                                               within_ms=within_ms), users)
+
+
+def short_dashboard(sensors: DataFrame, users: DataFrame, weather: DataFrame, *,
+                    sensor_time: str, weather_time: str, within_ms: int = HOUR_MS) -> DataFrame:
+    return short_dashboard_of(readings_with_forecast(sensors, weather, sensor_time=sensor_time,
+                                                     weather_time=weather_time, within_ms=within_ms), users)
+
+
 def forecast_against_sensor(weather: DataFrame, sensors: DataFrame, *, weather_time: str,
                             sensor_time: str, within_ms: int = MINUTE_MS) -> DataFrame:
     """Forecast and measured temperature of the same city at most ``within_ms`` apart."""

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming import StreamingQuery
 
 from streamscreen.functions import labels
 from streamscreen.functions.display import clock_hour, dollars, times
@@ -20,7 +21,7 @@ from streamscreen.schemas import PAYMENT_RULES
 from streamscreen.session import durable, new_path
 from streamscreen.sources import forecasts, jsonlines, tabular, topics, validate
 from streamscreen.sources.catalog import current_table, persist_table
-from streamscreen.streaming.jobs import UNTIL_DRAINED, drain, run_idempotent, run_to_table
+from streamscreen.streaming.jobs import UNTIL_DRAINED, drain, run_idempotent, run_to_table, run_with_table
 from streamscreen.streaming.processors import cool_off_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -520,12 +521,13 @@ def hourly_city_averages(spark, sf):
 
 @register
 def chained_streams(spark, sf):
-    """Click, view, purchase and signup of one user, each within a day of the click."""
+    """Click, view, purchase, signup and error of one user, each within a day of the click."""
     events = b.table(spark, sf, "events")
     parts = [(events.where(F.col("event_type") == kind).select("user_id", "event_id", "ts"), kind)
-             for kind in ("click", "view", "purchase", "signup")]
+             for kind in ("click", "view", "purchase", "signup", "error")]
     out = chain_interval_joins(parts, "user_id", time="ts", before_ms=DAY, after_ms=DAY)
-    return out.select("user_id", "click_event_id", "view_event_id", "purchase_event_id", "signup_event_id")
+    return out.select("user_id", "click_event_id", "view_event_id", "purchase_event_id", "signup_event_id",
+                      "error_event_id")
 
 
 @register
@@ -573,34 +575,56 @@ STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
-def _drained(spark: SparkSession, df: DataFrame, mode: str = "append") -> DataFrame:
-    """Run a stream until its input is used up and read what it wrote."""
-    out = new_path(spark, "streamed")
+def _stateful(spark: SparkSession, start: Callable[[], StreamingQuery]) -> None:
+    """Run a query with state in RocksDB until its input is used up."""
     before = spark.conf.get(STATE_STORE)
     spark.conf.set(STATE_STORE, ROCKSDB)
     try:
-        drain(run_to_table(df, f"{out}/rows", f"{out}/checkpoint", mode=mode, trigger=UNTIL_DRAINED))
+        drain(start())
     finally:
         spark.conf.set(STATE_STORE, before)
+
+
+def _drained(spark: SparkSession, df: DataFrame, mode: str = "append") -> DataFrame:
+    """Run a stream until its input is used up and read what it wrote."""
+    out = new_path(spark, "streamed")
+    _stateful(spark, lambda: run_to_table(df, f"{out}/rows", f"{out}/checkpoint", mode=mode, trigger=UNTIL_DRAINED))
     return spark.read.schema(df.schema).parquet(f"{out}/rows")
 
 
+def _kept(spark: SparkSession, df: DataFrame, keys: list[str]) -> DataFrame:
+    """Run an aggregate in update mode until its input is used up and read the table it keeps."""
+    out = new_path(spark, "kept-table")
+    _stateful(spark, lambda: persist_table(df, keys, f"{out}/rows", f"{out}/checkpoint", trigger=UNTIL_DRAINED))
+    return current_table(spark, f"{out}/rows", keys)
+
+
 @register
 def streamed_fraud_alerts(spark, sf):
-    txns = b.transactions(spark, sf, b.event_stream(spark, sf))
+    """The closing row lets the last spend windows fire; it has no amount and gives no alert."""
+    txns = b.transactions(spark, sf, b.event_stream(spark, sf, closed=True))
     return _drained(spark, _without_text(card_fraud.detect_stream(txns, b.SCALED, state_ttl_ms=None)))
 
 
 @register
 def streamed_city_summary(spark, sf):
+    """Windows in update mode, kept as a table: it holds every window, also those still open."""
     sensors = b.sensors(spark, sf, b.event_stream(spark, sf)).withWatermark("event_ts", "5 seconds")
-    return _drained(spark, windows.city_summary(sensors, "event_ts", "1 hour")).select(
+    return _kept(spark, windows.city_summary(sensors, "event_ts", "1 hour"), ["city", "window_start"]).select(
         "city", "window_start", "reading_count", "max_aqi")
 
 
+@register
+def streamed_hopping_forecasts(spark, sf):
+    weather = b.weather(spark, sf, b.event_stream(spark, sf)).withWatermark("event_ts", "5 seconds")
+    return _kept(spark, windows.hopping_forecast(weather, "event_ts"), ["city", "window_start"]).select(
+        "city", "window_start", F.round("avg_forecast_temp", 6).alias("avg_forecast_temp"))
+
+
 @register
 def streamed_sessions(spark, sf):
-    sensors = b.sensors(spark, sf, b.event_stream(spark, sf)).withWatermark("event_ts", "5 seconds")
+    """The closing row ends every session; its own stays open and is not given out."""
+    sensors = b.sensors(spark, sf, b.event_stream(spark, sf, closed=True)).withWatermark("event_ts", "5 seconds")
     return _drained(spark, windows.sessions(sensors, ["sensor_id"], "event_ts", HOUR))
 
 
@@ -614,17 +638,34 @@ def streamed_sensor_against_forecast(spark, sf):
 
 @register
 def streamed_dashboard(spark, sf):
+    """Readings and forecasts meet in the stream, users in each micro-batch."""
     users = durable(_users(spark, sf), "users-table")
     weather = b.weather(spark, sf, b.event_stream(spark, sf)).withWatermark("event_ts", "5 seconds")
     sensors = b.sensors(spark, sf, b.event_stream(spark, sf)).withWatermark("event_ts", "5 seconds")
-    return _drained(spark, environment.complete_dashboard(
-        sensors, users, weather, sensor_time="event_ts", weather_time="event_ts"))
+    joined = environment.readings_with_forecast(sensors, weather, sensor_time="event_ts", weather_time="event_ts")
+    out = new_path(spark, "streamed")
+    _stateful(spark, lambda: run_with_table(joined, lambda: users, environment.dashboard_of, f"{out}/checkpoint",
+                                            f"{out}/rows", trigger=UNTIL_DRAINED))
+    return spark.read.parquet(f"{out}/rows").drop("batch")
 
 
 @register
 def streamed_user_alerts(spark, sf):
-    users = durable(_users(spark, sf), "users-table")
-    return _drained(spark, environment.user_alerts(b.sensors(spark, sf, b.event_stream(spark, sf)), users))
+    """Alerts to the user of the city as of their micro-batch.
+
+    The first half of the events meets a table of the users with even keys; then all users are in the
+    table, which the second half meets.
+    """
+    inputs, kept, out = (new_path(spark, n) for n in ("event-files", "users-table", "streamed"))
+    everyone = b.users(spark, sf)
+    versions = [everyone.where(F.col("user_id") % 2 == 0), everyone]
+    for number, (part, users) in enumerate(zip(b.event_parts(spark, sf, 2), versions, strict=True)):
+        b.write_events(part, inputs)
+        tables.users_table(users).write.parquet(f"{kept}/batch={number}")
+        sensors = b.sensors(spark, sf, b.read_event_stream(spark, inputs))
+        drain(run_with_table(sensors, lambda: current_table(spark, kept, ["city"]), environment.user_alerts,
+                             f"{out}/checkpoint", f"{out}/rows", trigger=UNTIL_DRAINED))
+    return spark.read.parquet(f"{out}/rows").drop("batch")
 
 
 @register
@@ -641,19 +682,14 @@ def streamed_event_counts(spark, sf):
     events = b.event_stream(spark, sf)
     counted = events.groupBy("event_type").agg(
         F.count(F.lit(1)).alias("n"), exact_sum(F.col("value")).alias("total"))
-    out = new_path(spark, "kept-table")
-    drain(persist_table(counted, ["event_type"], f"{out}/rows", f"{out}/checkpoint", trigger=UNTIL_DRAINED))
-    return current_table(spark, f"{out}/rows", ["event_type"])
+    return _kept(spark, counted, ["event_type"])
 
 
 @register
 def streamed_word_counts(spark, sf):
     lines = (spark.readStream.schema("doc_id bigint, text string, lang string, source string, n_chars bigint")
              .option("pathGlobFilter", "documents.parquet").parquet(sf))
-    out = new_path(spark, "kept-table")
-    drain(persist_table(words.count_words_in_lines(lines, "text"), ["word"], f"{out}/rows",
-                        f"{out}/checkpoint", trigger=UNTIL_DRAINED))
-    return current_table(spark, f"{out}/rows", ["word"])
+    return _kept(spark, words.count_words_in_lines(lines, "text"), ["word"])
 
 
 @register

@@ -35,6 +35,17 @@ def run_idempotent(df: DataFrame, checkpoint: str, path: str, *, mode: str = "ap
             .outputMode(mode).trigger(**(trigger or EVERY_30_SECONDS)).start())
 
 
+def run_with_table(stream: DataFrame, table: Callable[[], DataFrame],
+                   join: Callable[[DataFrame, DataFrame], DataFrame], checkpoint: str, path: str, *,
+                   trigger: Mapping[str, object] | None = None) -> StreamingQuery:
+    """Join a stream to a table that changes: ``join(batch, table())`` for each micro-batch.
+
+    ``table`` reads the table anew each time (for example ``current_table``), so a row meets the table as of its
+    micro-batch. Sizes are measured per batch too, so the join changes from broadcast to shuffle as the table grows.
+    """
+    return run_idempotent(stream, checkpoint, path, prepare=lambda batch: join(batch, table()), trigger=trigger)
+
+
 def drain(query: StreamingQuery) -> None:
     """Wait for an ``availableNow`` query and raise its error, if any."""
     query.awaitTermination()
