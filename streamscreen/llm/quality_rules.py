@@ -26,6 +26,7 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from streamscreen.functions.once import once
 from streamscreen.llm.common import labelled_sample
 from streamscreen.session import durable
 
@@ -150,4 +151,7 @@ def score(docs: DataFrame, model: Model, columns: Sequence[str]) -> DataFrame:
 def keep_good(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:
     """The rows of ``docs`` that score at least ``threshold``; same columns."""
     packed = docs.select(F.struct(*docs.columns).alias("_row"), "text")
-    return score(packed, model, ["_row"]).where(F.col("score") >= threshold).select("_row.*")
+    # The score stays a column of its own: a filter on the expression would be pushed below the statistics
+    # and repeat each of them for every rule.
+    scored = once(with_statistics(packed, ["_row"]), _score=model.score())
+    return scored.where(F.col("_score") >= threshold).select("_row.*")
