@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -40,7 +42,10 @@ def to_units(amount: Column) -> Column:
 
 
 def from_units(units: Column) -> Column:
-    return units.cast("double") / F.lit(float(10 ** AMOUNT_DIGITS))
+    """Units as an amount: the nearest double, as long as a decimal can hold units and digits together."""
+    held = units.try_cast("decimal(27,0)")
+    exact = (held * F.lit(Decimal(10) ** -AMOUNT_DIGITS).cast("decimal(10,10)")).cast("double")
+    return F.coalesce(exact, units.cast("double") / F.lit(float(10 ** AMOUNT_DIGITS)))
 
 
 def without_units(amount: Column) -> Column:
@@ -51,7 +56,7 @@ def without_units(amount: Column) -> Column:
 def exact_sum(amount: Column) -> Column:
     """Order-independent sum of a money column. No amount ends the job: amounts from 10^18 on are
     added as doubles, and a NaN makes the sum NaN."""
-    exact, other = from_units(F.sum(to_units(amount))), F.sum(without_units(amount))
+    exact, other = F.sum(amount.try_cast(_AMOUNT)).cast("double"), F.sum(without_units(amount))
     return F.when(other.isNull(), exact).otherwise(F.coalesce(exact, F.lit(0.0)) + other)
 
 

@@ -124,13 +124,6 @@ def spend_alerts(transactions: DataFrame, limits: Limits = Limits(), *,
         details.alias("details"))
 
 
-def all_alerts(transactions: DataFrame, limits: Limits = Limits(), *, tie: Sequence[str] = TIE,
-               hot_rows: int = HOT_ROWS, time: str = "event_ts") -> DataFrame:
-    """Per-transaction and window alerts as one table."""
-    return event_alerts(transactions, limits, tie=tie, hot_rows=hot_rows).unionByName(
-        spend_alerts(transactions, limits, order_by=("event_time", *tie), time=time))
-
-
 def stamp(alerts: DataFrame, now: Column | None = None) -> DataFrame:
     """Add ``alert_time`` (epoch ms); to be called where alerts leave the job."""
     return alerts.withColumn("alert_time", F.unix_millis(F.current_timestamp()) if now is None else now)

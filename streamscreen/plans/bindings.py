@@ -44,13 +44,13 @@ def event_parts(spark: SparkSession, sf_dir: str, parts: int) -> list[DataFrame]
             for a, z in zip(lower, upper, strict=True)]
 
 
-def closing_row(spark: SparkSession, sf_dir: str) -> DataFrame:
+def closing_row(spark: SparkSession, sf_dir: str, after_ms: int = CLOSING_MS) -> DataFrame:
     """One event of a known user well after all others, without value: it moves the watermark past every open window.
 
     Its own window stays open, so it is in no result of an append-mode window.
     """
     events = table(spark, sf_dir, "events")
-    at = F.max("ts") + F.expr(f"INTERVAL {CLOSING_MS // 1000} SECONDS")
+    at = F.max("ts") + F.expr(f"INTERVAL {after_ms // 1000} SECONDS")
     return events.agg(at.alias("ts"), F.min("user_id").alias("user_id")).select(
         F.lit(-1).cast("bigint").alias("event_id"), "ts", "user_id", F.lit("close").alias("event_type"),
         F.lit(0.0).alias("value"), F.lit('{"k": 0}').alias("props"))

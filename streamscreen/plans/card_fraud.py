@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from streamscreen.operators import rules
 from streamscreen.operators.rules import Limits
 from streamscreen.sources.topics import record
+from streamscreen.sources.validate import parse_transactions
 from streamscreen.streaming.processors import with_streaming_history
 
 TRANSACTIONS, ALERTS = "transactions", "fraud-alerts"
@@ -34,7 +35,12 @@ def detect_stream(transactions: DataFrame, limits: Limits = Limits(), *,
     return per_event.unionByName(spend)
 
 
-def alert_records(alerts: DataFrame, topic: str = ALERTS) -> DataFrame:
+def alert_records(alerts: DataFrame, topic: str = ALERTS, now: Column | None = None) -> DataFrame:
     """Stamped alerts as JSON records without a key."""
-    stamped = rules.stamp(alerts)
+    stamped = rules.stamp(alerts, now)
     return record(stamped, key=None, value=F.struct(*stamped.columns), topic=topic)
+
+
+def transactions_of(records: DataFrame) -> DataFrame:
+    """Transactions of topic records; the record's own time stands in for an unusable event time."""
+    return parse_transactions(records, F.col("value").cast("string"), F.col("timestamp"))

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from streamscreen.operators import payments
 from streamscreen.schemas import PAYMENT_RULES
 from streamscreen.sources import tabular
-from streamscreen.sources.validate import check_records, check_rows, rejected, valid_events
+from streamscreen.sources.validate import check_records, check_rows, rejected, valid_only
 
 
 def ingest(spark: SparkSession, path: str, sheet: str = "payments") -> tuple[DataFrame, DataFrame]:
@@ -27,5 +27,5 @@ def screen_records(records: DataFrame, **options) -> DataFrame:
 
 def screen_events(records: DataFrame) -> DataFrame:
     """Valid, non-zero payments with score, reasons and topic as columns."""
-    events = valid_events(check_records(records, PAYMENT_RULES))
+    events = valid_only(records, F.col("value").cast("string"), PAYMENT_RULES)
     return payments.route(payments.score(payments.drop_zero_amounts(events)))

@@ -20,7 +20,7 @@ TOPIC_RECORD = _struct(
     ("offset", _L), ("timestamp", T.TimestampType()), ("timestampType", _I), ("headers", HEADERS),
 )
 
-PERSON_EVENT = _struct(("event_id", _I), ("name", _S), ("age", _I), ("ts_utc", _S))
+PERSON_EVENT = _struct(("event_id", _L), ("name", _S), ("age", _L), ("ts_utc", _S))
 
 APP_USER = _struct(("user_id", _S), ("name", _S), ("age", _I))
 

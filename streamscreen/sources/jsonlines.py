@@ -39,9 +39,9 @@ def append_json_lines(df: DataFrame, path: str, checkpoint: str,
             .outputMode("append").start())
 
 
-def print_rows(df: DataFrame, n: int = 20) -> None:
-    """Show a result on the console; streams go to the console sink."""
+def print_rows(df: DataFrame, n: int = 20) -> StreamingQuery | None:
+    """Show a result on the console; a stream goes to the console sink, and its query is returned."""
     if df.isStreaming:
-        df.writeStream.format("console").option("numRows", str(n)).outputMode("update").start()
-    else:
-        df.show(n, truncate=False)
+        return df.writeStream.format("console").option("numRows", str(n)).outputMode("update").start()
+    df.show(n, truncate=False)
+    return None

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -56,14 +57,42 @@ def as_records(rows: DataFrame, table: str, prefix: str = "postgres-", key: Colu
     return record(rows, key=key, value=F.struct(*rows.columns), topic=topic_name(table, prefix))
 
 
-def publish_snapshots(spark: SparkSession, db: Database, tables: list[str], servers: str,
-                      checkpoint: str, interval: str = "5 seconds", **partitioning) -> StreamingQuery:
-    """Publish every row of the listed tables each ``interval``; every poll sends all rows again."""
-    def publish(_tick: DataFrame, _batch: int) -> None:
-        for table in tables:
-            write_batch(as_records(read_table(spark, db, table, **partitioning), table),
-                        Topic(topic_name(table), servers=servers))
+def publish_snapshot(read: Callable[[str], DataFrame], tables: Sequence[str], target: Callable[[str], Topic],
+                     prefix: str = "postgres-", number: Callable[[DataFrame], DataFrame] = lambda r: r) -> None:
+    """Publish every row of the listed tables once; ``number`` gives folder topics their positions."""
+    for table in tables:
+        write_batch(number(as_records(read(table), table, prefix)), target(topic_name(table, prefix)))
 
+
+def publish_snapshots(spark: SparkSession, read: Callable[[str], DataFrame], tables: Sequence[str],
+                      target: Callable[[str], Topic], checkpoint: str, interval: str = "5 seconds", **options) -> StreamingQuery:
+    """Publish every row of the listed tables each ``interval``; every poll sends all rows again.
+
+    ``read`` may be ``partial(read_table, spark, db)`` or any other reader of a table's name.
+    """
     ticks = spark.readStream.format("rate").option("rowsPerSecond", "1").load()
-    return (ticks.writeStream.foreachBatch(publish).option("checkpointLocation", checkpoint)
-            .trigger(processingTime=interval).start())
+    return (ticks.writeStream.foreachBatch(lambda _tick, _batch: publish_snapshot(read, tables, target, **options))
+            .option("checkpointLocation", checkpoint).trigger(processingTime=interval).start())
+
+
+def publish_new(spark: SparkSession, rows: DataFrame, table: str, column: str, target: Topic, marks: str, *,
+                prefix: str = "postgres-", key: Column | None = None,
+                number: Callable[[DataFrame], DataFrame] = lambda r: r) -> int | None:
+    """Publish the rows whose ``column`` is above the stored mark, then store the new one; returns it.
+
+    The mark is stored after the rows, so a failure in between sends them again and loses none.
+    """
+    try:
+        last = spark.read.schema("mark long").parquet(marks).agg(F.max("mark")).first()[0]
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        last = None
+    upto = high_water_mark(rows, column)
+    if upto is None or (last is not None and upto <= last):
+        return last
+    # Rows that arrive meanwhile are above the new mark and left for the next run.
+    fresh = above(rows, column, last).where(F.col(column) <= upto)
+    write_batch(number(as_records(fresh, table, prefix, key)), target)
+    spark.range(1).select(F.lit(upto).cast("long").alias("mark")).write.mode("append").parquet(marks)
+    return upto

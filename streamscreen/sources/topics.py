@@ -67,8 +67,8 @@ def read_batch(spark: SparkSession, topic: Topic) -> DataFrame:
 
 
 def peek(spark: SparkSession, topic: Topic, n: int) -> DataFrame:
-    """Some ``n`` records of the topic, decoded."""
-    return decode(read_batch(spark, topic)).limit(n)
+    """The first ``n`` records of the topic by partition and offset, decoded."""
+    return decode(read_batch(spark, topic)).orderBy("topic", "partition", "offset").limit(n)
 
 
 def decode(records: DataFrame) -> DataFrame:

@@ -16,8 +16,10 @@ def with_document(df: DataFrame, text: Column) -> DataFrame:
     type text; both are null or lack the end mark unless all of ``text`` is one JSON document.
 
     A JSON reader stops after the first document. Wrapped in an object with an end mark, anything
-    left over is a syntax error or hides the mark. Duplicate keys are refused.
+    left over is a syntax error or hides the mark. Of repeated keys the last one counts; the session is set to read
+    them so, as it would refuse them otherwise.
     """
+    df.sparkSession.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
     wrapped = F.concat(F.lit('{"doc":'), text, F.lit(f',"end":"{_END}"}}'))
     return once(once(df, _doc=F.try_parse_json(wrapped)), _whole=F.schema_of_variant("_doc"))
 
@@ -30,14 +32,11 @@ def _member(document: Column, name: str, kind: str = "variant") -> Column:
     return F.try_variant_get(document, f"$.doc.{name}", kind)
 
 
-def _type_of(document: Column, name: str) -> Column:
-    return F.schema_of_variant(_member(document, name))
-
-
 # How each JSON type reads in the type text of a VARIANT.
 _TYPE_TEXT = {"string": "STRING", "number": r"(BIGINT|DECIMAL\(\d+,\d+\)|DOUBLE)"}
 _TYPE_TEXT["integer"] = _TYPE_TEXT["number"]
-_READ_AS = {"string": "string", "number": "double", "integer": "double"}
+# Integers are read as decimals, which keep every digit of an id.
+_READ_AS = {"string": "string", "number": "double", "integer": "decimal(38,10)"}
 
 
 def _limits(rule: Field, value: Column) -> list[Column]:
@@ -48,6 +47,9 @@ def _limits(rule: Field, value: Column) -> list[Column]:
     if rule.minimum is not None:
         out.append(F.when(value < rule.minimum,
                           F.lit(f"'{rule.name}' is less than the minimum of {rule.minimum}")))
+    if rule.kind == "integer":
+        out.append(F.when(value.isNotNull() & value.try_cast("bigint").isNull(),
+                          F.lit(f"'{rule.name}' does not fit 64 bits")))
     if rule.min_length is not None:
         out.append(F.when(F.length(value) < rule.min_length, F.lit(f"'{rule.name}' is too short")))
     if rule.one_of:
@@ -56,20 +58,54 @@ def _limits(rule: Field, value: Column) -> list[Column]:
     return out
 
 
-def _first_problem(doc: Column, text: Column, rules: EventRules) -> Column:
-    """The first problem of an object whose keys or types are wrong."""
+def _misfits(rules: EventRules) -> Column:
+    """For each field what is wrong with its type in ``_types`` (the type text of each key), or null."""
+    wanted = F.array(*[F.struct(F.lit(f.name).alias("name"), F.lit(f.kind).alias("kind")) for f in rules.fields])
+
+    def of_field(field: Column) -> Column:
+        found = F.try_element_at(F.col("_types"), field["name"])
+        number = found.isin("BIGINT", "DOUBLE") | found.startswith("DECIMAL(")
+        fits = F.when(field["kind"] == "string", found == "STRING").otherwise(number)
+        return (F.when(found.isNull(), F.concat(F.lit("'"), field["name"], F.lit("' is a required property")))
+                .when(~fits, F.concat(F.lit("'"), field["name"], F.lit("' is not of type "), field["kind"])))
+
+    return F.transform(wanted, of_field)
+
+
+def _first_problem(text: Column, rules: EventRules) -> Column:
+    """The first problem of an object whose keys or types are wrong, from ``_misfit`` and the values of limited fields."""
     out = []
-    for rule in rules.fields:
-        kind = _type_of(doc, rule.name)
-        typed = kind.rlike(f"^{_TYPE_TEXT[rule.kind]}$")
-        out.append(F.when(kind.isNull(), F.lit(f"'{rule.name}' is a required property"))
-                   .when(~typed, F.lit(f"'{rule.name}' is not of type {rule.kind}")))
-        value = _member(doc, rule.name, _READ_AS[rule.kind])
-        out += [F.when(typed, broken) for broken in _limits(rule, value)]
+    for i, rule in enumerate(rules.fields):
+        own = F.get("_misfit", F.lit(i))
+        out.append(own)
+        value = _member(F.col("_doc"), rule.name, _READ_AS[rule.kind])
+        out += [F.when(own.isNull(), broken) for broken in _limits(rule, value)]
+        if rule.kind == "integer":
+            out.append(F.when(own.isNull() & value.isNull(), F.lit(f"'{rule.name}' does not fit 64 bits")))
     extra = F.array_except(F.json_object_keys(text), F.array(*[F.lit(f.name) for f in rules.fields]))
-    out.append(F.when(F.size(extra) > 0, F.concat(
+    out.append(F.when(F.size("_types") > len(rules.fields), F.concat(
         F.lit("additional properties are not allowed: "), F.array_join(extra, ", "))))
-    return F.coalesce(*out)
+    return F.coalesce(*out, F.lit("a number is out of range"))
+
+
+def _typed_rows(df: DataFrame, text: Column, rules: EventRules) -> DataFrame:
+    """Add ``_row``: the typed fields of a document whose keys and types are the expected ones, else null."""
+    fields = sorted(rules.fields, key=lambda f: f.name)
+    shape = ("^OBJECT<doc: OBJECT<" + ", ".join(f"{f.name}: {_TYPE_TEXT[f.kind]}" for f in fields)
+             + ">, end: STRING>$")
+    row_type = "struct<" + ",".join(f"{f.name}:{_READ_AS[f.kind]}" for f in rules.fields) + ">"
+    return once(with_document(df, text),
+                _row=F.when(F.col("_whole").rlike(shape), F.try_variant_get("_doc", "$.doc", row_type)))
+
+
+def _broken(rules: EventRules) -> Column:
+    """The first broken limit of ``_row``; null if all hold."""
+    row = F.col("_row")
+    return F.coalesce(*[limit for f in rules.fields for limit in _limits(f, row[f.name])], F.lit(None).cast("string"))
+
+
+def _event(rules: EventRules) -> list[Column]:
+    return [F.col("_row")[f.name].try_cast(rules.schema[f.name].dataType).alias(f.name) for f in rules.fields]
 
 
 def check(df: DataFrame, text: Column, rules: EventRules) -> DataFrame:
@@ -77,23 +113,26 @@ def check(df: DataFrame, text: Column, rules: EventRules) -> DataFrame:
 
     Types are exact: a quoted number or a null is not a number, and an integer may be written ``1.0``.
     The type text of a whole document tells at once whether its keys and types are the expected
-    ones; only documents that fail this are taken apart field by field for the message.
+    ones; only documents that fail this are taken apart for the message. No document ends the job.
     """
-    fields = sorted(rules.fields, key=lambda f: f.name)
-    shape = ("^OBJECT<doc: OBJECT<" + ", ".join(f"{f.name}: {_TYPE_TEXT[f.kind]}" for f in fields)
-             + ">, end: STRING>$")
-    row_type = "struct<" + ",".join(f"{f.name}:{_READ_AS[f.kind]}" for f in rules.fields) + ">"
-    doc, whole, row = F.col("_doc"), F.col("_whole"), F.col("_row")
-    typed = once(with_document(df, text),
-                 _row=F.when(whole.rlike(shape), F.try_variant_get(doc, "$.doc", row_type)))
-    broken = [limit for f in rules.fields for limit in _limits(f, row[f.name])]
+    whole, row = F.col("_whole"), F.col("_row")
+    types = F.transform_values(F.try_variant_get("_doc", "$.doc", "map<string,variant>"),
+                               lambda _, v: F.schema_of_variant(v))
+    typed = once(_typed_rows(df, text, rules), _types=F.when(row.isNull() & _is_object(), types))
+    # A column of its own, as every field looks into it.
+    typed = once(typed, _misfit=F.when(F.col("_types").isNotNull(), _misfits(rules)))
     judged = once(typed, error=(
-        F.when(row.isNotNull(), F.coalesce(*broken, F.lit(None).cast("string")))
+        F.when(row.isNotNull(), _broken(rules))
         .when(whole.isNull() | ~whole.endswith(", end: STRING>"), F.lit("not a JSON document"))
         .when(~_is_object(), F.lit("not of type object"))
-        .otherwise(_first_problem(doc, text, rules))))
-    event = F.struct(*[row[f.name].cast(rules.schema[f.name].dataType).alias(f.name) for f in rules.fields])
-    return judged.select(*df.columns, F.when(F.col("error").isNull(), event).alias("event"), "error")
+        .otherwise(_first_problem(text, rules))))
+    return judged.select(*df.columns, F.when(F.col("error").isNull(), F.struct(*_event(rules))).alias("event"), "error")
+
+
+def valid_only(df: DataFrame, text: Column, rules: EventRules) -> DataFrame:
+    """The typed fields of the valid documents, as ``valid_events(check(...))`` gives them, without making messages."""
+    typed = _typed_rows(df, text, rules)
+    return typed.where(F.col("_row").isNotNull() & _broken(rules).isNull()).select(*_event(rules))
 
 
 def check_records(records: DataFrame, rules: EventRules) -> DataFrame:
@@ -115,6 +154,10 @@ def rejected(checked: DataFrame) -> DataFrame:
     return checked.where(F.col("error").isNotNull()).drop("event")
 
 
+#: Times whose differences and look-backs stay within 64 bits, and the end of the year 9999.
+MAX_TIME_MS = 4_000_000_000_000_000_000
+CALENDAR_MS = 253_402_300_799_999
+# The keys that a transaction must have.
 REQUIRED_TRANSACTION_KEYS = ("transaction_id", "customer_id", "amount", "event_time")
 
 
@@ -123,8 +166,8 @@ def parse_transactions(df: DataFrame, text: Column, record_timestamp: Column | N
 
     The four required keys must be present. ``merchant`` and ``city`` default to "", ``hour`` to 0.
     Numbers may be quoted. ``event_ts`` is the event time, or ``record_timestamp`` where the event
-    time cannot be read; a row with unreadable ``event_time`` or ``hour`` has ``complete`` false and
-    only counts in the spend window.
+    time cannot be read or is no time of a calendar; a row whose ``event_time`` or ``hour`` is unreadable, or whose
+    ``event_time`` is beyond ``MAX_TIME_MS``, has ``complete`` false and only counts in the spend window.
     """
     doc = F.col("_doc")
     fields = ("transaction_id", "customer_id", "amount", "merchant", "city", "event_time", "hour")
@@ -143,7 +186,9 @@ def parse_transactions(df: DataFrame, text: Column, record_timestamp: Column | N
         customer_id=_member(doc, "customer_id", "string"), amount=_member(doc, "amount", "double"),
         merchant=or_default("merchant", "string", ""), city=or_default("city", "string", ""),
         event_time=_member(doc, "event_time", "bigint"), hour=or_default("hour", "int", 0))
-    at = F.coalesce(F.timestamp_millis(F.col("event_time")), F.col("_record_ts"))
+    ms = F.col("event_time")
+    at = F.coalesce(F.when(F.abs(F.when(ms > -MAX_TIME_MS, ms)) <= CALENDAR_MS, F.timestamp_millis(ms)), F.col("_record_ts"))
     return (values.where(F.col("customer_id").isNotNull() & F.col("amount").isNotNull())
             .select(*fields, at.alias("event_ts"),
-                    (F.col("event_time").isNotNull() & F.col("hour").isNotNull()).alias("complete")))
+                    (F.coalesce(ms.between(-MAX_TIME_MS, MAX_TIME_MS), F.lit(False)) & F.col("hour").isNotNull())
+                    .alias("complete")))

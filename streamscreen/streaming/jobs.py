@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
@@ -51,35 +52,49 @@ def drain(query: StreamingQuery) -> None:
     query.awaitTermination()
 
 
-def split_late(df: DataFrame, time: str, delay: str, path: str, checkpoint: str, *,
+def stop_after(query: StreamingQuery, rows: int, seconds: float = 900) -> StreamingQuery:
+    """Stop a query that never ends by itself (as with expiring state) once it has read ``rows`` input rows."""
+    read: dict[int, int] = {}
+    end = time.monotonic() + seconds
+    while query.isActive and sum(read.values()) < rows:
+        if time.monotonic() > end:
+            query.stop()
+            raise TimeoutError(f"read {sum(read.values())} of {rows} rows in {seconds} seconds")
+        time.sleep(0.2)
+        read |= {p["batchId"]: p["numInputRows"] for p in query.recentProgress}
+    query.stop()
+    return query
+
+
+def split_late(df: DataFrame, at: str, delay: str, path: str, checkpoint: str, *,
                trigger: Mapping[str, object] | None = None) -> StreamingQuery:
     """Audit copy of a stream: each row with ``late``, true if it is more than ``delay`` behind the
     newest event time of the micro-batches before its own.
 
-    The newest time so far is kept beside the output, one row per batch, so a restart continues it.
+    The newest time so far is kept beside the output, one row per batch, so a restart continues it. A batch reads the
+    mark of the one before it only.
     """
     marks = f"{path}/marks"
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        # One small file per batch; only earlier batches count.
-        seen = spark.read.schema("newest timestamp, upto long").parquet(marks) if batch_id else None
-        newest = None if seen is None else seen.where(F.col("upto") < batch_id).agg(F.max("newest")).first()[0]
+        mark = spark.read.schema("newest timestamp").parquet(f"{marks}/batch={batch_id - 1}") if batch_id else None
+        newest = None if mark is None else mark.first()[0]
         limit = F.lit(newest).cast("timestamp") - F.expr(f"INTERVAL {delay}")
-        late = F.lit(False) if newest is None else F.coalesce(F.col(time) < limit, F.lit(False))
+        late = F.lit(False) if newest is None else F.coalesce(F.col(at) < limit, F.lit(False))
         batch.withColumn("late", late).write.mode("overwrite").parquet(f"{path}/rows/batch={batch_id}")
-        (batch.agg(F.max(time).alias("newest")).withColumn("upto", F.lit(batch_id).cast("long"))
-         .write.mode("overwrite").parquet(f"{marks}/batch={batch_id}"))
+        # The rows are read back rather than computed again for their newest time.
+        own = spark.read.schema(batch.schema).parquet(f"{path}/rows/batch={batch_id}")
+        so_far = F.greatest(F.max(at), F.lit(newest).cast("timestamp"))
+        own.agg(so_far.alias("newest")).write.mode("overwrite").parquet(f"{marks}/batch={batch_id}")
 
     return (df.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
             .trigger(**(trigger or EVERY_30_SECONDS)).start())
 
 
 def dropped_by_watermark(query: StreamingQuery) -> int:
-    """Rows the last micro-batch's stateful operators refused as late."""
-    progress = query.lastProgress
-    return 0 if progress is None else sum(
-        int(op["numRowsDroppedByWatermark"]) for op in progress["stateOperators"])
+    """Rows that stateful operators refused as late, over the micro-batches that the query still reports (100 at most)."""
+    return sum(int(op["numRowsDroppedByWatermark"]) for p in query.recentProgress for op in p["stateOperators"])
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:

@@ -74,18 +74,22 @@ def test_display(spark):
     assert one(spark, span(F.lit(600000), F.lit(1200000))) == "[600000 - 1200000]"
 
 
-def test_event_timestamp_falls_back(spark):
-    df = spark.createDataFrame([("1000",), ("x",)], "v string")
-    got = [r[0] for r in df.select(F.unix_millis(units.event_timestamp(
-        F.col("v"), F.timestamp_millis(F.lit(5))))).collect()]
-    assert got == [1000, 5]
-
-
 def test_exact_sum_does_not_depend_on_order(spark):
     df = spark.createDataFrame([(0.1,)] * 10 + [(1e9,)], "v double")
     assert df.agg(units.exact_sum(F.col("v"))).first()[0] == 1000000001.0
 
 
+def test_exact_sum_keeps_digits_and_survives_odd_amounts(spark):
+    def total(*values):
+        df = spark.createDataFrame([(v,) for v in values], "v double")
+        return df.agg(units.exact_sum(F.col("v"))).first()[0]
+
+    assert total(*[0.00001] * 3, 1e12) == 1000000000000.00003
+    assert total(1e16, 0.5, -1e16) == 0.5
+    assert total(1e300, 1.0) == 1e300 and str(total(float("nan"), 1.0)) == "nan"
+    assert total() is None and total(None, 2.0) == 2.0
+
+
 def test_sql_functions(spark):
     assert register_functions(spark) == ["aqi_status", "c_to_f", "f_to_c"]
     assert rows(spark.sql("SELECT f_to_c(212), c_to_f(0), aqi_status(151)")) == [(100.0, 32.0, "Unhealthy")]

@@ -2,6 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from streamscreen.operators import rules
+from streamscreen.plans import card_fraud
 from tests.conftest import rows
 
 T0 = 1_704_067_200_000  # 2024-01-01 00:00 UTC
@@ -93,6 +94,6 @@ def test_card_velocity(spark):
 
 def test_all_alerts_and_stamp(spark):
     df = txns(spark, [(f"t{i}", "C1", 12000, i * 1000, 2) for i in range(6)])
-    got = rules.stamp(rules.all_alerts(df), F.lit(7))
+    got = rules.stamp(card_fraud.detect(df), F.lit(7))
     assert got.columns == [*rules.ALERT_COLUMNS, "alert_time"]
     assert rows(got.groupBy("rule_id").count()) == [("R1", 6), ("R2", 1), ("R3", 1), ("R4", 6)]
