@@ -43,7 +43,7 @@ BLOCK = 256
 PACK = 400
 #: N-grams hashed at a time, and columns of a product.
 STEP, COLUMNS = 1 << 15, 4096
-CACHE = 500_000
+CACHE = 300_000
 _WORD = re.compile(r"\w+")
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
@@ -131,6 +131,7 @@ def scan(docs: DataFrame, n: int, bands: int, rows: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(keys, pa.binary()), pa.array(found, pa.list_(pa.int64()))],
                 ["doc_id", "set_key", "bands"])
+        _words.clear()  # the worker lives on, and later stages need its memory
 
     made = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").mapInArrow(
         run, "doc_id bigint, set_key binary, bands array<bigint>")

@@ -44,7 +44,7 @@ UNIGRAM, BPE = 1, 2
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 UNKNOWN_PENALTY = 10.0
 #: Entries that a worker remembers before it forgets them all.
-MAX_WORDS, MAX_PAIRS = 1_000_000, 2_000_000
+MAX_WORDS, MAX_PAIRS = 300_000, 400_000
 
 
 def _fields(data: bytes) -> Iterator[tuple[int, object]]:
@@ -127,7 +127,8 @@ class Vocabulary:
                     " ⁇ ".encode() if k == UNKNOWN else t.encode()
                     for t, k in zip(self.texts, self.kinds, strict=True)]
         self.known: dict[str, bytes] = {}
-        self.beside: dict[tuple[int, int], bool] = {}
+        #: (piece before + 1) * number of pieces + piece -> whether the piece stands there
+        self.beside: dict[int, bool] = {}
 
     # Segmentation ------------------------------------------------------------------------------
 
@@ -147,19 +148,19 @@ class Vocabulary:
 
     def stands(self, before: int, piece: int) -> bool:
         """Whether ``piece`` stays whole after ``before`` (-1: a beginning or a character without a piece)."""
-        key = (before, piece)
+        key = (before + 1) * len(self.texts) + piece
         known = self.beside.get(key)
         if known is None:
             if len(self.beside) >= MAX_PAIRS:
                 self.beside.clear()
-            parts = [self.texts[i] for i in key if i >= 0]
+            parts = [self.texts[i] for i in (before, piece) if i >= 0]
             known = self.beside[key] = self.merged("".join(parts)) == parts
         return known
 
     def segment(self, words: list[str]) -> Iterator[tuple[str, list[tuple[int, int, int]]]]:
         """Each of the sorted ``words`` with its pieces as (id or -1, begin, end)."""
         unigram, trie = self.model_type == UNIGRAM, self.trie
-        scores, stands, beside = self.scores, self.stands, self.beside
+        scores, stands, beside, size = self.scores, self.stands, self.beside, len(self.texts)
         # States of the prefixes of the last word, by length: pieces begun and not ended (begin, node), last piece (id, begin), score.
         begun: list[list] = [[]]
         last: list[tuple[int, int]] = [(-1, 0)]
@@ -185,9 +186,9 @@ class Vocabulary:
                         if (score := forward[begin] + scores[piece]) > best:
                             chosen, best = (piece, begin), score
                     elif chosen is None:
-                        key = (last[begin][0], piece)
-                        fits = beside.get(key)
-                        if stands(*key) if fits is None else fits:
+                        before = last[begin][0]
+                        fits = beside.get((before + 1) * size + piece)
+                        if stands(before, piece) if fits is None else fits:
                             chosen, best = (piece, begin), 0.0
                 if unigram and trie.get(c, {}).get("") is None and (score := forward[end - 1] + self.unknown_score) > best:
                     chosen, best = (-1, end - 1), score
@@ -258,8 +259,8 @@ def _mapped(df: DataFrame, added: list[T.StructField], make) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for at in range(0, max(whole.num_rows, 1), 1000):
-                batch = whole.slice(at, 1000)
+            for at in range(0, max(whole.num_rows, 1), 250):
+                batch = whole.slice(at, 250)
                 yield pa.RecordBatch.from_arrays([*batch.columns, *make(batch)], [*batch.schema.names, *names])
 
     return df.mapInArrow(run, T.StructType([*df.schema.fields, *added]))
