@@ -47,8 +47,13 @@ def _alert(rule_id: str, rule_name: str, risk: Column, details: Column) -> Colum
                     F.round(risk, 2).alias("risk_score"), details.alias("details"))
 
 
+def _number(name: str) -> Column:
+    """The amount, or null where it is NaN, which would compare as larger than any limit."""
+    return F.nanvl(F.col(name), F.lit(None).cast("double"))
+
+
 def high_value(limits: Limits = Limits()) -> Column:
-    amount = F.col("amount")
+    amount = _number("amount")
     risk = capped_score(50.0, (amount - limits.high_amount) / 1000)
     text = F.concat(F.lit("Amount "), dollars(amount), F.lit(" exceeds "),
                     F.lit(f"${limits.high_amount:,.0f} threshold"))
@@ -63,7 +68,7 @@ def velocity(limits: Limits = Limits()) -> Column:
 
 
 def night_owl(limits: Limits = Limits()) -> Column:
-    amount, hour = F.col("amount"), F.col("hour")
+    amount, hour = _number("amount"), F.col("hour")
     text = F.concat(dollars(amount), F.lit(" transaction at "), clock_hour(hour))
     return F.when(hour.between(limits.night_first_hour, limits.night_last_hour)
                   & (amount > limits.night_amount),
@@ -71,7 +76,7 @@ def night_owl(limits: Limits = Limits()) -> Column:
 
 
 def escalation(limits: Limits = Limits()) -> Column:
-    amount, before = F.col("amount"), F.col("previous_amount")
+    amount, before = _number("amount"), _number("previous_amount")
     ratio = amount / F.when(before > 0, before)
     risk = capped_score(50.0, ratio * 5)
     text = F.concat(dollars(amount), F.lit(" is "), times(ratio), F.lit("x previous "), dollars(before))
