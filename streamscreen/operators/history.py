@@ -115,8 +115,8 @@ def running(df: DataFrame, keys: Sequence[str], order_by: Sequence[str], *,
         *[F.last(f"_end_{n}", ignorenulls=True).over(earlier).alias(f"_carry_{n}") for n in previous],
     )
     local = _within(cut, [*keys, "_piece"], order_by, sums, previous)
-    # carry holds at most pieces + number of hot keys rows.
-    warm = _attach(local, carry, [*keys, "_piece"], hot.small, "left")
+    # carry holds a row for each piece and hot key; with many pieces it is joined by shuffle like the keys.
+    warm = _attach(local, carry, [*keys, "_piece"], hot.small and pieces <= MAX_BROADCAST_KEYS, "left")
     warm = warm.select(
         *df.columns,
         *[F.when(F.col(n).isNull(), F.col(f"_carry_{n}"))

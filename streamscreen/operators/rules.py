@@ -18,6 +18,7 @@ ALERT_COLUMNS = ("transaction_id", "customer_id", "amount", "city", "event_time"
 TIE = ("transaction_id",)
 
 
+# Thresholds and windows here, rule ids, names, scores and texts below.
 @dataclass(frozen=True)
 class Limits:
     """Thresholds and windows of all rules."""
@@ -166,8 +167,9 @@ def cool_off(alerts: DataFrame, *, key: str = "customer_id", time: str = "event_
     A pause of ``quiet_ms`` always restarts the choice, so alerts fall into independent runs and
     the first of each run is kept. Inside a long run the kept times follow from "first time at
     least ``quiet_ms`` later"; those links are doubled, so a run of n kept alerts takes log2(n)
-    joins and no task has to walk through a run.
+    joins and no task has to walk through a run. The alerts are written once, as counting and ordering both read them.
     """
+    alerts = durable(alerts, "cool-off-alerts")
     hot = hot_keys(alerts, [key], max(1, hot_rows // 2))
     marked = running(alerts, [key], [time, *tie], previous={"_before": F.col(time)},
                      hot_rows=hot_rows, hot=hot)

@@ -16,6 +16,7 @@ from streamscreen.functions import labels
 from streamscreen.functions.units import aqi_in_range, f_to_c, humidity_in_range
 from streamscreen.operators.intervals import interval_join, lookup_join
 
+# These spans, and the limits in the queries below.
 MINUTE_MS = 60_000
 HOUR_MS = 3_600_000
 

@@ -12,6 +12,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from streamscreen.sources import topics
 from streamscreen.sources.topics import Topic
+from streamscreen.streaming.jobs import run_idempotent, run_to_table
 
 
 @dataclass(frozen=True)
@@ -36,10 +37,7 @@ def declare(spark: SparkSession, name: str, stream: Stream, *, streaming: bool =
 def persist_stream(df: DataFrame, path: str, checkpoint: str, *, partitions: int | None = None,
                    trigger: Mapping[str, object] | None = None) -> StreamingQuery:
     """Keep a derived stream as a growing table; ``partitions=1`` as a one-partition topic."""
-    out = df if partitions is None else df.coalesce(partitions)
-    return (out.writeStream.format("parquet").option("path", path)
-            .option("checkpointLocation", checkpoint)
-            .trigger(**(trigger or {"processingTime": "30 seconds"})).outputMode("append").start())
+    return run_to_table(df if partitions is None else df.coalesce(partitions), path, checkpoint, trigger=trigger)
 
 
 def persist_table(df: DataFrame, keys: Sequence[str], path: str, checkpoint: str, *,
@@ -49,11 +47,7 @@ def persist_table(df: DataFrame, keys: Sequence[str], path: str, checkpoint: str
     Writing a batch again after a failure replaces it, so a restart leaves no duplicates;
     :func:`current_table` reads the newest row per key.
     """
-    def upsert(changed: DataFrame, batch: int) -> None:
-        changed.write.mode("overwrite").parquet(f"{path}/batch={batch}")
-
-    return (df.writeStream.foreachBatch(upsert).option("checkpointLocation", checkpoint)
-            .trigger(**(trigger or {"processingTime": "30 seconds"})).outputMode("update").start())
+    return run_idempotent(df, checkpoint, path, mode="update", trigger=trigger)
 
 
 def current_table(spark: SparkSession, path: str, keys: Sequence[str]) -> DataFrame:

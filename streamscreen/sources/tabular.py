@@ -9,7 +9,9 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from streamscreen.operators.intervals import small_enough
 from streamscreen.schemas import PAYMENT
+from streamscreen.session import durable
 
 FIELDS = tuple(PAYMENT.fieldNames())
 
@@ -24,7 +26,7 @@ def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
     """Lines of text files with ``source`` (file path) and ``row`` (1-based line number in the file).
 
     Files may be split over tasks: each task counts its own block, and block totals, one row per
-    file block, give the number to start from.
+    file block, give the number to start from. The totals are written, and broadcast if they are measured small.
     """
     lines = spark.read.text(path).select(
         "value", F.col("_metadata.file_path").alias("source"),
@@ -32,7 +34,9 @@ def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
         F.monotonically_increasing_id().alias("_id"))
     blocks = lines.groupBy("source", "_block").agg(F.min("_id").alias("_first"), F.count(F.lit(1)).alias("_n"))
     before = Window.partitionBy("source").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
-    starts = blocks.withColumn("_start", F.coalesce(F.sum("_n").over(before), F.lit(0)))
+    starts = durable(blocks.withColumn("_start", F.coalesce(F.sum("_n").over(before), F.lit(0))), "file-blocks")
+    if small_enough(starts):
+        starts = F.broadcast(starts)
     return (lines.join(starts, ["source", "_block"])
             .select("value", "source", (F.col("_id") - F.col("_first") + F.col("_start") + 1).alias("row")))
 
@@ -43,8 +47,12 @@ def read_payment_rows(spark: SparkSession, path: str, separator: str = ",") -> D
     Every file must start with the expected header; quoted line breaks are not supported.
     """
     lines = numbered_lines(spark, path)
-    heads = lines.where(F.col("row") == 1).select(
-        F.transform(F.split("value", separator), lambda c: F.trim(c)).alias("names"))
+    # The first line of a file is the first of the block that starts it; the other blocks are not looked at.
+    heads = spark.read.text(path).select(
+        "value", F.col("_metadata.file_path").alias("source"), F.col("_metadata.file_block_start").alias("_block"),
+        F.monotonically_increasing_id().alias("_id")).where(F.col("_block") == 0).groupBy("source").agg(
+        F.min_by("value", "_id").alias("_first")).select(
+        F.transform(F.split("_first", separator), lambda c: F.trim(c)).alias("names"))
     good = F.slice("names", 1, len(FIELDS)) == F.array(*map(F.lit, FIELDS))
     wrong = heads.where(~good).take(1)
     if wrong:
