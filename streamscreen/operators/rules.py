@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from streamscreen.functions.display import clock_hour, dollars, span, times
 from streamscreen.functions.units import capped_score, epoch_ms, exact_sum, from_units, to_units
 from streamscreen.operators.history import HOT_ROWS, distinct_look_back, hot_keys, look_back, running
-from streamscreen.session import durable
+from streamscreen.session import discard, durable
 
 ALERT_COLUMNS = ("transaction_id", "customer_id", "amount", "city", "event_time",
                  "rule_id", "rule_name", "risk_score", "details")
@@ -195,9 +195,12 @@ def cool_off(alerts: DataFrame, *, key: str = "customer_id", time: str = "event_
     while not links.isEmpty():
         step = kept.join(links, kept["_key"].eqNullSafe(links["_key"]) & (kept["_t"] == links["_from"])).select(
             kept["_key"], links["_to"].alias("_t"))
-        kept = durable(kept.unionByName(step), "kept")
+        before, kept = kept, durable(kept.unionByName(step), "kept")
+        discard(before)
         onward = links.select(F.col("_key").alias("_k2"), F.col("_from").alias("_f2"), F.col("_to").alias("_t2"))
-        links = durable(links.join(onward, F.col("_key").eqNullSafe(F.col("_k2")) & (F.col("_to") == F.col("_f2")))
-                        .select("_key", "_from", F.col("_t2").alias("_to")), "links")
+        shorter, links = links, durable(
+            links.join(onward, F.col("_key").eqNullSafe(F.col("_k2")) & (F.col("_to") == F.col("_f2")))
+            .select("_key", "_from", F.col("_t2").alias("_to")), "links")
+        discard(shorter)
     return (marked.join(kept, marked[key].eqNullSafe(kept["_key"]) & (marked[time] == kept["_t"]), "left_semi")
             .select(*alerts.columns))

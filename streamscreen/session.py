@@ -59,4 +59,17 @@ def durable(df: DataFrame, label: str = "stage") -> DataFrame:
     spark = df.sparkSession
     path = new_path(spark, label)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    kept = spark.read.schema(df.schema).parquet(path)
+    kept.durable_path = path
+    return kept
+
+
+def discard(df: DataFrame) -> None:
+    """Delete the table that ``durable`` made ``df`` of; to be called once nothing reads it any more.
+
+    Other DataFrames are left alone.
+    """
+    path = getattr(df, "durable_path", None)
+    if path is not None:
+        target = df.sparkSession._jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(target, True)
