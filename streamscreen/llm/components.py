@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from streamscreen.session import durable
+from streamscreen.session import discard, durable
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -23,8 +23,9 @@ def components(edges: DataFrame) -> DataFrame:
         lower = labels.join(near, F.col("node") == F.col("a")).select(
             "node", F.col("root").alias("_was"), F.least("root", "_near").alias("_root"))
         above = labels.select(F.col("node").alias("_above"), F.col("root").alias("_next"))
-        labels = durable(lower.join(above, F.col("_root") == F.col("_above")).select(
+        before, labels = labels, durable(lower.join(above, F.col("_root") == F.col("_above")).select(
             "node", F.least("_root", "_next").alias("root"), "_was"), "graph-labels")
+        discard(before)
         if labels.where(F.col("root") != F.col("_was")).limit(1).count() == 0:
+            discard(both)
             return labels.select("node", "root")
-        labels = labels.select("node", "root")
