@@ -48,8 +48,8 @@ def _limits(rule: Field, value: Column) -> list[Column]:
         out.append(F.when(value < rule.minimum,
                           F.lit(f"'{rule.name}' is less than the minimum of {rule.minimum}")))
     if rule.kind == "integer":
-        out.append(F.when(value.isNotNull() & value.try_cast("bigint").isNull(),
-                          F.lit(f"'{rule.name}' does not fit 64 bits")))
+        # A number too large for the decimal reads as null.
+        out.append(F.when(value.try_cast("bigint").isNull(), F.lit(f"'{rule.name}' does not fit 64 bits")))
     if rule.min_length is not None:
         out.append(F.when(F.length(value) < rule.min_length, F.lit(f"'{rule.name}' is too short")))
     if rule.one_of:
@@ -80,8 +80,6 @@ def _first_problem(text: Column, rules: EventRules) -> Column:
         out.append(own)
         value = _member(F.col("_doc"), rule.name, _READ_AS[rule.kind])
         out += [F.when(own.isNull(), broken) for broken in _limits(rule, value)]
-        if rule.kind == "integer":
-            out.append(F.when(own.isNull() & value.isNull(), F.lit(f"'{rule.name}' does not fit 64 bits")))
     extra = F.array_except(F.json_object_keys(text), F.array(*[F.lit(f.name) for f in rules.fields]))
     out.append(F.when(F.size("_types") > len(rules.fields), F.concat(
         F.lit("additional properties are not allowed: "), F.array_join(extra, ", "))))

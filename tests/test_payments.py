@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from streamscreen import schemas
 from streamscreen.operators import payments
 from streamscreen.plans import payment_screening, people
-from streamscreen.sources import tabular, topics, validate
+from streamscreen.sources import relational, tabular, topics, validate
 from tests.conftest import rows
 
 BASE = {"event_id": "e", "card_id": "c1", "user_id": "u", "merchant_id": "m", "merchant_category": "BOOKS",
@@ -113,6 +113,50 @@ def test_person_rules(spark):
         "additional properties are not allowed: x", "'age' is not of type integer", "'age' is not of type integer"]
 
 
+def test_large_numbers_keep_their_digits_or_are_rejected(spark):
+    good = {"event_id": 1, "name": "Tom", "age": 29, "ts_utc": "t"}
+    values = [{**good, "event_id": n} for n in (3_000_000_000, 2**53 + 1, 2**63 - 1, 2**63, 10**30)]
+    values += [b'{"event_id":1e300,"name":"Tom","age":1,"ts_utc":"t"}', b'{"event_id":5,"event_id":6,"name":"Tom","age":1,"ts_utc":"t"}']
+    ok, bad = people.read_people(raw(spark, values, key=b"Tom", headers=None))
+    assert rows(ok, "offset", "event_id") == [(0, 3_000_000_000), (1, 2**53 + 1), (2, 2**63 - 1), (6, 6)]
+    assert {r["error"] for r in bad.collect()} == {"'event_id' does not fit 64 bits"}
+
+
+def test_problems_of_nested_and_missing_fields(spark):
+    values = [with_(amount={"value": 1}), with_(channel=["POS"]), with_(amount=None), without("channel"),
+              {**with_(channel="WEB"), "note": {"amount": 1}}, {**with_(amount="1"), "note": 1}, with_(amount=-1.0),
+              {**BASE, "odd: STRING, channel": "x"}]
+    got = validate.check_records(raw(spark, values), schemas.PAYMENT_RULES).orderBy("offset")
+    assert [r["error"] for r in got.collect()] == [
+        "'amount' is not of type number", "'channel' is not of type string", "'amount' is not of type number",
+        "'channel' is a required property", "'channel' is not one of ['POS', 'ECOM', 'ATM']",
+        "'amount' is not of type number", "'amount' is less than the minimum of 0",
+        "additional properties are not allowed: odd: STRING, channel"]
+
+
+def test_valid_rows_without_messages_are_the_valid_events(spark):
+    records = raw(spark, [with_(), with_(amount=-1), with_(amount="1"), b"x", with_(channel="WEB"), with_(amount=7)])
+    plain = validate.valid_events(validate.check_records(records, schemas.PAYMENT_RULES))
+    quick = validate.valid_only(records, F.col("value").cast("string"), schemas.PAYMENT_RULES)
+    assert quick.schema == plain.schema and rows(quick) == rows(plain) and quick.count() == 2
+
+
+def test_only_new_rows_are_published(spark, tmp_path):
+    topic, marks = topics.Topic("t", folder=str(tmp_path / "topics")), str(tmp_path / "marks")
+    table = spark.createDataFrame([(i, f"n{i}") for i in range(6)], "id long, name string")
+
+    def number(r):
+        return topics.numbered(r, 2, F.lit(0), F.current_timestamp())
+
+    def run(rows_):
+        return relational.publish_new(spark, rows_, "t", "id", topic, marks, number=number)
+
+    assert [run(table.where("id < 0")), run(table.where("id < 3")), run(table.where("id < 3")), run(table), run(table)] == [
+        None, 2, 2, 5, 5]
+    sent = [json.loads(r[0])["id"] for r in topics.read_batch(spark, topic).select(F.col("value").cast("string")).collect()]
+    assert sorted(sent) == list(range(6))
+
+
 def test_validated_write(spark):
     df = spark.createDataFrame([(1, "Tom", 29, "t"), (2, "", 35, "t")], schemas.PERSON_EVENT)
     records, bad = people.publish_people(df)
