@@ -71,6 +71,9 @@ def job_sql() -> dict[str, str]:
     return {
         "fraud_job": _JOB,
         "streamed_fraud_job": _JOB,
+        "hot_customer_counts": "WITH " + _TX.replace(
+            "'C' || user_id AS customer_id", "CASE WHEN event_id % 3 = 0 THEN 'HOT' ELSE 'C' || user_id END AS customer_id")
+            + f", {_history(HOUR)} SELECT transaction_id, customer_id, recent_count, previous_amount FROM hist",
         "odd_transactions": f"""WITH {_ODD} SELECT transaction_id, customer_id, event_type = 'signup' AS no_number, amount,
             CASE WHEN event_type = 'error' THEN 9000000000000000000 ELSE ms END AS event_time,
             event_type <> 'error' AS complete, ms AS event_ms FROM odd""",

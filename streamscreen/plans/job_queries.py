@@ -82,6 +82,16 @@ def streamed_fraud_job(spark, sf):
     return _alert_rows(spark.read.parquet(out))
 
 
+@register
+def hot_customer_counts(spark, sf):
+    """Look-back counts where one customer has a third of all rows and is cut into pieces."""
+    t = b.transactions(spark, sf)
+    number = F.substring("transaction_id", 5, 20).cast("long")
+    hot = t.withColumn("customer_id", F.when(number % 3 == 0, F.lit("HOT")).otherwise(F.col("customer_id")))
+    return rules.with_history(hot, rules.Limits(velocity_ms=3_600_000), hot_rows=2000).select(
+        "transaction_id", "customer_id", "recent_count", "previous_amount")
+
+
 def _odd_lines(spark: SparkSession, sf: str) -> DataFrame:
     """Valid but odd JSON: huge ids and times, repeated keys, NaN and 1e300 as amounts."""
     events = b.table(spark, sf, "events")
