@@ -10,9 +10,9 @@ The set is sent in blocks of ``block`` hashes, so the size of what is sent is bo
 the benchmark's size; every block is another scan. Window words are joined by broadcast below ``block``
 windows and by shuffle above.
 
-Words: A-Z lower-cased, then runs of ``[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]``. Scanning uses the
-JVM's faster lower-casing, which maps equal words to equal words and so loses no hit; the comparison of words
-uses A-Z only.
+Words: A-Z lower-cased, then runs of ``[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]``. Scan, hashes and comparison
+all use these words: full lower-casing depends on what stands around a letter (Greek final sigma), so the same word would
+differ between a text and an item.
 
 Defined results: a null, empty or wordless text has no words, so no hits; items without words have no
 windows; repeated items count once; rows of one doc_id are one document in ``contamination`` (the
@@ -37,17 +37,10 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 
-def _split(lowered: Column) -> Column:
-    return F.array_remove(F.split(F.coalesce(lowered, F.lit("")), SEPARATORS), "")
-
-
 def words(text: Column) -> Column:
     """The words of a text, by the definition above."""
-    return _split(F.translate(text, UPPER, LOWER))
-
-
-def _scanned_words(text: Column) -> Column:
-    return _split(F.lower(text))
+    lowered = F.translate(text, UPPER, LOWER)
+    return F.array_remove(F.split(F.coalesce(lowered, F.lit("")), SEPARATORS), "")
 
 
 def benchmark_windows(benchmark: DataFrame, n: int = WINDOW) -> DataFrame:
@@ -56,14 +49,13 @@ def benchmark_windows(benchmark: DataFrame, n: int = WINDOW) -> DataFrame:
     starts = F.sequence(F.lit(1), F.greatest(F.size("_words") - n + 1, F.lit(1)))
     windows = items.select("item_id", F.least(F.size("_words"), F.lit(n)).alias("length"),
                            F.explode(F.transform(starts, lambda i: F.slice(F.col("_words"), i, n))).alias("_window"))
-    # The scan hashes words lower-cased by the JVM; so must the set.
     return windows.select("item_id", "length", F.concat_ws(" ", "_window").alias("passage"),
-                          F.xxhash64(F.transform("_window", F.lower)).alias("hash")).distinct()
+                          F.xxhash64("_window").alias("hash")).distinct()
 
 
 def _scan(docs: DataFrame, hashes: dict[int, list[int]], keep: list[str]) -> DataFrame:
     """``keep`` columns, n_words and a row for each window whose hash is in the set, or one row without."""
-    worded = docs.select(*keep, "text", _scanned_words(F.col("text")).alias("_words"))
+    worded = docs.select(*keep, words(F.col("text")).alias("_words"))
     found = []
     for length, values in sorted(hashes.items()):
         numbers = ",".join(f"{v}L" if v > -(1 << 63) else "(-9223372036854775807L - 1L)" for v in values)
@@ -73,15 +65,12 @@ def _scan(docs: DataFrame, hashes: dict[int, list[int]], keep: list[str]) -> Dat
                       i -> struct(i AS first, {length} AS length, xxhash64(slice(_words, i, {length})) AS hash))""")
         found.append(F.when(F.size("_words") >= length, scan))
     none = F.array().cast("array<struct<first:int,length:int,hash:bigint>>")
-    scanned = worded.select(*keep, "text", F.size("_words").cast("long").alias("n_words"),
+    scanned = worded.select(*keep, "_words", F.size("_words").cast("long").alias("n_words"),
                             F.concat(none, *[F.coalesce(f, none) for f in found]).alias("_found"))
-    # The exact words are cut only in documents with candidates.
-    exact = F.when(F.size("_found") > 0, words(F.col("text")))
-    cut = scanned.select(*keep, "n_words", "_found", exact.alias("_exact"))
     passages = F.transform("_found", lambda f: F.struct(
         f["first"].alias("first"), f["length"].alias("length"), f["hash"].alias("hash"),
-        F.concat_ws(" ", F.slice(F.col("_exact"), f["first"], f["length"])).alias("passage")))
-    return cut.select(*keep, "n_words", passages.alias("_found"))
+        F.concat_ws(" ", F.slice(F.col("_words"), f["first"], f["length"])).alias("passage")))
+    return scanned.select(*keep, "n_words", passages.alias("_found"))
 
 
 def _blocks(windows: DataFrame, block: int) -> list[dict[int, list[int]]]:

@@ -74,3 +74,11 @@ def test_empty_tables(spark):
     docs, items = tables(spark)
     assert d.contamination(docs.where("false"), items).collect() == []
     assert all(r["n_hit"] == 0 for r in d.contamination(docs, items.where("false")).collect())
+
+
+def test_words_do_not_depend_on_what_stands_around_them(spark):
+    items = spark.createDataFrame([(1, "Α.Σ. ΠΑΟΚ"), (2, "ΟΔΟΣ.ΑΘΗΝΑ x"), (3, "οδος")], "item_id long, text string")
+    docs = spark.createDataFrame([(1, "Α.Σ. ΠΑΟΚ"), (2, "say ΟΔΟΣ.ΑΘΗΝΑ X"), (3, "say ΟΔΟΣ")], "doc_id long, text string")
+    got = {r["doc_id"]: (r["n_words"], r["n_hit"], r["items"]) for r in d.contamination(docs, items).collect()}
+    assert got == {1: (3, 3, ["1"]), 2: (4, 3, ["2"]), 3: (2, 0, [])}
+    assert [r["doc_id"] for r in d.clean(docs, items).collect()] == [3]
