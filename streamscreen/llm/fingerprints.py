@@ -1,16 +1,18 @@
 """Fingerprints of documents that add up: a homomorphic multiset hash of their paragraphs.
 
 A text is cut into pieces (lines, cut further at sentence ends and at ``MAX_PIECE`` code points), each
-trimmed. A piece hashes to a wide vector of ``LANES`` lanes with one lane set to a 38-bit value, and a fingerprint is the
-sum of its pieces' vectors modulo 2^38 with the number of pieces. So equal texts have equal fingerprints, the order of
+trimmed. A piece hashes to a wide vector of ``LEVELS`` levels of ``LANES`` lanes with one lane set to a 38-bit value, and a
+fingerprint is the sum of its pieces' vectors modulo 2^38 with the number of pieces. Of all pieces, a share of 4^-k lies at
+level k or above. So equal texts have equal fingerprints, the order of
 pieces does not matter, and pieces are inserted or deleted by adding or subtracting vectors (``combined``).
 
 Likeness: the lanes in which two fingerprints differ are those that the pieces of their difference fall
-into; counting the lanes left alone estimates how many pieces differ (linear counting), and with the two totals
-the Jaccard likeness of the multisets.
+into; counting a level's lanes left alone estimates how many of its pieces differ (linear counting). The levels from the
+finest one on that is not nearly full, times 4 for each finer level, give the number for the whole, however long the texts,
+and with the two totals the Jaccard likeness of the multisets.
 
-A fingerprint column is struct<pieces: bigint, lanes: array<bigint>>: sorted lane * 2^38 + value, only lanes that are
-set. ``as_text`` writes it. Everything is computed within a row.
+A fingerprint column is struct<pieces: bigint, lanes: array<bigint>>: sorted (level * LANES + lane) * 2^38 + value, only lanes
+that are set. ``as_text`` writes it. Everything is computed within a row.
 
 ``next_texts`` needs one shuffle: documents are dealt to ranges of ids, and the one
 document at the end of each range is dealt to both of its ranges.
@@ -26,6 +28,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 LANES = 1024
+#: With nine levels, one in 65 536 pieces is at the last, which some 3 000 different ones fill: more than a row can hold.
+LEVELS = 9
+#: Differing lanes (three pieces to a lane) above which a level is not counted.
+FULL = 972
 BITS = 38
 MODULUS = 1 << BITS
 MAX_PIECE = 40
@@ -60,9 +66,15 @@ def _summed(keys: Column) -> Column:
 
 def fingerprint(text: Column) -> Column:
     """The fingerprint of a text (null: '')."""
-    # 48 bits of the hash: 10 choose the lane, 38 are its value.
-    keys = F.transform(pieces(F.coalesce(text, F.lit(""))),
-                       lambda p: F.xxhash64(p).bitwiseAND(F.lit(LANES * MODULUS - 1)))
+    # The hash: 16 bits choose the level, 10 the lane, 38 are its value.
+    def key(h: Column) -> Column:
+        top = F.shiftrightunsigned(h, 48)
+        level = F.when(top >= 1 << 14, 0)
+        for k in range(1, LEVELS - 1):
+            level = level.when(top >= 1 << (14 - 2 * k), k)
+        return level.otherwise(LEVELS - 1) * F.lit(LANES * MODULUS) + h.bitwiseAND(F.lit(LANES * MODULUS - 1))
+
+    keys = F.transform(F.transform(pieces(F.coalesce(text, F.lit(""))), lambda p: F.xxhash64(p)), key)
     return F.struct(F.size(keys).cast("bigint").alias("pieces"), _summed(F.array_sort(keys)).alias("lanes"))
 
 
@@ -81,21 +93,40 @@ def combined(a: Column, b: Column, sign: int = 1) -> Column:
 
 
 def as_text(mark: Column) -> Column:
-    """pieces, ':' and the set lanes, each 12 hexadecimal digits."""
+    """pieces, ':' and the set lanes, each 13 hexadecimal digits."""
     return F.concat(mark["pieces"].cast("string"), F.lit(":"), F.concat_ws("", F.transform(
-        mark["lanes"], lambda k: F.lpad(F.lower(F.hex(k)), 12, "0"))))
+        mark["lanes"], lambda k: F.lpad(F.lower(F.hex(k)), 13, "0"))))
 
 
 def likeness(a: Column, b: Column) -> Column:
     """Estimated Jaccard likeness of the two multisets of pieces, 0 to 1; 1 for equal fingerprints."""
     lane = lambda k: F.shiftright(k, BITS)
-    either = F.size(F.array_union(F.transform(a["lanes"], lane), F.transform(b["lanes"], lane)))
-    differing = either - F.size(F.array_intersect(a["lanes"], b["lanes"]))
-    apart = -LANES * F.log((LANES - differing) / F.lit(float(LANES)))
+    differing = F.array_union(F.transform(F.array_except(a["lanes"], b["lanes"]), lane),
+                              F.transform(F.array_except(b["lanes"], a["lanes"]), lane))
+    same = (a["pieces"] == b["pieces"]) & (F.size(differing) == 0)
     total = a["pieces"] + b["pieces"]
-    return F.when((a["pieces"] == b["pieces"]) & (differing == 0), 1.0).when(
-        (total == 0) | (differing >= LANES), 0.0).otherwise(
-        F.least(F.greatest((total - apart) / (total + apart), F.lit(0.0)), F.lit(1.0)))
+    likely = F.transform(F.array(_apart(differing)), lambda n: (total - n) / (total + n))
+    return F.when(same, 1.0).when(total == 0, 0.0).otherwise(
+        F.least(F.greatest(F.get(likely, F.lit(0)), F.lit(0.0)), F.lit(1.0)))
+
+
+def _apart(differing: Column) -> Column:
+    """Estimated number of pieces that set the ``differing`` lanes; levels are read from the coarsest to the finest that counts."""
+    begin = F.struct(F.lit(0.0).alias("sum"), F.lit(float(4 ** LEVELS)).alias("scale"), F.lit(False).alias("full"))
+
+    def step(acc: Column, level: Column) -> Column:
+        # A variable for the count: filter runs once for each level.
+        n = F.size(F.filter(differing, lambda k: F.shiftright(k, LANES.bit_length() - 1) == level))
+        return F.element_at(F.transform(F.array(n), lambda n: counted(acc, n, level)), 1)
+
+    def counted(acc: Column, n: Column, level: Column) -> Column:
+        full = acc["full"] | ((n > FULL) & (level < LEVELS - 1))
+        number = -LANES * F.log(1 - F.least(n.cast("double"), F.lit(LANES - 0.5)) / LANES)
+        return F.when(full, F.struct(acc["sum"].alias("sum"), acc["scale"].alias("scale"), F.lit(True).alias("full"))).otherwise(
+            F.struct((acc["sum"] + number).alias("sum"), (acc["scale"] / 4).alias("scale"), F.lit(False).alias("full")))
+
+    levels = F.array(*[F.lit(k).cast("bigint") for k in reversed(range(LEVELS))])
+    return F.aggregate(levels, begin, step, lambda acc: acc["sum"] * acc["scale"])
 
 
 def _range_of(doc_id: Column, bounds: list[int]) -> Column:

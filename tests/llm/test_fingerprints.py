@@ -63,3 +63,15 @@ def test_repeated_single_and_no_rows(spark):
         (False, 0, "uvwxq"), (False, 1, "abcdab"), (False, 1, "abcduv"), (True, 0, "q")]
     assert [r["next_text"] for r in f.edited(spark.createDataFrame([(1, "abcdef")], schema)).collect()] == ["abcdef"]
     assert f.edited(spark.createDataFrame([], schema)).collect() == []
+
+
+@pytest.mark.parametrize("n", [12_000, 50_000])
+def test_likeness_of_long_texts(spark, n):
+    own, other = [f"line {i}" for i in range(n)], [f"other {i}" for i in range(n)]
+    pairs = [(own, own[:n - n // 3] + other[:n // 3]), (own, other), (own, own[1:] + other[:1])]
+    df = spark.createDataFrame([(i, "\n".join(a), "\n".join(b)) for i, (a, b) in enumerate(pairs)], "i int, a string, b string")
+    marked = df.select("i", f.fingerprint(F.col("a")).alias("a"), f.fingerprint(F.col("b")).alias("b"))
+    got = [r[0] for r in marked.sort("i").select(f.likeness(F.col("a"), F.col("b"))).collect()]
+    assert abs(got[0] - 0.5) < 0.06 and got[1] < 0.06 and 0.999 < got[2] < 1
+    undone = marked.where("i = 0").select(f.combined(f.combined(F.col("a"), F.col("b")), F.col("b"), -1) == F.col("a"))
+    assert undone.first()[0]
