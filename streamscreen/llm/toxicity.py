@@ -12,7 +12,7 @@ lambda solves the scores' moment equation and K is its maximum-likelihood value.
 logistic curve turns it into a score from 0 to 1.
 
 Lexicon and calibration are fitted on different halves of at most ``MAX_ROWS`` labelled rows, chosen by a hash of doc_id. What reaches
-the driver is the significant units and four numbers for each calibration row. Scoring reads every whole text, ``PIECE``
+the driver is the significant units, three numbers for each calibration row and the number of hits of each lexicon score. Scoring reads every whole text, ``PIECE``
 characters at a time.
 
 Defined results: a null or empty text has no passages and gets the score of no evidence; rows whose label is null are not
@@ -24,6 +24,7 @@ from __future__ import annotations
 
 import math
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -190,13 +191,16 @@ def lexicon(labelled: DataFrame) -> tuple[dict[int, dict[str, float]], dict[str,
     return {n: score(share[n]) for n in BEGINNINGS}, score(share[0])
 
 
-def _decay(lengths: np.ndarray, found: list[list[float]]) -> float:
-    """The positive root of the moment equation sum p(s) exp(lambda s) = 1 over words that are not toxic; 1 at most."""
-    own = np.array([s for scores in found for s in scores])
-    rest = lengths.sum() - len(own)
-    if not len(own) or rest <= 0:
+def _decay(words: float, scores: np.ndarray, hits: np.ndarray) -> float:
+    """The positive root of the moment equation sum p(s) exp(lambda s) = 1 over words that are not toxic; 1 at most.
+
+    ``hits`` words score ``scores``, the rest of all ``words`` score ``DRIFT``.
+    """
+    own = hits.sum()
+    rest = words - own
+    if not own or rest <= 0:
         return 1.0
-    moment = lambda x: (np.exp(x * own).sum() + rest * math.exp(x * DRIFT)) / (len(own) + rest) - 1
+    moment = lambda x: ((hits * np.exp(x * scores)).sum() + rest * math.exp(x * DRIFT)) / words - 1
     if moment(1e-3) >= 0:
         return 0.05
     low, high = 1e-3, 1.0
@@ -228,24 +232,29 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", max_rows: int
     beginnings, words = lexicon(sample.where(half == 0))
     model = Model(beginnings, words)
 
-    @F.pandas_udf("struct<n:long,scores:array<double>,best:double>")
+    @F.pandas_udf("struct<n:long,best:double,tally:array<struct<score:double,hits:long>>>")
     def measured(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for texts in batches:
             made = []
             for text in texts:
                 n, found = model.scored(text)
-                made.append((n, [s for _, s in found], max((s for *_, s in segments(found)), default=0.0)))
-            yield pd.DataFrame(made, columns=["n", "scores", "best"])
+                tally = [{"score": s, "hits": c} for s, c in Counter(s for _, s in found).items()]
+                made.append((n, max((s for *_, s in segments(found)), default=0.0), tally))
+            yield pd.DataFrame(made, columns=["n", "best", "tally"])
 
-    rows = sample.where(half == 1).select("doc_id", "text", "toxic", measured("text").alias("m"))
-    counts = rows.select("doc_id", "toxic", "m.n", "m.best", F.slice("m.scores", 1, 64).alias("scores")).collect()
+    # Two passes read what was measured.
+    rows = durable(sample.where(half == 1).select("toxic", measured("text").alias("m")), "toxic-measured")
+    counts = rows.select("toxic", "m.n", "m.best").collect()
     if not counts or len({r["toxic"] for r in counts}) < 2:
         share = np.mean([float(r["toxic"]) for r in counts]) if counts else 0.0
         model.curve = (math.log(max(share, 1e-6) / max(1 - share, 1e-6)), 0.0)
         return model
     calm = [r for r in counts if not r["toxic"]]
     lengths = np.array([r["n"] for r in calm], dtype=float)
-    model.decay = _decay(lengths, [r["scores"] for r in calm])
+    # Every hit counts; the distinct scores are no more than the lexicon's.
+    tally = sorted(rows.where(F.col("toxic") == 0).select(F.explode("m.tally").alias("t")).groupBy("t.score").agg(
+        F.sum("t.hits").alias("hits")).collect())
+    model.decay = _decay(lengths.sum(), *np.array(tally, dtype=float).reshape(-1, 2).T)
     spread = (lengths * np.exp(-model.decay * np.array([r["best"] for r in calm]))).sum()
     model.k = len(calm) / max(spread, 1.0)
 

@@ -1,6 +1,8 @@
+import math
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from streamscreen.llm import toxicity as t
 
@@ -64,3 +66,17 @@ def test_without_labels(spark):
     none = spark.createDataFrame([], "doc_id long, toxic int")
     assert 0 <= t.score(docs, t.fit(docs, none)).first()["score"] < 0.5
     assert t.score(docs.where("false"), t.fit(docs, none)).collect() == []
+
+
+def test_calibration_counts_every_hit(spark):
+    texts = [(i, toxic(60) if i % 2 else calm(60), i % 2) for i in range(600)]
+    texts += [(1000 + i, ("idiot" + " quiet" * 60 + " ") * 200, 0) for i in range(6)]
+    docs = spark.createDataFrame([(i, x) for i, x, _ in texts], "doc_id long, text string")
+    model = t.fit(docs, spark.createDataFrame([(i, y) for i, _, y in texts], "doc_id long, toxic int"))
+    half = {r[0] for r in docs.where(F.pmod(F.xxhash64("doc_id", F.lit(7)), F.lit(2)) == 1).select("doc_id").collect()}
+    read = [model.scored(x) for i, x, y in texts if i in half and not y]
+    hits = [s for _, found in read for _, s in found]
+    assert max(len(found) for _, found in read) > 64 and 0.05 < model.decay < 1
+    rest = sum(n for n, _ in read) - len(hits)
+    moment = sum(math.exp(model.decay * s) for s in hits) + rest * math.exp(model.decay * t.DRIFT)
+    assert moment == pytest.approx(rest + len(hits), rel=1e-6)
