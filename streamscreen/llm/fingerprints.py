@@ -1,9 +1,10 @@
 """Fingerprints of documents that add up: a homomorphic multiset hash of their paragraphs.
 
-A text is cut into pieces (lines, cut further at sentence ends and at ``MAX_PIECE`` code points), each
-trimmed. A piece hashes to a wide vector of ``LEVELS`` levels of ``LANES`` lanes with one lane set to a 38-bit value, and a
+A text is cut into pieces (lines, cut further at sentence ends and at ``MAX_PIECE`` code points; marks of a sentence end
+alone are a piece), each trimmed. A piece hashes to a wide vector of ``LEVELS`` levels of ``LANES`` lanes with one lane set to a 38-bit value, and a
 fingerprint is the sum of its pieces' vectors modulo 2^38 with the number of pieces. Of all pieces, a share of 4^-k lies at
-level k or above. So equal texts have equal fingerprints, the order of
+level k or above. Beside the lanes stands the sum of a second, independent 64-bit hash of the pieces modulo 2^64: it tells
+texts apart that differ in one piece. So equal texts have equal fingerprints, the order of
 pieces does not matter, and pieces are inserted or deleted by adding or subtracting vectors (``combined``).
 
 Likeness: the lanes in which two fingerprints differ are those that the pieces of their difference fall
@@ -11,7 +12,7 @@ into; counting a level's lanes left alone estimates how many of its pieces diffe
 finest one on that is not nearly full, times 4 for each finer level, give the number for the whole, however long the texts,
 and with the two totals the Jaccard likeness of the multisets.
 
-A fingerprint column is struct<pieces: bigint, lanes: array<bigint>>: sorted (level * LANES + lane) * 2^38 + value, only lanes
+A fingerprint column is struct<pieces: bigint, sum: bigint, lanes: array<bigint>>: ``lanes`` are sorted (level * LANES + lane) * 2^38 + value, only lanes
 that are set. ``as_text`` writes it. Everything is computed within a row.
 
 ``next_texts`` needs one shuffle: documents are dealt to ranges of ids, and the one
@@ -33,6 +34,7 @@ LEVELS = 9
 #: Differing lanes (three pieces to a lane) above which a level is not counted.
 FULL = 972
 BITS = 38
+SECOND = 8
 MODULUS = 1 << BITS
 MAX_PIECE = 40
 #: Ranges of ids; what decides is that a range's texts can be sorted on one executor's disk.
@@ -41,10 +43,32 @@ ROWS_A_RANGE = 4000
 
 
 def pieces(text: Column) -> Column:
-    cut = F.regexp_extract_all(text, F.lit(rf"[^.!?\n]{{1,{MAX_PIECE}}}+[.!?]*+"), F.lit(0))
+    cut = F.regexp_extract_all(text, F.lit(rf"[^.!?\n]{{1,{MAX_PIECE}}}+[.!?]*+|[.!?]++"), F.lit(0))
     return F.filter(F.transform(cut, lambda p: F.trim(p)), lambda p: p != "")
 
 
+def _wrapped(values: Column) -> Column:
+    """The sum of bigints modulo 2^64, in halves, as the session may refuse overflow."""
+    zero = F.lit(0).cast("bigint")
+    # One pass; the upper half takes the lower one's carry.
+    return F.aggregate(
+        values, F.struct(zero.alias("low"), zero.alias("high")),
+        lambda acc, v: F.struct((acc["low"] + v.bitwiseAND(F.lit(0xFFFFFFFF))).alias("low"),
+                                (acc["high"] + F.shiftrightunsigned(v, 32)).alias("high")),
+        lambda acc: F.shiftleft(acc["high"] + F.shiftright(acc["low"], 32), 32).bitwiseOR(
+            acc["low"].bitwiseAND(F.lit(0xFFFFFFFF))))
+
+
+def _once(value: Column, use) -> Column:
+    """``use(value)`` with the value computed once, also where lambdas repeat it."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
+def _negative(value: Column) -> Column:
+    """-value modulo 2^64."""
+    return _wrapped(F.array(F.bitwise_not(value), F.lit(1).cast("bigint")))
+
+
 def _summed(keys: Column) -> Column:
     """Lane sums of sorted (lane * 2^38 + value) keys; one pass, as the keys of a lane lie together."""
     begin = F.struct(F.array().cast("array<bigint>").alias("done"), F.lit(-1).cast("bigint").alias("lane"),
@@ -74,8 +98,14 @@ def fingerprint(text: Column) -> Column:
             level = level.when(top >= 1 << (14 - 2 * k), k)
         return level.otherwise(LEVELS - 1) * F.lit(LANES * MODULUS) + h.bitwiseAND(F.lit(LANES * MODULUS - 1))
 
-    keys = F.transform(F.transform(pieces(F.coalesce(text, F.lit(""))), lambda p: F.xxhash64(p)), key)
-    return F.struct(F.size(keys).cast("bigint").alias("pieces"), _summed(F.array_sort(keys)).alias("lanes"))
+    def made(cut: Column) -> Column:
+        keys = F.transform(F.transform(cut, lambda p: F.xxhash64(p)), key)
+        # The number hashed first is another seed for the piece.
+        second = F.transform(cut, lambda p: F.xxhash64(F.lit(SECOND), p))
+        return F.struct(F.size(cut).cast("bigint").alias("pieces"), _wrapped(second).alias("sum"),
+                        _summed(F.array_sort(keys)).alias("lanes"))
+
+    return _once(pieces(F.coalesce(text, F.lit(""))), made)
 
 
 def combined(a: Column, b: Column, sign: int = 1) -> Column:
@@ -88,14 +118,16 @@ def combined(a: Column, b: Column, sign: int = 1) -> Column:
         value = lambda k: k.bitwiseAND(F.lit(MODULUS - 1))
         other = F.transform(other, lambda k: k - value(k) + F.when(value(k) == 0, 0).otherwise(MODULUS - value(k)))
     lanes = _summed(F.array_sort(F.concat(a["lanes"], other)))
-    return F.struct((a["pieces"] + sign * b["pieces"]).alias("pieces"),
+    added = b["sum"] if sign > 0 else _negative(b["sum"])
+    return F.struct((a["pieces"] + sign * b["pieces"]).alias("pieces"), _wrapped(F.array(a["sum"], added)).alias("sum"),
                     F.filter(lanes, lambda k: k.bitwiseAND(F.lit(MODULUS - 1)) != 0).alias("lanes"))
 
 
 def as_text(mark: Column) -> Column:
-    """pieces, ':' and the set lanes, each 13 hexadecimal digits."""
-    return F.concat(mark["pieces"].cast("string"), F.lit(":"), F.concat_ws("", F.transform(
-        mark["lanes"], lambda k: F.lpad(F.lower(F.hex(k)), 13, "0"))))
+    """pieces, ':', 16 hexadecimal digits of the sum (none without pieces) and the set lanes, each 13 hexadecimal digits."""
+    return F.concat(mark["pieces"].cast("string"), F.lit(":"),
+                    F.when(mark["pieces"] == 0, "").otherwise(F.lpad(F.lower(F.hex(mark["sum"])), 16, "0")),
+                    F.concat_ws("", F.transform(mark["lanes"], lambda k: F.lpad(F.lower(F.hex(k)), 13, "0"))))
 
 
 def likeness(a: Column, b: Column) -> Column:
@@ -103,11 +135,14 @@ def likeness(a: Column, b: Column) -> Column:
     lane = lambda k: F.shiftright(k, BITS)
     differing = F.array_union(F.transform(F.array_except(a["lanes"], b["lanes"]), lane),
                               F.transform(F.array_except(b["lanes"], a["lanes"]), lane))
-    same = (a["pieces"] == b["pieces"]) & (F.size(differing) == 0)
     total = a["pieces"] + b["pieces"]
-    likely = F.transform(F.array(_apart(differing)), lambda n: (total - n) / (total + n))
-    return F.when(same, 1.0).when(total == 0, 0.0).otherwise(
-        F.least(F.greatest(F.get(likely, F.lit(0)), F.lit(0.0)), F.lit(1.0)))
+
+    def judged(differing: Column) -> Column:
+        same = (a["pieces"] == b["pieces"]) & (a["sum"] == b["sum"]) & (F.size(differing) == 0)
+        likely = _once(F.greatest(_apart(differing), F.lit(1.0)), lambda n: (total - n) / (total + n))
+        return F.when(same, 1.0).when(total == 0, 0.0).otherwise(F.least(F.greatest(likely, F.lit(0.0)), F.lit(1.0)))
+
+    return _once(differing, judged)
 
 
 def _apart(differing: Column) -> Column:
@@ -117,7 +152,7 @@ def _apart(differing: Column) -> Column:
     def step(acc: Column, level: Column) -> Column:
         # A variable for the count: filter runs once for each level.
         n = F.size(F.filter(differing, lambda k: F.shiftright(k, LANES.bit_length() - 1) == level))
-        return F.element_at(F.transform(F.array(n), lambda n: counted(acc, n, level)), 1)
+        return _once(n, lambda n: counted(acc, n, level))
 
     def counted(acc: Column, n: Column, level: Column) -> Column:
         full = acc["full"] | ((n > FULL) & (level < LEVELS - 1))

@@ -75,3 +75,18 @@ def test_likeness_of_long_texts(spark, n):
     assert abs(got[0] - 0.5) < 0.06 and got[1] < 0.06 and 0.999 < got[2] < 1
     undone = marked.where("i = 0").select(f.combined(f.combined(F.col("a"), F.col("b")), F.col("b"), -1) == F.col("a"))
     assert undone.first()[0]
+
+
+def test_marks_of_a_sentence_end_alone_are_pieces(spark):
+    m = marks(spark, ["", "!!!!", "...", "abc", "!!!\nabc", " !!! \nabc", "a ...\n!"])
+    assert len(set(m)) == 6 and m[4] == m[5] and m[0] == "0:" and m[1][:2] == m[2][:2] == "1:" and m[6][:2] == "2:"
+
+
+def test_texts_with_equal_lanes_differ_in_the_second_sum(spark):
+    rows = spark.createDataFrame([("one", "two\nsix\none")], "a string, b string").select(
+        *[f.fingerprint(F.col(c)).alias(c) for c in "ab"])
+    # As if the first hashes of both texts collided.
+    forged = F.struct(F.col("a.pieces").alias("pieces"), F.col("b.sum").alias("sum"), F.col("a.lanes").alias("lanes"))
+    texts = rows.select(f.as_text(F.col("a")), f.as_text(forged), F.col("a.sum"), F.col("b.sum"),
+                        f.combined(F.col("b"), F.col("a"), -1)["sum"]).first()
+    assert texts[0] != texts[1] and texts[2] != texts[3] and (texts[2] + texts[4] - texts[3]) % 2**64 == 0
