@@ -9,12 +9,15 @@ from streamscreen.llm import (
     decontaminate,
     fingerprints,
     language,
+    lexical,
+    line_runs,
     near_duplicates,
     pieces,
     pii,
     quality_rules,
     token_counts,
     toxicity,
+    vector_codes,
 )
 from streamscreen.llm.common import remainder, table
 
@@ -170,3 +173,91 @@ def op9_near_duplicates(spark, sf):
 @register
 def op10_token_counts(spark, sf):
     return token_counts.token_totals(table(spark, sf, "documents"))
+
+
+@register
+def op11_vector_codes(spark, sf):
+    return vector_codes.compress(table(spark, sf, "embeddings"))
+
+
+_FLOORS = "CAST(floor(4096 * CAST(x AS DOUBLE)) AS BIGINT)"
+
+
+def _codes_sql(parts: int = 8, entries: int = 16, rounds: int = 6) -> str:
+    """The rounds of assignment and averaging, one table expression after the other."""
+    steps = [f"""kept AS (
+  SELECT vec_id, label, list_transform(embedding, lambda x: {_FLOORS}) AS v, len(embedding) // {parts} AS n FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+cut AS (SELECT vec_id, label, p, list_slice(v, p * n + 1, (p + 1) * n) AS v FROM kept, range({parts}) t(p)),
+firsts AS (SELECT vec_id, row_number() OVER (ORDER BY vec_id) - 1 AS e FROM (
+  SELECT DISTINCT vec_id FROM kept WHERE vec_id IS NOT NULL) ORDER BY vec_id LIMIT {entries}),
+book0 AS (SELECT p, e, min(v) AS c FROM cut JOIN firsts USING (vec_id) GROUP BY p, e)"""]
+    for r in range(rounds + 1):
+        steps.append(f"""near{r} AS MATERIALIZED (
+  SELECT vec_id, label, p, v, arg_min(e, (d, e)) AS e, min(d) AS d FROM (
+    SELECT vec_id, label, p, v, e, CAST(list_sum(list_transform(list_zip(v, c), lambda z: (z[1] - z[2]) * (z[1] - z[2]))) AS BIGINT) AS d
+    FROM cut JOIN book{r} USING (p)) GROUP BY vec_id, label, p, v)""")
+        if r < rounds:
+            steps.append(f"""mean{r} AS (
+  SELECT p, e, list(m ORDER BY i) AS c FROM (
+    SELECT p, e, i, CAST(floor_div AS BIGINT) AS m FROM (
+      SELECT p, e, i, CASE WHEN s >= 0 THEN s // k ELSE -((-s + k - 1) // k) END AS floor_div FROM (
+        SELECT p, e, i, sum(v[i]) AS s, count(*) AS k FROM near{r}, unnest(range(1, len(v) + 1)) t(i) GROUP BY p, e, i)))
+  GROUP BY p, e),
+book{r + 1} AS MATERIALIZED (SELECT p, e, coalesce(mean{r}.c, book{r}.c) AS c FROM book{r} LEFT JOIN mean{r} USING (p, e))""")
+    return "WITH " + ",\n".join(steps) + f""",
+codes AS (SELECT vec_id, label, string_agg(format('{{:02x}}', e), '' ORDER BY p) AS code, CAST(sum(d) AS BIGINT) AS error
+          FROM near{rounds} GROUP BY vec_id, label),
+totals AS (SELECT label, CAST(sum(error) AS BIGINT) AS label_error FROM codes GROUP BY label)
+SELECT vec_id, code, error, label_error,
+  (SELECT sha256(string_agg(array_to_string(c, ','), ',' ORDER BY p, e)) FROM book{rounds}) AS codebooks_sha256
+FROM codes JOIN totals ON codes.label IS NOT DISTINCT FROM totals.label"""
+
+
+ORACLE["op11_vector_codes"] = _codes_sql()
+
+
+@register
+def op12_lexical_search(spark, sf):
+    return lexical.search(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+
+
+ORACLE["op12_lexical_search"] = r"""
+WITH doc_terms AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS t FROM documents),
+item_terms AS (
+  SELECT item_id, term, count(*) AS q FROM (
+    SELECT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                              '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark) GROUP BY 1, 2),
+totals AS (SELECT count(*) AS n_docs, CAST(sum(len(t)) AS BIGINT) AS n_terms FROM doc_terms WHERE len(t) > 0),
+found AS (SELECT doc_id, len(t) AS n, term, count(*) AS tf FROM (
+  SELECT doc_id, t, unnest(t) AS term FROM doc_terms) WHERE term IN (SELECT term FROM item_terms) GROUP BY doc_id, t, term),
+weights AS (SELECT term, CAST(floor(1000 * ln((2 * n_docs + 2) / (2 * count(*) + 1))) AS BIGINT) AS w
+            FROM found, totals GROUP BY term, n_docs),
+scores AS (
+  SELECT item_id, doc_id, CAST(sum(q * w * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * n * n_docs) // n_terms)))) AS BIGINT) AS score
+  FROM found JOIN weights USING (term) JOIN item_terms USING (term), totals GROUP BY item_id, doc_id),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM scores WHERE score > 0)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM ranked WHERE rank <= 10
+"""
+
+
+@register
+def op13_line_dedup(spark, sf):
+    kept = line_runs.deduplicate_lines(table(spark, sf, "documents").select("doc_id", "text"))
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
+ORACLE["op13_line_dedup"] = r"""
+WITH docs AS (SELECT row_number() OVER () AS r, doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
+lines_ AS (
+  SELECT r, i, lines[i] AS line, translate(trim(lines[i], chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+                                           'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+  FROM (SELECT r, lines, unnest(range(1, len(lines) + 1)) AS i FROM docs)),
+frequent AS (SELECT key FROM lines_ WHERE length(key) >= 1 GROUP BY key HAVING count(DISTINCT r) >= 10),
+kept AS (SELECT r, string_agg(line, chr(10) ORDER BY i) AS text, count(*) AS n FROM lines_ ANTI JOIN frequent USING (key) GROUP BY r)
+SELECT doc_id, CAST(len(lines) AS BIGINT) AS n_lines, CAST(len(lines) - coalesce(n, 0) AS BIGINT) AS n_dropped,
+  sha256(coalesce(text, '')) AS kept_sha256
+FROM docs LEFT JOIN kept USING (r)
+"""
