@@ -202,5 +202,9 @@ def cool_off(alerts: DataFrame, *, key: str = "customer_id", time: str = "event_
             links.join(onward, F.col("_key").eqNullSafe(F.col("_k2")) & (F.col("_to") == F.col("_f2")))
             .select("_key", "_from", F.col("_t2").alias("_to")), "links")
         discard(shorter)
-    return (marked.join(kept, marked[key].eqNullSafe(kept["_key"]) & (marked[time] == kept["_t"]), "left_semi")
+    made = (marked.join(kept, marked[key].eqNullSafe(kept["_key"]) & (marked[time] == kept["_t"]), "left_semi")
             .select(*alerts.columns))
+    # The result reads the marked alerts and the kept times only.
+    discard(links)
+    discard(alerts)
+    return made

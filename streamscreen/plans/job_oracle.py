@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from streamscreen.plans.oracle import (
     _ALERTS,
+    _HOT_TX,
     _NEWEST,
     _NUM,
     _R1_RISK,
@@ -71,9 +72,8 @@ def job_sql() -> dict[str, str]:
     return {
         "fraud_job": _JOB,
         "streamed_fraud_job": _JOB,
-        "hot_customer_counts": "WITH " + _TX.replace(
-            "'C' || user_id AS customer_id", "CASE WHEN event_id % 3 = 0 THEN 'HOT' ELSE 'C' || user_id END AS customer_id")
-            + f", {_history(HOUR)} SELECT transaction_id, customer_id, recent_count, previous_amount FROM hist",
+        "hot_customer_counts":
+            f"WITH {_HOT_TX}, {_history(HOUR)} SELECT transaction_id, customer_id, recent_count, previous_amount FROM hist",
         "odd_transactions": f"""WITH {_ODD} SELECT transaction_id, customer_id, event_type = 'signup' AS no_number, amount,
             CASE WHEN event_type = 'error' THEN 9000000000000000000 ELSE ms END AS event_time,
             event_type <> 'error' AS complete, ms AS event_ms FROM odd""",
@@ -120,12 +120,13 @@ def job_sql() -> dict[str, str]:
         "streamed_text_words": _WORDS,
         "declared_users": """SELECT CAST(c_custkey AS VARCHAR) AS user_id, c_name AS name,
             CAST(floor(c_acctbal / 100) AS INTEGER) AS age FROM customer WHERE floor(c_acctbal / 100) >= 17""",
-        "snapshot_polls": """SELECT 'postgres-nation' AS topic, CAST(2 AS BIGINT) AS sent, count(*) AS n_rows FROM nation
-            UNION ALL SELECT 'postgres-region', 2, count(*) FROM region""",
-        "new_customers_sent": """WITH mark AS (
-            SELECT max(c_custkey) AS m FROM customer WHERE c_custkey % 4 = 0 AND c_custkey <= 40)
-            SELECT CAST(CASE WHEN c_custkey > m THEN 1 ELSE 0 END AS BIGINT) AS run, CAST(c_custkey AS VARCHAR) AS key,
-                   c_name AS name FROM customer, mark WHERE c_custkey > m OR c_custkey % 4 = 0""",
+        "snapshot_polls": """SELECT 'postgres-customer' AS topic, CAST(p AS BIGINT) AS poll, CAST(c_custkey AS VARCHAR) AS key,
+            c_name AS said FROM customer, range(2) t(p)
+            UNION ALL SELECT 'postgres-orders', p, CAST(o_orderkey AS VARCHAR), o_orderpriority FROM orders, range(2) t(p)""",
+        "new_customers_sent": """SELECT CAST(1 AS BIGINT) AS run, CAST(c_custkey AS VARCHAR) AS key, c_name AS name FROM customer""",
+        "new_events_sent": """WITH b AS (SELECT min(epoch_us(ts) // 1000) AS a, max(epoch_us(ts) // 1000) AS z FROM events)
+            SELECT CASE WHEN ms <= a + (z - a) // 3 THEN 0 WHEN ms <= a + (z - a) * 2 // 3 THEN 1 ELSE 2 END :: BIGINT AS run,
+                   CAST(user_id AS VARCHAR) AS key, event_id FROM (SELECT *, epoch_us(ts) // 1000 AS ms FROM events), b""",
         "streamed_late_audit": f"""WITH {_HALF} SELECT event_id, epoch_us(ts) // 1000 <= a + (z - a) // 2
             AND epoch_us(ts) // 1000 < z - {HOUR} AS late FROM events, half""",
         "streamed_windows_without_late_rows": f"""WITH {_HALF}

@@ -75,11 +75,11 @@ def streamed_fraud_job(spark, sf):
     parts = [*b.event_parts(spark, sf, 3), b.closing_row(spark, sf)]
     for part in parts:
         topics.write_batch(_transaction_records(spark, sf, part), source)
-    alerts = card_fraud.detect_stream(
-        card_fraud.transactions_of(topics.read_stream(spark, source, max_per_batch=1)), b.SCALED, state_ttl_ms=None)
-    made = card_fraud.alert_records(alerts, now=F.lit(STAMP))
-    _stateful(spark, lambda: topics.write_stream(made, f"{out}-checkpoint", folder=out, trigger=UNTIL_DRAINED))
-    return _alert_rows(spark.read.parquet(out))
+    txns = card_fraud.transactions_of(topics.read_stream(spark, source, max_per_batch=1))
+    _stateful(spark, lambda: card_fraud.run_detection(
+        txns, f"{out}-checkpoint", out, b.SCALED, finish=lambda alerts: card_fraud.alert_records(alerts, now=F.lit(STAMP)),
+        trigger=UNTIL_DRAINED))
+    return _alert_rows(card_fraud.written_alerts(spark, out))
 
 
 @register
@@ -277,25 +277,32 @@ def declared_users(spark, sf):
     return spark.sql("SELECT user_id, name, age FROM declared_users_kept")
 
 
+def _sent(spark: SparkSession, table: str, folder: str, said: str) -> DataFrame:
+    """Topic, poll (kept as the offset), key and one field of the records of a table."""
+    topic = relational.topic_name(table)
+    return topics.read_batch(spark, topics.Topic(topic, folder=folder)).select(
+        F.lit(topic).alias("topic"), F.col("offset").alias("poll"), F.col("key").cast("string").alias("key"),
+        F.get_json_object(F.col("value").cast("string"), f"$.{said}").alias("said"))
+
+
 @register
 def snapshot_polls(spark, sf):
     """Two polls of two tables: every row is sent each time."""
     folder = new_path(spark, "topics")
-    for _ in range(2):
-        relational.publish_snapshot(lambda name: b.table(spark, sf, name), ["nation", "region"],
-                                    lambda name: topics.Topic(name, folder=folder),
-                                    number=lambda r: _positioned(r, F.lit(0), F.timestamp_millis(F.lit(STAMP))))
-    sent = [topics.read_batch(spark, topics.Topic(relational.topic_name(t), folder=folder)) for t in ("nation", "region")]
-    return sent[0].unionByName(sent[1]).groupBy("topic", F.col("value").cast("string").alias("_v")).agg(
-        F.count(F.lit(1)).alias("sent")).groupBy("topic", "sent").agg(F.count(F.lit(1)).alias("n_rows"))
+    for poll in range(2):
+        for name, key in (("customer", "c_custkey"), ("orders", "o_orderkey")):
+            relational.publish_snapshot(lambda name: b.table(spark, sf, name), [name], lambda name: topics.Topic(name, folder=folder),
+                                        key=F.col(key), number=lambda r, poll=poll: _positioned(
+                                            r, F.lit(poll), F.timestamp_millis(F.lit(STAMP))))
+    return _sent(spark, "customer", folder, "c_name").unionByName(_sent(spark, "orders", folder, "o_orderpriority"))
 
 
 @register
 def new_customers_sent(spark, sf):
-    """Snapshots of a growing table, of which each run sends the rows above the stored mark."""
+    """An empty table, then all customers, then the same ones again: each run sends the rows above the stored mark."""
     topic, marks = topics.Topic("postgres-customer", folder=new_path(spark, "topics")), new_path(spark, "marks")
     customer = b.table(spark, sf, "customer")
-    for run, rows in enumerate((customer.where("c_custkey % 4 = 0 AND c_custkey <= 40"), customer, customer)):
+    for run, rows in enumerate((customer.where("false"), customer, customer)):
         relational.publish_new(spark, rows, "customer", "c_custkey", topic, marks, key=F.col("c_custkey"),
                                number=lambda r, run=run: _positioned(r, F.lit(run), F.timestamp_millis(F.lit(STAMP))))
     return topics.read_batch(spark, topic).select(
@@ -303,6 +310,20 @@ def new_customers_sent(spark, sf):
         F.get_json_object(F.col("value").cast("string"), "$.c_name").alias("name"))
 
 
+@register
+def new_events_sent(spark, sf):
+    """A table that grows with time: each run finds the events so far and sends those above the stored mark."""
+    topic, marks = topics.Topic("postgres-events", folder=new_path(spark, "topics")), new_path(spark, "marks")
+    so_far = None
+    for run, part in enumerate(b.event_parts(spark, sf, 3)):
+        so_far = part if so_far is None else so_far.unionByName(part)
+        relational.publish_new(spark, so_far, "events", "event_id", topic, marks, key=F.col("user_id"),
+                               number=lambda r, run=run: _positioned(r, F.lit(run), F.timestamp_millis(F.lit(STAMP))))
+    return topics.read_batch(spark, topic).select(
+        F.col("offset").alias("run"), F.col("key").cast("string").alias("key"),
+        F.get_json_object(F.col("value").cast("string"), "$.event_id").cast("bigint").alias("event_id"))
+
+
 # Late rows and state -----------------------------------------------------------------------------
 
 def _late_stream(spark: SparkSession, sf: str, closed: bool) -> DataFrame:

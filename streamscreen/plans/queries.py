@@ -21,8 +21,10 @@ from streamscreen.schemas import PAYMENT_RULES
 from streamscreen.session import durable, new_path
 from streamscreen.sources import forecasts, jsonlines, tabular, topics, validate
 from streamscreen.sources.catalog import current_table, persist_table
+from streamscreen.sources.kept_table import KeptTable
+from streamscreen.streaming.carried import run_cool_off, run_sessions
 from streamscreen.streaming.jobs import UNTIL_DRAINED, drain, run_idempotent, run_to_table, run_with_table
-from streamscreen.streaming.processors import cool_off_stream
+from streamscreen.streaming.processors import many_cities_stream, with_fading_history
 
 Query = Callable[[SparkSession, str], DataFrame]
 HOUR = 3_600_000
@@ -575,12 +577,14 @@ STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
-def _stateful(spark: SparkSession, start: Callable[[], StreamingQuery]) -> None:
-    """Run a query with state in RocksDB until its input is used up."""
+def _stateful(spark: SparkSession, start: Callable[[], StreamingQuery | list[StreamingQuery]]) -> None:
+    """Run queries with state in RocksDB until their input is used up."""
     before = spark.conf.get(STATE_STORE)
     spark.conf.set(STATE_STORE, ROCKSDB)
     try:
-        drain(start())
+        started = start()
+        for query in started if isinstance(started, list) else [started]:
+            drain(query)
     finally:
         spark.conf.set(STATE_STORE, before)
 
@@ -603,7 +607,38 @@ def _kept(spark: SparkSession, df: DataFrame, keys: list[str]) -> DataFrame:
 def streamed_fraud_alerts(spark, sf):
     """The closing row lets the last spend windows fire; it has no amount and gives no alert."""
     txns = b.transactions(spark, sf, b.event_stream(spark, sf, closed=True))
-    return _drained(spark, _without_text(card_fraud.detect_stream(txns, b.SCALED, state_ttl_ms=None)))
+    return _detected(spark, txns, _without_text)
+
+
+def _detected(spark: SparkSession, txns: DataFrame, finish: Callable[[DataFrame], DataFrame], **settings) -> DataFrame:
+    out = new_path(spark, "streamed")
+    _stateful(spark, lambda: card_fraud.run_detection(txns, f"{out}/checkpoint", f"{out}/rows", b.SCALED, finish=finish,
+                                                      trigger=UNTIL_DRAINED, **settings))
+    return card_fraud.written_alerts(spark, f"{out}/rows")
+
+
+@register
+def streamed_hot_customer_alerts(spark, sf):
+    """The same job where one customer has a third of all rows; rows above an even share of a task are cut."""
+    txns = b.transactions(spark, sf, b.event_stream(spark, sf, closed=True))
+    number = F.substring("transaction_id", 5, 20).cast("long")
+    hot = txns.withColumn("customer_id", F.when(number % 3 == 0, F.lit("HOT")).otherwise(F.col("customer_id")))
+    return _detected(spark, hot, _without_text, hot_rows=1000)
+
+
+@register
+def streamed_many_cities(spark, sf):
+    """More than three merchants of one customer within two days, kept in map state with event-time timers."""
+    txns = b.transactions(spark, sf, b.event_stream(spark, sf)).withColumn("city", F.col("merchant"))
+    return _drained(spark, many_cities_stream(txns, window_ms=2 * DAY)).select("transaction_id", "customer_id", "city_count")
+
+
+@register
+def streamed_fading_history(spark, sf):
+    """Previous amount and row number of customers, forgotten after half a day without a row."""
+    txns = b.transactions(spark, sf, b.event_stream(spark, sf))
+    return _drained(spark, with_fading_history(txns, DAY // 2)).select(
+        "transaction_id", "customer_id", "rows_so_far", "previous_amount")
 
 
 @register
@@ -628,6 +663,16 @@ def streamed_sessions(spark, sf):
     return _drained(spark, windows.sessions(sensors, ["sensor_id"], "event_ts", HOUR))
 
 
+@register
+def streamed_hot_sessions(spark, sf):
+    """Sessions of a stream in which one sensor has a third of all readings: slots of a batch meet the open sessions."""
+    readings = b.event_stream(spark, sf, closed=True).select(
+        F.when(F.col("event_id") % 3 == 0, F.lit("HOT")).otherwise(F.col("user_id").cast("string")).alias("sensor_id"), "ts")
+    out = new_path(spark, "streamed")
+    drain(run_sessions(readings, ["sensor_id"], "ts", HOUR, f"{out}/checkpoint", f"{out}/rows", trigger=UNTIL_DRAINED))
+    return spark.read.parquet(f"{out}/rows").drop("batch")
+
+
 @register
 def streamed_sensor_against_forecast(spark, sf):
     weather = b.weather(spark, sf, b.event_stream(spark, sf)).withWatermark("event_ts", "5 seconds")
@@ -653,15 +698,16 @@ def streamed_dashboard(spark, sf):
 def streamed_user_alerts(spark, sf):
     """Alerts to the user of the city as of their micro-batch.
 
-    The first half of the events meets a table of the users with even keys; then all users are in the
-    table, which the second half meets.
+    The first half of the events meets a kept table of all users under former names; then every user is renamed, and the
+    second half meets them as they are.
     """
     inputs, kept, out = (new_path(spark, n) for n in ("event-files", "users-table", "streamed"))
     everyone = b.users(spark, sf)
-    versions = [everyone.where(F.col("user_id") % 2 == 0), everyone]
+    versions = [everyone.withColumn("username", F.concat(F.lit("former "), "username")), everyone]
+    table = KeptTable(spark, kept, ["city"])
     for number, (part, users) in enumerate(zip(b.event_parts(spark, sf, 2), versions, strict=True)):
         b.write_events(part, inputs)
-        tables.users_table(users).write.parquet(f"{kept}/batch={number}")
+        table.write(tables.users_table(users), number)
         sensors = b.sensors(spark, sf, b.read_event_stream(spark, inputs))
         drain(run_with_table(sensors, lambda: current_table(spark, kept, ["city"]), environment.user_alerts,
                              f"{out}/checkpoint", f"{out}/rows", trigger=UNTIL_DRAINED))
@@ -672,8 +718,9 @@ def streamed_user_alerts(spark, sf):
 def streamed_cool_off(spark, sf):
     txns = b.transactions(spark, sf, b.event_stream(spark, sf))
     alerts = rules.alerts_of(txns, [rules.high_value(), rules.night_owl()])
-    return _drained(spark, cool_off_stream(_without_text(alerts), quiet_ms=DAY)).select(
-        "transaction_id", "customer_id", "rule_id", "event_time")
+    out = new_path(spark, "streamed")
+    drain(run_cool_off(_without_text(alerts), f"{out}/checkpoint", f"{out}/rows", quiet_ms=DAY, hot_rows=1000, trigger=UNTIL_DRAINED))
+    return spark.read.parquet(f"{out}/rows").select("transaction_id", "customer_id", "rule_id", "event_time")
 
 
 @register

@@ -6,13 +6,13 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from streamscreen.sources import topics
+from streamscreen.sources.kept_table import KeptTable, keep
 from streamscreen.sources.topics import Topic
-from streamscreen.streaming.jobs import run_idempotent, run_to_table
+from streamscreen.streaming.jobs import EVERY_30_SECONDS, run_to_table
 
 
 @dataclass(frozen=True)
@@ -42,20 +42,20 @@ def persist_stream(df: DataFrame, path: str, checkpoint: str, *, partitions: int
 
 def persist_table(df: DataFrame, keys: Sequence[str], path: str, checkpoint: str, *,
                   trigger: Mapping[str, object] | None = None) -> StreamingQuery:
-    """Keep a derived aggregate: each micro-batch appends the changed rows with its batch id.
+    """Keep a derived aggregate: each micro-batch puts down the changed rows, one per key.
 
-    Writing a batch again after a failure replaces it, so a restart leaves no duplicates;
-    :func:`current_table` reads the newest row per key.
+    Writing a batch again after a failure replaces it, so a restart leaves no duplicates; the batches are folded
+    as the table grows, and :func:`current_table` reads the newest row per key from few runs.
     """
-    return run_idempotent(df, checkpoint, path, mode="update", trigger=trigger)
+    return keep(df, keys, path, checkpoint, trigger=trigger or EVERY_30_SECONDS)
 
 
 def current_table(spark: SparkSession, path: str, keys: Sequence[str]) -> DataFrame:
     """Snapshot of a persisted table: the newest row of each key."""
-    changes = spark.read.parquet(path)
-    values = [c for c in changes.columns if c not in (*keys, "batch")]
-    return (changes.groupBy(*keys)
-            .agg(F.max_by(F.struct(*values), "batch").alias("_row")).select(*keys, "_row.*"))
+    table = KeptTable(spark, path, keys).read()
+    if table is None:
+        raise ValueError(f"nothing has been kept at {path} yet")
+    return table
 
 
 def push(df: DataFrame, name: str, checkpoint: str | None = None, mode: str = "append") -> StreamingQuery:

@@ -58,10 +58,11 @@ def as_records(rows: DataFrame, table: str, prefix: str = "postgres-", key: Colu
 
 
 def publish_snapshot(read: Callable[[str], DataFrame], tables: Sequence[str], target: Callable[[str], Topic],
-                     prefix: str = "postgres-", number: Callable[[DataFrame], DataFrame] = lambda r: r) -> None:
+                     prefix: str = "postgres-", key: Column | None = None,
+                     number: Callable[[DataFrame], DataFrame] = lambda r: r) -> None:
     """Publish every row of the listed tables once; ``number`` gives folder topics their positions."""
     for table in tables:
-        write_batch(number(as_records(read(table), table, prefix)), target(topic_name(table, prefix)))
+        write_batch(number(as_records(read(table), table, prefix, key)), target(topic_name(table, prefix)))
 
 
 def publish_snapshots(spark: SparkSession, read: Callable[[str], DataFrame], tables: Sequence[str],

@@ -18,6 +18,8 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 _TIMES = T.StructType([T.StructField("ts", T.LongType())])
 _AMOUNT = T.StructType([T.StructField("amount", T.DoubleType())])
 _LAST = T.StructType([T.StructField("ts", T.LongType())])
+_CITY = T.StructType([T.StructField("city", T.StringType())])
+_SEEN = T.StructType([T.StructField("ts", T.LongType()), T.StructField("amount", T.DoubleType())])
 
 
 def _time_mode(ttl_ms: int | None) -> str:
@@ -161,3 +163,129 @@ def bucket_totals(transactions: DataFrame, *, key: str = "customer_id", time: st
         BucketTotals(bucket_ms, time, ttl_ms),
         "key string, bucket_ms long, bucket_count long, running_amount double",
         "update", _time_mode(ttl_ms))
+
+
+class ManyCities(StatefulProcessor):
+    """Gives out transactions at which a customer has used more than ``limit`` cities within the window.
+
+    State: for each city when it was used last (map state). Cities that have left the window are dropped with the next
+    row of the customer, or by an event-time timer if none comes.
+    """
+
+    def __init__(self, window_ms: int, limit: int, time: str, tie: tuple[str, ...]):
+        self._window_ms, self._limit, self._time, self._tie = window_ms, limit, time, tie
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self._handle = handle
+        self._cities = handle.getMapState("cities", _CITY, _LAST)
+
+    def _held(self) -> dict[str, int]:
+        return {city[0]: last[0] for city, last in self._cities.iterator()}
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        pdf = _rows_of(rows, [self._time, *self._tie])
+        before = self._held()
+        cities, counts = dict(before), np.zeros(len(pdf), dtype="int64")
+        # Cities in order of their last use, so those that leave the window stand first.
+        cities = dict(sorted(cities.items(), key=lambda c: c[1]))
+        for at, (t, city) in enumerate(zip(pdf[self._time].tolist(), pdf["city"].tolist(), strict=True)):
+            if city is not None and city == city:
+                last = max(t, cities.pop(city, t))
+                cities[city] = last
+                if last > t:  # a late row: put the cities in order again
+                    cities = dict(sorted(cities.items(), key=lambda c: c[1]))
+            newest = max(cities.values(), default=t)
+            while cities and next(iter(cities.values())) < newest - self._window_ms:
+                del cities[next(iter(cities))]
+            counts[at] = sum(t - self._window_ms <= last for last in cities.values())
+        for city in before.keys() - cities.keys():
+            self._cities.removeKey((city,))
+        for city, last in cities.items():
+            if before.get(city) != last:
+                self._cities.updateValue((city,), (last,))
+        for old in list(self._handle.listTimers()):
+            self._handle.deleteTimer(old)
+        if cities:
+            self._handle.registerTimer(next(iter(cities.values())) + self._window_ms + 1)
+        over = counts > self._limit
+        if over.any():
+            yield pdf[over].assign(city_count=counts[over])
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        now = expiredTimerInfo.getExpiryTimeInMs()
+        left = []
+        for city, last in self._held().items():
+            if last + self._window_ms < now:
+                self._cities.removeKey((city,))
+            else:
+                left.append(last)
+        if left:
+            self._handle.registerTimer(min(left) + self._window_ms + 1)
+        return iter(())
+
+    def close(self) -> None:
+        pass
+
+
+def many_cities_stream(transactions: DataFrame, *, window_ms: int = 30 * 60_000, limit: int = 3, key: str = "customer_id",
+                       time: str = "event_time", tie: tuple[str, ...] = ("transaction_id",), at: str = "event_ts",
+                       watermark: str = "5 seconds") -> DataFrame:
+    """Streaming form of :func:`streamscreen.operators.rules.many_cities`. Rows behind the watermark of ``at`` are late and left out."""
+    schema = T.StructType([*transactions.drop(at).schema.fields, T.StructField("city_count", T.LongType())])
+    stream = transactions.withWatermark(at, watermark)
+    made = stream.groupBy(key).transformWithStateInPandas(
+        ManyCities(window_ms, limit, time, tie), T.StructType([*stream.schema.fields, schema["city_count"]]), "append", "eventTime")
+    return made.select(*schema.fieldNames())
+
+
+class FadingHistory(StatefulProcessor):
+    """Adds ``previous_amount`` and ``rows_so_far`` of a customer, both forgotten after ``quiet_ms`` of event time without a row.
+
+    A timer clears the state of a customer who stays away; a row that comes before the timer has run, but after that long a pause, finds
+    nothing either, so the result does not depend on where micro-batches end.
+    """
+
+    def __init__(self, quiet_ms: int, time: str, tie: tuple[str, ...]):
+        self._quiet_ms, self._time, self._tie = quiet_ms, time, tie
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self._handle = handle
+        self._last = handle.getValueState("last", _SEEN)
+        self._rows = handle.getValueState("rows", T.StructType([T.StructField("n", T.LongType())]))
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        pdf = _rows_of(rows, [self._time, *self._tie])
+        times, amounts = pdf[self._time].to_numpy(dtype="int64"), pdf["amount"].to_numpy(dtype="float64")
+        last, held = self._last.get(), self._rows.get()
+        before_time = np.concatenate([[times[0] if last is None else last[0]], times[:-1]])
+        before = np.concatenate([[np.nan if last is None or last[1] is None else last[1]], amounts[:-1]])
+        starts = times - before_time > self._quiet_ms
+        starts[0] |= last is None
+        before[starts] = np.nan
+        place = np.arange(len(times))
+        since = np.maximum.accumulate(np.where(starts, place, -1))
+        count = np.where(since >= 0, place - since + 1, place + 1 + (0 if held is None else held[0]))
+        for old in list(self._handle.listTimers()):
+            self._handle.deleteTimer(old)
+        self._last.update((int(times[-1]), None if np.isnan(amounts[-1]) else float(amounts[-1])))
+        self._rows.update((int(count[-1]),))
+        self._handle.registerTimer(int(times[-1]) + self._quiet_ms + 1)
+        yield pdf.assign(rows_so_far=count, previous_amount=pd.Series(before).astype("Float64").where(~np.isnan(before), None))
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        self._last.clear()
+        self._rows.clear()
+        return iter(())
+
+    def close(self) -> None:
+        pass
+
+
+def with_fading_history(transactions: DataFrame, quiet_ms: int, *, key: str = "customer_id", time: str = "event_time",
+                        tie: tuple[str, ...] = ("transaction_id",), at: str = "event_ts", watermark: str = "5 seconds") -> DataFrame:
+    """Previous amount and rows so far of each customer, with state that expires in event time: a replay ends by itself and repeats its result."""
+    stream = transactions.withWatermark(at, watermark)
+    schema = T.StructType([*stream.schema.fields, T.StructField("rows_so_far", T.LongType()),
+                           T.StructField("previous_amount", T.DoubleType())])
+    made = stream.groupBy(key).transformWithStateInPandas(FadingHistory(quiet_ms, time, tie), schema, "append", "eventTime")
+    return made.drop(at)
