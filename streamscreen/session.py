@@ -3,11 +3,15 @@
 from __future__ import annotations
 
 import tempfile
+import threading
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 _LOCAL_FOLDERS: dict[str, str] = {}
+_scope = threading.local()
 
 
 def build_session(name: str = "streamscreen", master: str | None = None, **conf: str) -> SparkSession:
@@ -51,19 +55,41 @@ def new_path(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
 
 
-def durable(df: DataFrame, label: str = "stage") -> DataFrame:
+def durable(df: DataFrame, label: str = "stage", *, outlives: bool = False) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
-    The result no longer depends on executor-held blocks or on recomputing its input.
+    The result no longer depends on executor-held blocks or on recomputing its input. Within ``temporary_tables`` the
+    table goes with the block, unless it ``outlives`` it.
     """
     spark = df.sparkSession
     path = new_path(spark, label)
+    written = getattr(_scope, "paths", None)
+    if written is not None and not outlives:
+        written.append(path)
     df.write.parquet(path)
     kept = spark.read.schema(df.schema).parquet(path)
     kept.durable_path = path
     return kept
 
 
+@contextmanager
+def temporary_tables(spark: SparkSession) -> Iterator[None]:
+    """Delete, at the end, the tables that ``durable`` writes within the block (in this thread)."""
+    outer = getattr(_scope, "paths", None)
+    _scope.paths = []
+    try:
+        yield
+    finally:
+        for path in _scope.paths:
+            _delete(spark, path)
+        _scope.paths = outer
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def discard(df: DataFrame) -> None:
     """Delete the table that ``durable`` made ``df`` of; to be called once nothing reads it any more.
 
@@ -71,5 +97,4 @@ def discard(df: DataFrame) -> None:
     """
     path = getattr(df, "durable_path", None)
     if path is not None:
-        target = df.sparkSession._jvm.org.apache.hadoop.fs.Path(path)
-        target.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(target, True)
+        _delete(df.sparkSession, path)

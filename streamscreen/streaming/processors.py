@@ -212,7 +212,7 @@ class ManyCities(StatefulProcessor):
             yield pdf[over].assign(city_count=counts[over])
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        now = expiredTimerInfo.getExpiryTimeInMs()
+        now = max(expiredTimerInfo.getExpiryTimeInMs(), timerValues.getCurrentWatermarkInMs())
         left = []
         for city, last in self._held().items():
             if last + self._window_ms < now:
