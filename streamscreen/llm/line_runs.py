@@ -70,6 +70,7 @@ class LineRuns:
             self._spark.sql(
                 f"CREATE TABLE {table} (h1 BIGINT, h2 BIGINT, n BIGINT, run STRING) USING parquet PARTITIONED BY (run) "
                 f"CLUSTERED BY (h1, h2) SORTED BY (h1, h2) INTO {self._state['buckets']} BUCKETS LOCATION '{self._path}/runs'")
+            self._spark.catalog.recoverPartitions(table)
         return self._spark.table(table).where(F.col("run").isin(names))
 
     def _write(self, counts: DataFrame) -> str:
@@ -121,9 +122,8 @@ class LineRuns:
 
     def _forget(self, names: list[str]) -> None:
         for name in names:
+            self._spark.sql(f"ALTER TABLE {self._state['table']} DROP IF EXISTS PARTITION (run = '{name}')")
             delete(self._spark, f"{self._path}/runs/run={name}")
-        if names:
-            self._spark.catalog.refreshTable(self._state["table"])
 
     def close(self) -> None:
         """Delete the store."""

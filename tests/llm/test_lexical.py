@@ -1,0 +1,110 @@
+import math
+import random
+import re
+from collections import Counter
+
+import numpy as np
+import pytest
+
+from streamscreen.llm import lexical as lx
+from tests.conftest import rows
+
+DICE = random.Random(12)
+#: Frequent words first.
+VOCABULARY = ["the", "of", "x1", "größe", "ÉTÉ", "été", "日本", *[f"w{i}" for i in range(60)]]
+
+
+def said(n):
+    return DICE.choice([" ", ", ", "\n", "-"]).join(VOCABULARY[min(int(DICE.expovariate(0.12)), len(VOCABULARY) - 1)] for _ in range(n))
+
+
+def terms(text):
+    lowered = "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "")
+    return re.findall(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+", lowered)
+
+
+def brute(docs, items, top=10):
+    held = [(i, Counter(terms(t))) for i, t in docs]
+    held = [(i, c, sum(c.values())) for i, c in held if c]
+    n_docs, n_terms = len(held), sum(n for *_, n in held)
+    df = Counter(t for _, c, _ in held for t in c)
+    queries = {}
+    for item, text in set(items):
+        queries.setdefault(item, Counter()).update(terms(text))
+    made = []
+    for item, query in queries.items():
+        found = []
+        for i, c, n in held:
+            m = 25 + 75 * n * n_docs // n_terms
+            score = sum(q * math.floor(1000 * math.log((2 * n_docs + 2) / (2 * df[t] + 1))) * (10 ** 9 * c[t] // (1000 * c[t] + 8 * m))
+                        for t, q in query.items() if c[t])
+            if score:
+                found.append((-score, i is None, i))
+        made += [(item, k, i, -s) for k, (s, _, i) in enumerate(sorted(found)[:top], 1)]
+    return sorted(made, key=repr)
+
+
+def search(spark, docs, items, **settings):
+    d = spark.createDataFrame([(i, t, 1, "x") for i, t in docs], "doc_id bigint, text string, n int, terms string").repartition(3)
+    i = spark.createDataFrame([(i, t, 0) for i, t in items], "item_id bigint, text string, score int")
+    return rows(lx.search(d, i, **settings), "item_id", "rank", "doc_id", "score")
+
+
+DOCS = [(i, said(DICE.randint(0, 80))) for i in range(400)] + [(1000 + i, "the same w59 text") for i in range(30)] + [
+    (2000, None), (2001, ""), (2002, "!!"), (None, "the same w59 text"), (2003, "THE of " * 30_000), (7, "of the 日本"), (7, "of the 日本")]
+ITEMS = [(i, said(25)) for i in range(12)] + [
+    (20, None), (21, ""), (22, "unseen"), (23, "W59 w59 The"), (24, "the"), (24, "the"), (25, "été w3"), (25, "ÉTÉ"), (None, "日本 w7")]
+
+
+@pytest.mark.parametrize("block", [8192, 16])
+def test_ranks_match_brute_force(spark, monkeypatch, block):
+    monkeypatch.setattr(lx, "BLOCK", block)
+    assert search(spark, DOCS, ITEMS) == brute(DOCS, ITEMS)
+
+
+def test_groups_of_queries(spark):
+    assert search(spark, DOCS, ITEMS, max_terms=60) == brute(DOCS, ITEMS)
+
+
+def test_few_places(spark):
+    assert search(spark, DOCS, ITEMS, top=1) == brute(DOCS, ITEMS, 1)
+
+
+def test_empty_tables(spark):
+    assert search(spark, [], ITEMS) == [] and search(spark, DOCS, []) == [] and search(spark, [(1, None)], ITEMS) == []
+
+
+def test_accumulators_are_limited():
+    """Terms that cannot lift a new document make none; scores of those found are whole."""
+    size, top = 5000, 10
+    rare, common = np.arange(20), np.arange(size)
+    sizes = np.full(size, 50)
+    doc = np.concatenate([rare, common])
+    term = np.concatenate([np.zeros(20, dtype=int), np.ones(size, dtype=int)])
+    tf = np.concatenate([np.full(20, 3), np.ones(size, dtype=int)])
+    block = lx.Block(sizes, doc, term, tf, np.array([5000, 1]), size, 50 * size)
+    found, scores, made = block.scores(np.array([0, 1]), np.array([1, 1]), top, 1)
+    assert made == 1 and found.tolist() == rare.tolist()
+    added = [w * (10 ** 9 * t // (1000 * t + 8 * 100)) for w, t in ((5000, 3), (1, 1))]
+    assert set(scores.tolist()) == {sum(added)}
+
+
+def test_a_tie_with_the_bound_still_counts():
+    """A document that can only tie with the k-th best is not lost: its id may be smaller."""
+    sizes, weights = np.full(3, 10), np.array([7, 7])
+    block = lx.Block(sizes, np.array([2, 0]), np.array([0, 1]), np.array([1, 1]), weights, 3, 30)
+    found, scores, _ = block.scores(np.array([0, 1]), np.array([1, 1]), 1, 1)
+    assert found.tolist() == [0, 2] and scores[0] == scores[1]
+
+
+def test_lengths_beyond_64_bits():
+    sizes = np.array([10 ** 9, 1])
+    block = lx.Block(sizes, np.array([0, 1]), np.array([0, 0]), np.array([5, 5]), np.array([1000]), 10 ** 11, 10 ** 12)
+    m = [25 + 75 * n * 10 ** 11 // 10 ** 12 for n in (10 ** 9, 1)]
+    assert block.added.tolist() == [1000 * (5 * 10 ** 9 // (5000 + 8 * k)) for k in m]
+
+
+def test_terms_of_long_texts(monkeypatch):
+    text = said(3000)
+    monkeypatch.setattr(lx, "PIECE", 40)
+    assert [t for part in lx.terms(text.encode()) for t in part] == [t.encode() for t in terms(text)]
