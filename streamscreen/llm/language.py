@@ -14,7 +14,7 @@ a hash of doc_id; they are what reaches the driver. Prediction reads every whole
 
 Defined results: a null text or one without a letter is ``und`` with score 0; ties go to the language that sorts
 first; repeated rows give repeated results; with nothing to learn from every text is ``und``; an empty table gives no rows; other
-columns are ignored.
+columns are kept, and columns named lang_pred or score are replaced.
 """
 
 from __future__ import annotations
@@ -182,5 +182,6 @@ def predict(docs: DataFrame, model: Model, text: Column | None = None) -> DataFr
             names, values = shared.value.predict(texts.tolist())
             yield pd.DataFrame({"lang_pred": names, "score": values})
 
-    return docs.withColumn("_lang", named(F.col("text") if text is None else text)).select(
-        *docs.columns, "_lang.lang_pred", "_lang.score")
+    own = [F.col(f"`{c}`") for c in docs.columns if c not in ("lang_pred", "score")]
+    return docs.select(*own, named(F.col("text") if text is None else text).alias("_lang")).select(
+        *own, "_lang.lang_pred", "_lang.score")

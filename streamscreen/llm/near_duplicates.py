@@ -16,9 +16,8 @@ with the same set) and n_links (how many other documents are at least as similar
 
 Defined results: words are runs of letters, digits and underscores; a text of fewer than ``N`` words has one n-gram of
 all its words; a text without words (also null and empty) is a class of its own; repeated rows of a doc_id count once, and
-rows of a doc_id with different texts each follow their own text, save that a representative stands for all of its texts;
-a row with a null doc_id is returned unlinked; an empty table gives no rows; other columns are ignored, and ``deduplicate``
-keeps them.
+rows of a doc_id with different texts each follow their own text (classes are kept apart by their sets, not by ids); a row with a
+null doc_id is returned unlinked; an empty table gives no rows; other columns are ignored, and ``deduplicate`` keeps them.
 """
 
 from __future__ import annotations
@@ -30,7 +29,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from streamscreen.llm.common import join_counted
@@ -108,8 +107,13 @@ def _functions(count: int) -> tuple[np.ndarray, np.ndarray]:
     return masks, factors | np.uint64(1)
 
 
+def _text_key() -> Column:
+    """Tells the texts of one doc_id apart."""
+    return F.xxhash64(F.coalesce("text", F.lit("")))
+
+
 def scan(docs: DataFrame, n: int, bands: int, rows: int) -> DataFrame:
-    """doc_id, set_key (null without words) and bands of every document, written."""
+    """doc_id, a hash of the text, set_key (null without words) and bands of every document, written."""
     masks, factors = _functions(bands * rows)
     places = _mixed(np.arange(1, bands + 1, dtype=np.uint64))
 
@@ -129,12 +133,12 @@ def scan(docs: DataFrame, n: int, bands: int, rows: int) -> DataFrame:
                     hashed = _mixed(hashed * _ODD + own[:, k])
                 found.append(hashed.view(np.int64))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(keys, pa.binary()), pa.array(found, pa.list_(pa.int64()))],
-                ["doc_id", "set_key", "bands"])
+                [batch.column("doc_id"), batch.column("text_key"), pa.array(keys, pa.binary()),
+                 pa.array(found, pa.list_(pa.int64()))], ["doc_id", "text_key", "set_key", "bands"])
         _words.clear()  # the worker lives on, and later stages need its memory
 
-    made = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").mapInArrow(
-        run, "doc_id bigint, set_key binary, bands array<bigint>")
+    made = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), _text_key().alias("text_key"), "text").mapInArrow(
+        run, "doc_id bigint, text_key bigint, set_key binary, bands array<bigint>")
     return durable(made, "near-scan")
 
 
@@ -210,13 +214,13 @@ def _members(docs: DataFrame, classes: DataFrame, groups: DataFrame, block: int)
     """The members of candidate groups with their texts, dealt to the tasks that verify them."""
     sizes = groups.groupBy("root").agg(F.count(F.lit(1)).alias("_size"))
     blocks = F.ceil(F.col("_size") / block).cast("int")
-    copies = classes.groupBy(F.col("representative").alias("node")).agg(F.sum("copies").alias("copies"))
-    dealt = groups.join(sizes, "root").join(copies, "node").select(
-        "node", "root", "copies", blocks.alias("_blocks"), F.pmod(F.xxhash64("node"), blocks).cast("int").alias("block"))
+    known = classes.select("node", "copies", F.col("representative").alias("_rep"), F.col("text_key").alias("_rep_key"))
+    dealt = groups.join(sizes, "root").join(known, "node").select(
+        "node", "root", "copies", "_rep", "_rep_key", blocks.alias("_blocks"), F.pmod(F.xxhash64("node"), blocks).cast("int").alias("block"))
     dealt = durable(dealt, "near-members")
     packs = max(1, dealt.count() // PACK)
-    texts = docs.select(F.col("doc_id").cast("bigint").alias("_id"), "text")
-    rows = join_counted(texts, dealt, F.col("_id") == F.col("node"), "inner").drop("_id")
+    texts = docs.select(F.col("doc_id").cast("bigint").alias("_id"), _text_key().alias("_key"), "text")
+    rows = join_counted(texts, dealt, (F.col("_id") == F.col("_rep")) & (F.col("_key") == F.col("_rep_key")), "inner")
     small = F.col("_blocks") == 1
     rows = rows.withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)))
     return rows.select(
@@ -226,45 +230,69 @@ def _members(docs: DataFrame, classes: DataFrame, groups: DataFrame, block: int)
         "root", "block", "node", "copies", "text")
 
 
-def near_duplicates(docs: DataFrame, n: int = N, threshold: float = THRESHOLD, recall: float = RECALL, block: int = BLOCK
-                    ) -> DataFrame:
-    """doc_id, class_id, representative, n_links for every row of ``docs`` (doc_id, text)."""
+def _classified(docs: DataFrame, n: int, threshold: float, recall: float, block: int) -> DataFrame:
+    """doc_id, text_key, set_key and, for sets, node, root, class_id, representative and n_links of every row of ``docs``."""
     bands, rows = bands_and_rows(threshold, recall)
     scanned = scan(docs, n, bands, rows)
     usable = scanned.where(F.col("set_key").isNotNull() & F.col("doc_id").isNotNull())
+    first = F.min(F.struct("doc_id", "text_key"))
     classes = durable(usable.groupBy("set_key").agg(
-        F.min("doc_id").alias("representative"), F.countDistinct("doc_id").alias("copies"), F.first("bands").alias("bands")),
-        "near-classes")
-    banded = classes.select(F.col("representative").alias("a"), F.explode("bands").alias("_band"))
+        first.alias("_first"), F.countDistinct("doc_id").alias("copies"), F.first("bands").alias("bands")).select(
+        "set_key", _node().alias("node"), F.col("_first.doc_id").alias("representative"),
+        F.col("_first.text_key").alias("text_key"), "copies", "bands"), "near-classes")
+    banded = classes.select(F.col("node").alias("a"), F.explode("bands").alias("_band"))
     buckets = banded.groupBy("_band").agg(F.min("a").alias("b"), F.count(F.lit(1)).alias("_n")).where(F.col("_n") > 1)
     candidates = banded.join(buckets, "_band").where(F.col("a") != F.col("b")).select("a", "b").distinct()
     groups = components(candidates)
     found = durable(_verified(_members(docs, classes, groups, block), n, threshold), "near-links")
     roots = components(found.select(F.col("node").alias("a"), F.col("parent").alias("b")).where(F.col("a") != F.col("b")))
     counts = found.groupBy("node").agg(F.sum("linked_docs").alias("linked_docs"))
-    final = durable(classes.select("set_key", "representative", "copies").join(
-        counts.join(roots, "node", "left"), F.col("representative") == F.col("node"), "left").select(
-        F.col("set_key").alias("_key"), "representative", F.coalesce("root", "representative").alias("class_id"),
+    linked = classes.select("set_key", "node", "representative", "copies").join(counts.join(roots, "node", "left").withColumnRenamed(
+        "node", "_linked"), F.col("node") == F.col("_linked"), "left").withColumn("root", F.coalesce("root", "node"))
+    # A class goes by the smallest id of its sets; a root of a third of all rows is partly aggregated first.
+    named = linked.groupBy(F.col("root").alias("_root")).agg(F.min(F.struct("representative", "node")).alias("_least"))
+    final = durable(linked.join(named, F.col("root") == F.col("_root")).select(
+        F.col("set_key").alias("_key"), "node", "representative", F.col("_least.representative").alias("class_id"),
+        (F.col("_least.node") == F.col("node")).alias("least"),
         (F.col("copies") - 1 + F.coalesce("linked_docs", F.lit(0))).alias("n_links")), "near-result")
-    named = (F.col("set_key") == F.col("_key")) & F.col("doc_id").isNotNull()
-    return scanned.select("doc_id", "set_key").join(final, named, "left").select(
-        "doc_id", F.coalesce("class_id", "doc_id").alias("class_id"),
-        F.coalesce("representative", "doc_id").alias("representative"), F.coalesce("n_links", F.lit(0)).cast("bigint").alias("n_links"))
+    same = (F.col("set_key") == F.col("_key")) & F.col("doc_id").isNotNull()
+    return scanned.select("doc_id", "text_key", "set_key").join(final, same, "left").drop("_key")
+
+
+def _node() -> Column:
+    """A number for a set: the first 64 bits of its digest."""
+    return F.conv(F.hex(F.substring("set_key", 1, 8)), 16, -10).cast("bigint")
+
+
+def near_duplicates(docs: DataFrame, n: int = N, threshold: float = THRESHOLD, recall: float = RECALL, block: int = BLOCK
+                    ) -> DataFrame:
+    """doc_id, class_id, representative, n_links for every row of ``docs`` (doc_id, text)."""
+    return _classified(docs, n, threshold, recall, block).select(
+        "doc_id", F.coalesce("class_id", "doc_id").alias("class_id"), F.coalesce("representative", "doc_id").alias("representative"),
+        F.coalesce("n_links", F.lit(0)).cast("bigint").alias("n_links"))
 
 
 def deduplicate(docs: DataFrame, n: int = N, threshold: float = THRESHOLD) -> DataFrame:
     """``docs`` with one document of each class, the one with the smallest doc_id; same columns.
 
-    Of repeated rows of a doc_id one stays, that with the smallest text.
+    Rows are dropped by id and text, so another text of the same id stays if it is no copy of anything. Of repeated rows
+    (also those that differ in other columns, or whose texts have the same n-grams) one stays.
     """
-    marked = durable(near_duplicates(docs, n, threshold), "near-marked")
-    dropped = marked.where(F.col("doc_id") != F.col("class_id")).select(F.col("doc_id").alias("_drop")).distinct()
-    kept = join_counted(docs, durable(dropped, "near-dropped"), F.col("doc_id") == F.col("_drop"), "left_anti")
-    again = durable(marked.groupBy(F.col("doc_id").alias("_again")).agg(F.count(F.lit(1)).alias("_n")).where(
-        (F.col("_n") > 1) & F.col("_again").isNotNull()).select("_again"), "near-repeated")
+    marked = durable(_classified(docs, n, threshold, RECALL, BLOCK).where(F.col("doc_id").isNotNull()), "near-marked")
+    survives = F.coalesce(F.col("least") & (F.col("doc_id") == F.col("representative")), F.col("set_key").isNull())
+    # Of the texts of an id with one set, the one with the smallest hash.
+    chosen = durable(marked.where(survives).groupBy(F.col("doc_id").alias("_id"), F.coalesce("set_key", F.lit(b"")).alias("_set")).agg(
+        F.min("text_key").alias("_text")), "near-chosen")
+    kept = marked.join(chosen, (F.col("doc_id") == F.col("_id")) & (F.coalesce("set_key", F.lit(b"")) == F.col("_set"))
+                       & (F.col("text_key") == F.col("_text")) & survives, "left").select(
+        "doc_id", "text_key", F.col("_id").isNotNull().alias("_stays"))
+    counted = durable(kept.groupBy(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key")).agg(
+        F.max("_stays").alias("_stays"), F.count(F.lit(1)).alias("_n")).where(~F.col("_stays") | (F.col("_n") > 1)), "near-dropped")
+    same = (F.col("doc_id") == F.col("_id")) & (_text_key() == F.col("_key"))
+    left = join_counted(docs, counted.select("_id", "_key"), same, "left_anti")
+    again = counted.where("_stays").select("_id", "_key")
     if again.limit(1).count() == 0:
-        return kept
-    same = F.col("doc_id") == F.col("_again")
-    once = join_counted(kept, again, same, "inner").groupBy("_again").agg(
-        F.min_by(F.struct(*docs.columns), F.coalesce("text", F.lit(""))).alias("_row")).select("_row.*")
-    return join_counted(kept, again, same, "left_anti").unionByName(once)
+        return left
+    one = join_counted(docs, again, same, "inner").groupBy("_id", "_key").agg(
+        F.first(F.struct(*docs.columns)).alias("_row")).select("_row.*")
+    return left.unionByName(one)

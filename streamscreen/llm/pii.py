@@ -42,8 +42,10 @@ SHAPES = {
     "email": r"^\S+@\S+$", "ip": r"^[0-9]+(\.[0-9]+){3,}$",
     "card": r"^[0-9](?:[\x20-]?[0-9]){11,18}$", "phone": r"^[\x20().0-9+-]*(?:[0-9][\x20().-]*){7,15}$",
 }
-#: Phones and grouped cards are one token; any other token is a run without spaces.
+#: Phones, grouped cards and other numbers in groups (of two to five digits, perhaps one in parentheses, joined by a
+#: space, dot or hyphen) are one token; any other token is a run without spaces.
 TOKEN = (r"\+[0-9][\x20().0-9-]+[0-9]|(?<!\S)[0-9](?:[\x20-]?[0-9]){11,18}+(?![^\s.,;:!?)])"
+         r"|(?<!\S)(?:\([0-9]{2,5}\)[\x20.-]?)?[0-9]{2,5}(?:[\x20.-][0-9]{2,5}){1,4}+(?![^\s.,;:!?)])"
          r"|(?<!\S)[^\s0-9@]*+[0-9@]\S*+")
 CONTEXT = 80
 ROUNDS = 3
@@ -112,7 +114,8 @@ def base_spans(text: Column) -> Column:
     return F.when(text.rlike("[0-9@]"), F.array_sort(F.concat(*[F.coalesce(s, none) for s in every]))).otherwise(none)
 
 
-_TRIM_LEFT, _TRIM_RIGHT = r"^[\"'(<\[]+", r"[\"')>\].,;:!?]+$"
+# An opening parenthesis around leading digits belongs to the number.
+_TRIM_LEFT, _TRIM_RIGHT = r"^(?:[\"'<\[]|\((?![0-9]{2,5}\)))+", r"[\"')>\].,;:!?]+$"
 _CUE = r"^[\p{L}_-]{2,40}[=:][\"']?"
 
 

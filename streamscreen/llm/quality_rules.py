@@ -120,7 +120,8 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", max_rows: in
     """A model of documents (doc_id, text) and their labels (doc_id, ``label`` 0 or 1)."""
     sample = labelled_sample(docs, labels, label, max_rows)
     rows = with_statistics(sample.withColumn("label", (F.col(label) > 0).cast("double")), ["label"])
-    known = durable(rows, "quality-statistics")
+    # One order and one partition of a bounded sample: sums of floats come out alike in every run.
+    known = durable(rows, "quality-statistics").repartition(1).sortWithinPartitions("label", *STATISTICS)
     count, share = known.agg(F.count(F.lit(1)), F.avg("label")).first()
     if not count or share in (0.0, 1.0):
         p = min(max(share if count else 0.5, 1e-6), 1 - 1e-6)
@@ -144,8 +145,10 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", max_rows: in
 
 
 def score(docs: DataFrame, model: Model, columns: Sequence[str]) -> DataFrame:
-    """``columns`` of ``docs`` and score."""
-    return with_statistics(docs, columns).select(*columns, model.score().alias("score"))
+    """``columns`` of ``docs`` (a column named score is replaced) and score; they may be named like a statistic."""
+    own = [c for c in columns if c != "score"]
+    packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in own]).alias("_row"), "text")
+    return with_statistics(packed, ["_row"]).select("_row.*", model.score().alias("score"))
 
 
 def keep_good(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:

@@ -17,7 +17,7 @@ characters at a time.
 
 Defined results: a null or empty text has no passages and gets the score of no evidence; rows whose label is null are not
 learned from; without labels of both kinds every score is the toxic share (0 without any); repeated rows give
-repeated results; an empty table gives no rows; other columns are ignored.
+repeated results; an empty table gives no rows; other columns are kept, and columns named score or passages are replaced.
 """
 
 from __future__ import annotations
@@ -80,13 +80,14 @@ class Model:
         """The number of words and the (position, score) of those that the lexicon has."""
         seen, count, found = self._seen, 0, []
         for piece in pieces(text):
-            words = _WORD.findall(piece.lower())
+            words = _WORD.findall(piece)
             for i, word in enumerate(words, count):
                 score = seen.get(word)
                 if score is None:
                     if len(seen) >= CACHE:
                         seen.clear()
-                    score = seen[word] = self.word_score(word)
+                    # Found in the text itself and then lower-cased, as letters can grow: positions are those of the text.
+                    score = seen[word] = self.word_score(word.lower())
                 if score:
                     found.append((i, score))
             count += len(words)
@@ -150,7 +151,7 @@ def segments(found: list[tuple[int, float]], drift: float = DRIFT) -> list[tuple
 
 def _units(text: Column) -> Column:
     """Distinct words of a text with their beginnings, each marked by the beginning's length (0: whole word)."""
-    words = F.array_distinct(F.array_remove(F.split(F.lower(text), r"[^\p{L}\p{N}]+"), ""))
+    words = F.array_distinct(F.transform(F.array_remove(F.split(text, r"[^\p{L}\p{N}]+"), ""), F.lower))
 
     def starts(n: int) -> Column:
         cut = F.transform(F.filter(words, lambda w: F.length(w) > n), lambda w: F.left(w, F.lit(n)))
@@ -301,4 +302,5 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
                               for p in _offsets(text, kept)] if kept else [])
             yield pd.DataFrame({"score": scores, "passages": spans})
 
-    return docs.withColumn("_toxic", scored("text")).select(*docs.columns, "_toxic.score", "_toxic.passages")
+    own = [F.col(f"`{c}`") for c in docs.columns if c not in ("score", "passages")]
+    return docs.select(*own, scored("text").alias("_toxic")).select(*own, "_toxic.score", "_toxic.passages")

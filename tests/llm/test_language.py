@@ -50,3 +50,9 @@ def test_nothing_to_learn_from_and_no_rows(spark):
     model = language.fit(language.training_passages(empty))
     assert language.predict(frame(spark, [(1, "word", None, None)]).drop("score"), model).first()["lang_pred"] == "und"
     assert language.predict(empty, model).collect() == []
+
+
+def test_clashing_columns_are_replaced(spark):
+    docs = spark.createDataFrame([(1, "word", 7.0, "x")], "doc_id long, text string, score double, lang_pred string")
+    got = language.predict(docs, language.fit([]))
+    assert got.columns == ["doc_id", "text", "lang_pred", "score"] and got.select("lang_pred").first()[0] == "und"

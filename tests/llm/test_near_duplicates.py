@@ -73,10 +73,26 @@ def test_repeated_rows_null_ids_and_no_rows(spark):
                                "doc_id long, text string")
     got = nd.near_duplicates(df)
     assert rows(got) == sorted([(1, 1, 1, 1)] * 2 + [(2, 1, 1, 1)] + [(3, 3, 3, 0)] * 2 + [(None, None, None, 0)] * 2, key=repr)
-    assert rows(nd.deduplicate(df)) == sorted([(1, same), (3, "other words here"), (None, same), (None, same)], key=repr)
+    assert rows(nd.deduplicate(df)) == sorted(
+        [(1, same), (3, "other words here"), (3, "other words there"), (None, same), (None, same)], key=repr)
     assert nd.near_duplicates(df.where("false")).collect() == []
 
 
+def test_texts_of_one_id_are_told_apart(spark):
+    """A text that is a copy of nothing stays, whatever else its id stands for."""
+    x, y = "a text of its own", " ".join(prose(30))
+    for first, second in ((x, y), (y, x)):
+        df = spark.createDataFrame([(3, first, "p"), (3, second, "q"), (7, y, "r"), (7, y.upper(), "s"), (9, None, "t"), (9, "", "u")],
+                                   "doc_id long, text string, least string")
+        got = nd.deduplicate(df)
+        assert got.columns == df.columns
+        assert rows(got, "doc_id", "text")[:2] == sorted([(3, x), (3, y)], key=repr) and got.count() == 3
+    # The class of the other text is not touched by a link of this one.
+    df = spark.createDataFrame([(3, x), (3, y), (4, y + " more"), (5, x)], "doc_id long, text string")
+    assert rows(nd.near_duplicates(df), "doc_id", "class_id", "n_links") == [(3, 3, 1), (3, 3, 1), (4, 3, 1), (5, 3, 1)]
+    assert rows(nd.deduplicate(df)) == sorted([(3, x), (3, y)], key=repr)
+
+
 def test_bands_reach_the_recall():
     for threshold in (0.5, 0.8, 0.9):
         bands, per_band = nd.bands_and_rows(threshold, 0.999)

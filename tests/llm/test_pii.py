@@ -1,3 +1,4 @@
+import random
 import re
 
 import pytest
@@ -64,6 +65,63 @@ def test_contexts_find_unseen_identifiers(spark):
     assert got[41][1] == got[42][1] == []
 
 
+def test_contexts_find_grouped_numbers(spark):
+    """Phones without a plus, in groups, are proposed and found where phones stand; numbers elsewhere are left alone."""
+    seeds = [f"please call me at +1 (269) 555-32{i:02d} today" for i in range(20)]
+    plain = [f"the parts list says 269 555 32{i:02d} and (269) 555-32{i:02d} pieces, 10.12.2024 17 30" for i in range(30)]
+    unseen = ["please call me at (269) 555-3296 today", "please call me at 0171 234 5678 today", "or call me at 269.555.3296, thanks",
+              "please call me at 17 today"]
+    got = [[tuple(s) for s in r["spans"]] for r in sorted(pii.find(table(spark, [*seeds, *plain, *unseen])).collect(), key=lambda r: r["doc_id"])]
+    found = [[text[a:z] for a, _, z in spans] for text, spans in zip([*seeds, *plain, *unseen], got, strict=True)]
+    assert all(len(f) == 1 and f[0].startswith("+1") for f in found[:20])
+    assert found[20:50] == [[]] * 30
+    assert found[50:] == [["(269) 555-3296"], ["0171 234 5678"], ["269.555.3296"], []]
+
+
+def replay(texts):
+    """The rounds of scoring in plain Python: which values end as instances of phones."""
+    edges, seeds = set(), set()
+    for text in texts:
+        for m in re.finditer(r"\+[0-9][ ().0-9-]+[0-9]|(?<!\S)[^\s0-9@]*[0-9@]\S*", text):
+            left, right = text[:m.start()].split(), text[m.end():].split()
+            if m[0].startswith("+"):
+                seeds.add(m[0])
+            if len(left) > 1:
+                edges.add((f"before {left[-2]} {left[-1]}", m[0]))
+            if left and right:
+                edges.add((f"around {left[-1]} _ {right[0]}", m[0]))
+    score = {v: float(v in seeds) for _, v in edges}
+    for _ in range(pii.ROUNDS):
+        sure = {}
+        for pattern in {p for p, _ in edges}:
+            met = [score[v] for p, v in edges if p == pattern]
+            if len(met) >= pii.MIN_SUPPORT and sum(s >= pii.MIN_SCORE for s in met) >= pii.MIN_SUPPORT:
+                if (confidence := sum(met) / len(met)) >= pii.MIN_CONFIDENCE:
+                    sure[pattern] = confidence
+        raised = {}
+        for p, v in edges:
+            if p in sure:
+                raised[v] = raised.get(v, 1.0) * (1 - min(sure[p], 0.999999))
+        score = {v: max(float(v in seeds), 1 - raised.get(v, 1.0)) for v in score}
+    return {v for v, s in score.items() if s >= pii.MIN_SCORE and v not in seeds and re.fullmatch(r"[ ().0-9+-]*", v)
+            and 7 <= sum(c.isdigit() for c in v) <= 15}
+
+
+def test_rounds_match_a_replay(spark):
+    dice = random.Random(4)
+    texts = []
+    for i in range(300):
+        number = f"+49 30 1{i:06d}" if dice.random() < 0.8 else f"030-1{i:06d}"
+        lead, after = dice.choice([("my phone", "ok"), ("dial this", "now"), ("item number", "here"), ("was at", "then")])
+        if lead in ("item number", "was at") and dice.random() < 0.7:
+            number = f"7{i:06d}"
+        texts.append(f"{lead} {number} {after}")
+    want = replay(texts)
+    got = {texts[r["doc_id"]][a:z] for r in pii.find(table(spark, texts)).collect() for a, _, z in r["spans"]
+           if (a, 3, z) not in [tuple(b) for b in r["base"]]}
+    assert got == want and len(want) > 20
+
+
 def test_redaction_keeps_columns_and_other_text(spark):
     docs = spark.createDataFrame(
         [(1, "é a@b.de, +1 (269) 555-3296 end", "x", 9), (2, None, None, None), (3, "plain", "y", 5), (3, "plain", "y", 5), (None, "1.1.1.1", "z", 7)],

@@ -15,7 +15,7 @@ SMALL = "/root/testdata/sf0.001"
 
 
 def test_names():
-    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in REGISTRY) == list(range(1, 11))
+    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in REGISTRY) == list(range(1, 14))
     assert set(ORACLE) <= set(REGISTRY) and len(corpus_pipeline.STAGES) == 5
 
 

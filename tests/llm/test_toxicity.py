@@ -80,3 +80,18 @@ def test_calibration_counts_every_hit(spark):
     rest = sum(n for n, _ in read) - len(hits)
     moment = sum(math.exp(model.decay * s) for s in hits) + rest * math.exp(model.decay * t.DRIFT)
     assert moment == pytest.approx(rest + len(hits), rel=1e-6)
+
+
+def test_letters_that_grow_when_lower_cased():
+    """Words are counted in the text itself, so a capital that lower-cases to two characters moves no passage."""
+    model = t.Model({}, {"idiot": 6.0}, decay=0.9, k=0.1)
+    for text in ("İstanbul İzmir fine idiot idiot idiot", "İ İ İ idiot IDIOT idiot İ"):
+        evidence, kept = model.passages(text)
+        (start, end, *_), = t._offsets(text, kept)
+        assert evidence > 0 and text[start:end].lower().split() == ["idiot"] * 3
+
+
+def test_clashing_columns_are_replaced(spark):
+    docs = spark.createDataFrame([(1, "word", 7.0, "x")], "doc_id long, text string, score double, passages string")
+    got = t.score(docs, t.Model())
+    assert got.columns == ["doc_id", "text", "score", "passages"] and got.select("score").first()[0] == 0.5
