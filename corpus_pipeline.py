@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from streamscreen.llm import decontaminate, near_duplicates, pieces, pii, quality_rules
 from streamscreen.llm.common import table
 from streamscreen.llm.queries import may_learn
-from streamscreen.session import durable
+from streamscreen.session import discard, durable, temporary_tables
 
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -53,7 +53,11 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every stage written; what only a stage or the one after it needed is deleted."""
     docs = table(spark, sf_dir, "documents")
     for number, (_, stage) in enumerate(STAGES):
-        docs = durable(stage(spark, docs, sf_dir), f"pipeline-{number}")
+        with temporary_tables(spark):
+            made = durable(stage(spark, docs, sf_dir), f"pipeline-{number}", outlives=True)
+        discard(docs)
+        docs = made
     return docs
