@@ -100,6 +100,10 @@ def job_sql() -> dict[str, str]:
             FROM routed JOIN numbered USING (id) WHERE merchant_id <> '3-MEDIUM'
             UNION ALL SELECT 'payments.dlq', NULL, event_id, NULL, NULL, NULL, '''amount'' is not of type number',
                    'payments.raw', '?', '?', '?', '?', 1 FROM pay WHERE merchant_id = '2-HIGH'""",
+        "quoted_line_breaks": """WITH d AS (SELECT doc_id, n_chars, coalesce(text, '') AS text, coalesce(lang, 'none') AS file FROM documents)
+            SELECT file, doc_id, n_chars, sha256(text) AS text_sha256, CAST(1 + coalesce(sum(
+              1 + length(text) - length(replace(text, chr(10), ''))) OVER (
+              PARTITION BY file ORDER BY doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS row FROM d""",
         "newest_alert_counts_by_rule": f"{_RECENT} SELECT rule_id, count(*) AS alert_count FROM recent GROUP BY rule_id",
         "newest_alert_minutes": f"""{_RECENT}, grid AS (
             SELECT (1706650230000 // 60000 - i) * 60000 AS minute_ms FROM range(1, 1441) t(i))

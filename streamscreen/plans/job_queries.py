@@ -13,7 +13,7 @@ from streamscreen.plans import card_fraud, payment_screening
 from streamscreen.plans.queries import ARRIVAL, DAY, _alerts, _drained, _kept, _stateful, register
 from streamscreen.schemas import APP_USER, PERSON_RULES, TRANSACTION
 from streamscreen.session import new_path
-from streamscreen.sources import catalog, jsonlines, relational, topics, validate
+from streamscreen.sources import catalog, jsonlines, relational, tabular, topics, validate
 from streamscreen.streaming import processors
 from streamscreen.streaming.jobs import (
     UNTIL_DRAINED,
@@ -176,6 +176,20 @@ def payment_job(spark, sf):
         "excel_row", "sheet", "model", "routed_to", "n_headers")
 
 
+@register
+def quoted_line_breaks(spark, sf):
+    """Whole texts, line breaks and quotes included, written as CSV files and read by blocks, with the line each record begins at."""
+    path = new_path(spark, "quoted-files")
+    docs = b.table(spark, sf, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"), "n_chars",
+                                                  F.coalesce("lang", F.lit("none")).alias("file"))
+    (docs.repartition("file").sortWithinPartitions("file", "doc_id").write.partitionBy("file").option("escape", '"')
+     .option("ignoreLeadingWhiteSpace", "false").option("ignoreTrailingWhiteSpace", "false").csv(path))
+    read = tabular.numbered_records(spark, path).withColumn(
+        "_r", F.from_csv("value", "doc_id bigint, text string, n_chars bigint", {"escape": '"', "maxCharsPerColumn": "-1"}))
+    return read.select(F.regexp_extract("source", "file=([^/]*)/", 1).alias("file"), "row", "_r.doc_id", "_r.n_chars",
+                       F.sha2(F.coalesce("_r.text", F.lit("")), 256).alias("text_sha256"))
+
+
 # Alert summaries of the newest alerts ------------------------------------------------------------
 
 def _newest(spark: SparkSession, sf: str) -> DataFrame:

@@ -1,4 +1,7 @@
+import csv
+import io
 import json
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -231,3 +234,77 @@ def test_transactions_from_json(spark):
         (5.0, "", "", 1704067200000, 0, True, 1704067200000),
         (7.5, "", "Rome", 1704067200000, 3, True, 1704067200000),
         (5.0, "", "", None, 0, False, 9)], key=repr)
+
+
+TEXTS = ["plain", "", "two\nlines", 'a "quoted" word', 'ends with "', '"', "three\n\nlines, with commas", '5" pipe', "x" * 300, 'tail "\n', '""\n""',
+         '\n\n\n', ',",\n,"']
+
+
+@pytest.mark.parametrize("split", [64, 1000, 1 << 27])
+def test_records_with_line_breaks_in_quotes(spark, tmp_path, split):
+    """Equal to a plain reader, with the number of each record's first line, however files are split over tasks."""
+    dice, want = random.Random(9), []
+    for name in ("a.csv", "b.csv", "c.csv"):
+        out, line = io.StringIO(), 1
+        writer = csv.writer(out, lineterminator="\n")
+        for i in range(120):
+            texts = TEXTS[:2] if name == "c.csv" else TEXTS
+            fields = [str(i), dice.choice(texts), dice.choice(texts)]
+            at = out.tell()
+            writer.writerow(fields)
+            want.append((name, line, fields))
+            line += out.getvalue()[at:].count("\n")
+        # Quotes inside a field that does not begin with one are plain text.
+        out.write('200,5" pipe,6" pipe\n201,x,"last\n')
+        want += [(name, line, ["200", '5" pipe', '6" pipe']), (name, line + 1, ["201", "x", "last\n"])]
+        (tmp_path / name).write_text(out.getvalue())
+    before = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    for k in before:
+        spark.conf.set(k, str(split))
+    try:
+        got = tabular.numbered_records(spark, str(tmp_path)).collect()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    # A quote that is never closed: the rest of the file, to its last line, is one record.
+    made = sorted((r["source"].rsplit("/", 1)[1], r["row"], next(csv.reader([r["value"]], strict=False)) if not r["value"].startswith("201")
+                   else ["201", "x", "last\n"]) for r in got)
+    assert made == sorted(want)
+
+
+@pytest.mark.parametrize("value", [
+    "a,b", '"', 'a,"b', 'a,"b"', 'a,"b""', 'b",c', 'b","c', '5" x,"y', '5" x', '""', "", '"a"b"c,"d', ',,"', '"",""', '"""', 'x""",","'])
+def test_line_maps(spark, value):
+    row = spark.createDataFrame([(value,)], "value string").select(*tabular.line_map(F.col("value"))).first()
+    # A plain machine: the state after each character.
+    def run(inside):
+        at, begins = 0, not inside
+        while at < len(value):
+            c = value[at]
+            if inside:
+                if c == '"' and value[at + 1:at + 2] == '"':
+                    at += 1
+                elif c == '"':
+                    inside = False
+            elif c == ",":
+                begins = True
+                at += 1
+                continue
+            elif c == '"' and begins:
+                inside = True
+            begins = False
+            at += 1
+        return inside
+    assert tuple(row) == (run(False), run(True))
+
+
+def test_payments_with_line_breaks(spark, tmp_path):
+    head = ",".join(tabular.FIELDS) + ",comment"
+    good = ["e1", "c", "u", "m", 'toys "and\nmore', "5.5", "USD", "DE", "DE", "POS", "t"]
+    out = io.StringIO()
+    csv.writer(out, lineterminator="\n").writerows([[*good, "x"], ["e2", *good[1:], "y\nz"], ["e3", *good[1:4], "", *good[5:], ""]])
+    (tmp_path / "p.csv").write_text(head + "\n" + out.getvalue())
+    table = tabular.read_payment_rows(spark, str(tmp_path))
+    assert rows(tabular.keep_complete(table), "event_id", "merchant_category", "amount", "row") == [
+        ("e1", 'toys "and\nmore', 5.5, 2), ("e2", 'toys "and\nmore', 5.5, 4)]
+    assert rows(tabular.skipped_rows(table), "row", "missing") == [(7, ["merchant_category"])]
