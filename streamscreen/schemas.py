@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from dataclasses import dataclass, field
 
 from pyspark.sql import types as T
@@ -73,41 +74,100 @@ FORECAST_DOCUMENT = _struct(
 
 @dataclass(frozen=True)
 class Field:
-    """One property of a JSON event: its type and the limits on its value."""
+    """One property of a JSON event: its type and the limits on its value; an object has fields of its own."""
 
     name: str
-    kind: str  # "string", "number" or "integer"
+    kind: str  # "string", "number", "integer", "boolean" or "object"
     minimum: float | None = None
     min_length: int | None = None
     one_of: tuple[str, ...] = ()
+    required: bool = True
+    fields: tuple[Field, ...] = ()
+    #: Whether an object may have no other keys.
+    closed: bool = True
 
 
 @dataclass(frozen=True)
 class EventRules:
-    """A closed JSON object: every listed field is required and no other key is allowed."""
+    """A JSON object: its typed columns, its fields, and whether other keys are refused."""
 
     schema: T.StructType
     fields: tuple[Field, ...] = field(default_factory=tuple)
-
-
-# The published constraints of the two validated event types.
-PERSON_RULES = EventRules(PERSON_EVENT, (
-    Field("event_id", "integer", minimum=1),
-    Field("name", "string", min_length=1),
-    Field("age", "integer", minimum=0),
-    Field("ts_utc", "string"),
-))
-
-PAYMENT_RULES = EventRules(PAYMENT, (
-    Field("event_id", "string"),
-    Field("card_id", "string"),
-    Field("user_id", "string"),
-    Field("merchant_id", "string"),
-    Field("merchant_category", "string"),
-    Field("amount", "number", minimum=0),
-    Field("currency", "string"),
-    Field("country", "string"),
-    Field("ip_country", "string"),
-    Field("channel", "string", one_of=("POS", "ECOM", "ATM")),
-    Field("ts_utc", "string"),
-))
+    closed: bool = True
+
+
+# The published constraints of the two validated event types, as JSON-Schema text.
+PERSON_SCHEMA = """{
+  "type": "object", "additionalProperties": false,
+  "required": ["event_id", "name", "age", "ts_utc"],
+  "properties": {
+    "event_id": {"type": "integer", "minimum": 1}, "name": {"type": "string", "minLength": 1},
+    "age": {"type": "integer", "minimum": 0}, "ts_utc": {"type": "string"}}}"""
+
+PAYMENT_SCHEMA = """{
+  "type": "object", "additionalProperties": false,
+  "required": ["event_id", "card_id", "user_id", "merchant_id", "merchant_category", "amount", "currency", "country",
+               "ip_country", "channel", "ts_utc"],
+  "properties": {
+    "event_id": {"type": "string"}, "card_id": {"type": "string"}, "user_id": {"type": "string"},
+    "merchant_id": {"type": "string"}, "merchant_category": {"type": "string"}, "amount": {"type": "number", "minimum": 0},
+    "currency": {"type": "string"}, "country": {"type": "string"}, "ip_country": {"type": "string"},
+    "channel": {"type": "string", "enum": ["POS", "ECOM", "ATM"]}, "ts_utc": {"type": "string"}}}"""
+
+_COLUMN_TYPES = {"string": _S, "number": _D, "integer": _L, "boolean": _B}
+#: Keywords without a meaning for validation, and those understood for each type.
+_NOTES = {"$schema", "$id", "$comment", "title", "description", "examples", "default"}
+_KEYWORDS = {"string": {"minLength", "enum"}, "number": {"minimum"}, "integer": {"minimum"}, "boolean": set(),
+             "object": {"properties", "required", "additionalProperties"}}
+
+
+def _refuse(node: dict, kind: str, where: str) -> None:
+    unknown = sorted(set(node) - _NOTES - {"type"} - _KEYWORDS[kind])
+    if unknown:
+        raise ValueError(f"{where}: keyword {unknown[0]!r} is not understood for type {kind!r}")
+
+
+def _object(node: dict, where: str) -> tuple[tuple[Field, ...], T.StructType, bool]:
+    _refuse(node, "object", where)
+    properties, required = node.get("properties", {}), node.get("required", [])
+    for name in required:
+        if name not in properties:
+            raise ValueError(f"{where}: required property {name!r} is not described")
+    others = node.get("additionalProperties", True)
+    if not isinstance(others, bool):
+        raise ValueError(f"{where}: keyword 'additionalProperties' is understood as true or false only")
+    fields, columns = [], []
+    for name, own in properties.items():
+        at = f"{where}.{name}"
+        kind = own.get("type")
+        if kind not in _KEYWORDS:
+            raise ValueError(f"{at}: type {kind!r} is not understood")
+        if not name.isidentifier():
+            raise ValueError(f"{at}: the name is not an identifier")
+        if kind == "object":
+            inner, column, closed = _object(own, at)
+            fields.append(Field(name, kind, required=name in required, fields=inner, closed=closed))
+        else:
+            _refuse(own, kind, at)
+            if not all(isinstance(v, str) for v in own.get("enum", [])):
+                raise ValueError(f"{at}: keyword 'enum' is understood for strings only")
+            column = _COLUMN_TYPES[kind]
+            fields.append(Field(name, kind, own.get("minimum"), own.get("minLength"), tuple(own.get("enum", ())), name in required))
+        columns.append((name, column))
+    return tuple(fields), _struct(*columns), not others
+
+
+def rules_from(text: str) -> EventRules:
+    """The rules that a JSON-Schema document states, with the columns of a valid event.
+
+    Understood are objects (nested ones too) with ``properties``, ``required`` and ``additionalProperties``, and strings,
+    numbers, integers and booleans with ``minimum``, ``minLength`` and ``enum``. Anything else is refused by name rather than ignored.
+    """
+    node = json.loads(text)
+    if not isinstance(node, dict) or node.get("type") != "object":
+        raise ValueError("the document does not describe an object")
+    fields, schema, closed = _object(node, "$")
+    return EventRules(schema, fields, closed)
+
+
+PERSON_RULES, PAYMENT_RULES = rules_from(PERSON_SCHEMA), rules_from(PAYMENT_SCHEMA)

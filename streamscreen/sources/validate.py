@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from streamscreen.functions.once import once
 from streamscreen.schemas import EventRules, Field
@@ -33,77 +34,196 @@ def _member(document: Column, name: str, kind: str = "variant") -> Column:
 
 
 # How each JSON type reads in the type text of a VARIANT.
-_TYPE_TEXT = {"string": "STRING", "number": r"(BIGINT|DECIMAL\(\d+,\d+\)|DOUBLE)"}
+_TYPE_TEXT = {"string": "STRING", "number": r"(?:BIGINT|DECIMAL\(\d+,\d+\)|DOUBLE)", "boolean": "BOOLEAN"}
 _TYPE_TEXT["integer"] = _TYPE_TEXT["number"]
 # Integers are read as decimals, which keep every digit of an id.
-_READ_AS = {"string": "string", "number": "double", "integer": "decimal(38,10)"}
+_READ_AS = {"string": "string", "number": "double", "integer": "decimal(38,10)", "boolean": "boolean"}
+#: Parts a path of names; a dot may stand in a key.
+_STEP = "\x01"
 
 
-def _limits(rule: Field, value: Column) -> list[Column]:
-    """Broken limits of a value of the right type."""
+def _shape(fields: tuple[Field, ...]) -> str:
+    """The type text of a closed object with these fields, as a pattern; its keys stand in order."""
+    parts = []
+    for f in sorted(fields, key=lambda f: f.name):
+        kind = _shape(f.fields) if f.kind == "object" else _TYPE_TEXT[f.kind]
+        parts.append(f"(?:{f.name}: {kind}(?:, |(?=>)))" + ("" if f.required else "?"))
+    return "OBJECT<" + "".join(parts) + ">"
+
+
+def _all_closed(fields: tuple[Field, ...], closed: bool) -> bool:
+    return closed and all(_all_closed(f.fields, f.closed) for f in fields if f.kind == "object")
+
+
+def _read_type(fields: tuple[Field, ...]) -> str:
+    return "struct<" + ",".join(
+        f"{f.name}:{_read_type(f.fields) if f.kind == 'object' else _READ_AS[f.kind]}" for f in fields) + ">"
+
+
+def _every(fields: tuple[Field, ...], above: tuple[str, ...] = ()) -> list[tuple[tuple[str, ...], Field]]:
+    """All fields with their paths, an object before its own."""
+    out = []
+    for f in fields:
+        path = (*above, f.name)
+        out.append((path, f))
+        out += _every(f.fields, path)
+    return out
+
+
+def _limits(rule: Field, value: Column, shown: str, present: Column) -> list[Column]:
+    """Broken limits of a value of the right type; a field that is not there breaks none."""
     out = []
     if rule.kind == "integer":
-        out.append(F.when(value != F.floor(value), F.lit(f"'{rule.name}' is not of type integer")))
+        out.append(F.when(value != F.floor(value), F.lit(f"'{shown}' is not of type integer")))
     if rule.minimum is not None:
         out.append(F.when(value < rule.minimum,
-                          F.lit(f"'{rule.name}' is less than the minimum of {rule.minimum}")))
+                          F.lit(f"'{shown}' is less than the minimum of {rule.minimum}")))
     if rule.kind == "integer":
         # A number too large for the decimal reads as null.
-        out.append(F.when(value.try_cast("bigint").isNull(), F.lit(f"'{rule.name}' does not fit 64 bits")))
+        out.append(F.when(present & value.try_cast("bigint").isNull(), F.lit(f"'{shown}' does not fit 64 bits")))
     if rule.min_length is not None:
-        out.append(F.when(F.length(value) < rule.min_length, F.lit(f"'{rule.name}' is too short")))
+        out.append(F.when(F.length(value) < rule.min_length, F.lit(f"'{shown}' is too short")))
     if rule.one_of:
         out.append(F.when(~value.isin(*rule.one_of),
-                          F.lit(f"'{rule.name}' is not one of {list(rule.one_of)}")))
+                          F.lit(f"'{shown}' is not one of {list(rule.one_of)}")))
     return out
 
 
+def _present(path: tuple[str, ...], rules: EventRules) -> Column:
+    """Whether a field is there, where that is not sure already."""
+    fields, optional = rules.fields, False
+    for name in path:
+        own = next(f for f in fields if f.name == name)
+        fields, optional = own.fields, optional or not own.required
+    return _member(F.col("_doc"), ".".join(path)).isNotNull() if optional else F.lit(True)
+
+
+def _keyed(path: tuple[str, ...]) -> Column:
+    """An object of the document as a map; null if it is none."""
+    return F.try_variant_get("_doc", ".".join(("$.doc", *path)), "map<string,variant>")
+
+
+def _closed_objects(rules: EventRules) -> list[tuple[tuple[str, ...], tuple[Field, ...]]]:
+    """Paths and fields of the objects that may have no other keys, from the top."""
+    objects = [((), rules.fields, rules.closed)] + [(path, f.fields, f.closed) for path, f in _every(rules.fields) if f.kind == "object"]
+    return [(path, fields) for path, fields, closed in objects if closed]
+
+
+def _types(rules: EventRules) -> Column:
+    """The type text of every key of the document and of its described objects, by path."""
+    def of(above: tuple[str, ...]) -> Column:
+        whole = _keyed(above)
+        prefix = F.lit(_STEP.join((*above, "")))
+        own = F.transform_keys(whole, lambda k, _: F.concat(prefix, k)) if above else whole
+        return F.coalesce(F.transform_values(own, lambda _, v: F.schema_of_variant(v)), F.create_map().cast("map<string,string>"))
+
+    objects = [path for path, f in _every(rules.fields) if f.kind == "object"]
+    return F.map_concat(of(()), *map(of, objects)) if objects else of(())
+
+
 def _misfits(rules: EventRules) -> Column:
-    """For each field what is wrong with its type in ``_types`` (the type text of each key), or null."""
-    wanted = F.array(*[F.struct(F.lit(f.name).alias("name"), F.lit(f.kind).alias("kind")) for f in rules.fields])
+    """For each field what is wrong with its type in ``_types``, or null."""
+    wanted = F.array(*[F.struct(F.lit(_STEP.join(path)).alias("path"), F.lit(".".join(path)).alias("name"), F.lit(f.kind).alias("kind"),
+                                F.lit(f.required).alias("required"), F.lit(_STEP.join(path[:-1])).alias("above"))
+                       for path, f in _every(rules.fields)])
 
     def of_field(field: Column) -> Column:
-        found = F.try_element_at(F.col("_types"), field["name"])
+        found = F.try_element_at(F.col("_types"), field["path"])
         number = found.isin("BIGINT", "DOUBLE") | found.startswith("DECIMAL(")
-        fits = F.when(field["kind"] == "string", found == "STRING").otherwise(number)
-        return (F.when(found.isNull(), F.concat(F.lit("'"), field["name"], F.lit("' is a required property")))
+        fits = (F.when(field["kind"] == "string", found == "STRING").when(field["kind"] == "boolean", found == "BOOLEAN")
+                .when(field["kind"] == "object", found.startswith("OBJECT<")).otherwise(number))
+        inside = (field["above"] == "") | F.coalesce(
+            F.try_element_at(F.col("_types"), field["above"]).startswith("OBJECT<"), F.lit(False))
+        missing = found.isNull() & field["required"] & inside
+        return (F.when(missing, F.concat(F.lit("'"), field["name"], F.lit("' is a required property")))
                 .when(~fits, F.concat(F.lit("'"), field["name"], F.lit("' is not of type "), field["kind"])))
 
     return F.transform(wanted, of_field)
 
 
+def _keys_below(prefix: str) -> Column:
+    """The keys of an object in ``_types``, without those of the objects in it."""
+    rest = F.lit(len(prefix) + 1)
+    keys = F.filter(F.map_keys("_types"), lambda k: k.startswith(prefix) & ~F.substr(k, rest).contains(_STEP))
+    return F.transform(keys, lambda k: F.substr(k, rest))
+
+
+def _each_below(names: Column, prefix: str) -> Column:
+    return F.transform(names, lambda k: F.concat(F.lit(prefix), k))
+
+
+def _extra(text: Column, rules: EventRules) -> list[Column]:
+    """For each closed object the complaint about keys that are not described."""
+    out = []
+    for path, fields in _closed_objects(rules):
+        own = _keys_below(_STEP.join((*path, "")) if path else "")
+        # At the top in the order of the document.
+        in_order = F.when(F.size(own) > len(fields), F.json_object_keys(text))
+        found = in_order if not path and all(f.required for f in fields) else own
+        extra = F.array_except(found, F.array(*[F.lit(f.name) for f in fields]).cast("array<string>"))
+        shown = F.array_join(_each_below(extra, ".".join((*path, "")) if path else ""), ", ")
+        out.append(F.when(F.size(extra) > 0, F.concat(F.lit("additional properties are not allowed: "), shown)))
+    return out
+
+
 def _first_problem(text: Column, rules: EventRules) -> Column:
     """The first problem of an object whose keys or types are wrong, from ``_misfit`` and the values of limited fields."""
     out = []
-    for i, rule in enumerate(rules.fields):
+    for i, (path, rule) in enumerate(_every(rules.fields)):
         own = F.get("_misfit", F.lit(i))
         out.append(own)
-        value = _member(F.col("_doc"), rule.name, _READ_AS[rule.kind])
-        out += [F.when(own.isNull(), broken) for broken in _limits(rule, value)]
-    extra = F.array_except(F.json_object_keys(text), F.array(*[F.lit(f.name) for f in rules.fields]))
-    out.append(F.when(F.size("_types") > len(rules.fields), F.concat(
-        F.lit("additional properties are not allowed: "), F.array_join(extra, ", "))))
-    return F.coalesce(*out, F.lit("a number is out of range"))
+        if rule.kind != "object":
+            value = _member(F.col("_doc"), ".".join(path), _READ_AS[rule.kind])
+            there = F.try_element_at(F.col("_types"), F.lit(_STEP.join(path))).isNotNull()
+            out += [F.when(own.isNull(), broken) for broken in _limits(rule, value, ".".join(path), there)]
+    return F.coalesce(*out, *_extra(text, rules), F.lit("a number is out of range"))
+
+
+def _fits(rules: EventRules) -> Column:
+    """Whether keys and types are the expected ones: by the type text of the whole document, or field by field if keys may be added."""
+    if _all_closed(rules.fields, rules.closed):
+        return F.col("_whole").rlike("^OBJECT<doc: " + _shape(rules.fields) + ", end: STRING>$")
+    out = _is_object()
+    for path, f in _every(rules.fields):
+        found = F.schema_of_variant(_member(F.col("_doc"), ".".join(path)))
+        if f.kind == "object":
+            kind = "^" + _shape(f.fields) + "$" if _all_closed(f.fields, f.closed) else "^OBJECT<"
+        else:
+            kind = f"^{_TYPE_TEXT[f.kind]}$"
+        above = _member(F.col("_doc"), ".".join(path[:-1])).isNull() if len(path) > 1 else F.lit(False)
+        out = out & F.coalesce(found.rlike(kind), F.lit(not f.required) | above)
+    for path, fields in _closed_objects(rules):
+        keys = F.map_keys(_keyed(path))
+        other = F.array_except(keys, F.array(*[F.lit(f.name) for f in fields]).cast("array<string>"))
+        out = out & F.coalesce(F.size(other) == 0, F.lit(True))
+    return out
 
 
 def _typed_rows(df: DataFrame, text: Column, rules: EventRules) -> DataFrame:
     """Add ``_row``: the typed fields of a document whose keys and types are the expected ones, else null."""
-    fields = sorted(rules.fields, key=lambda f: f.name)
-    shape = ("^OBJECT<doc: OBJECT<" + ", ".join(f"{f.name}: {_TYPE_TEXT[f.kind]}" for f in fields)
-             + ">, end: STRING>$")
-    row_type = "struct<" + ",".join(f"{f.name}:{_READ_AS[f.kind]}" for f in rules.fields) + ">"
-    return once(with_document(df, text),
-                _row=F.when(F.col("_whole").rlike(shape), F.try_variant_get("_doc", "$.doc", row_type)))
+    return once(with_document(df, text), _row=F.when(_fits(rules), F.try_variant_get("_doc", "$.doc", _read_type(rules.fields))))
 
 
 def _broken(rules: EventRules) -> Column:
     """The first broken limit of ``_row``; null if all hold."""
-    row = F.col("_row")
-    return F.coalesce(*[limit for f in rules.fields for limit in _limits(f, row[f.name])], F.lit(None).cast("string"))
+    out = []
+    for path, f in _every(rules.fields):
+        if f.kind != "object":
+            value = F.col("_row")
+            for name in path:
+                value = value[name]
+            out += _limits(f, value, ".".join(path), _present(path, rules))
+    return F.coalesce(*out, F.lit(None).cast("string"))
 
 
 def _event(rules: EventRules) -> list[Column]:
-    return [F.col("_row")[f.name].try_cast(rules.schema[f.name].dataType).alias(f.name) for f in rules.fields]
+    def typed(value: Column, f: Field, kind: T.DataType) -> Column:
+        if f.kind != "object":
+            return value.try_cast(kind).alias(f.name)
+        inner = F.struct(*[typed(value[g.name], g, kind[g.name].dataType) for g in f.fields])
+        return F.when(value.isNotNull(), inner).alias(f.name)
+
+    return [typed(F.col("_row")[f.name], f, rules.schema[f.name].dataType) for f in rules.fields]
 
 
 def check(df: DataFrame, text: Column, rules: EventRules) -> DataFrame:
@@ -114,9 +234,7 @@ def check(df: DataFrame, text: Column, rules: EventRules) -> DataFrame:
     ones; only documents that fail this are taken apart for the message. No document ends the job.
     """
     whole, row = F.col("_whole"), F.col("_row")
-    types = F.transform_values(F.try_variant_get("_doc", "$.doc", "map<string,variant>"),
-                               lambda _, v: F.schema_of_variant(v))
-    typed = once(_typed_rows(df, text, rules), _types=F.when(row.isNull() & _is_object(), types))
+    typed = once(_typed_rows(df, text, rules), _types=F.when(row.isNull() & _is_object(), _types(rules)))
     # A column of its own, as every field looks into it.
     typed = once(typed, _misfit=F.when(F.col("_types").isNotNull(), _misfits(rules)))
     judged = once(typed, error=(

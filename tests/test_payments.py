@@ -308,3 +308,64 @@ def test_payments_with_line_breaks(spark, tmp_path):
     assert rows(tabular.keep_complete(table), "event_id", "merchant_category", "amount", "row") == [
         ("e1", 'toys "and\nmore', 5.5, 2), ("e2", 'toys "and\nmore', 5.5, 4)]
     assert rows(tabular.skipped_rows(table), "row", "missing") == [(7, ["merchant_category"])]
+
+
+NESTED = """{"title": "order", "type": "object", "additionalProperties": false, "required": ["id", "ship"], "properties": {
+  "id": {"type": "integer", "minimum": 1}, "gift": {"type": "boolean"}, "note": {"type": "string", "minLength": 2},
+  "ship": {"type": "object", "additionalProperties": false, "required": ["city"], "properties": {
+    "city": {"type": "string", "enum": ["Rome", "Oslo"]}, "floor": {"type": "integer", "minimum": 0},
+    "geo": {"type": "object", "required": ["lat"], "properties": {"lat": {"type": "number", "minimum": -90}}}}}}}"""
+
+DOCUMENTS = [
+    ('{"id":1,"ship":{"city":"Rome"}}', None),
+    ('{"ship":{"floor":2.0,"city":"Oslo","geo":{"lat":5,"more":[1]}},"gift":true,"id":7,"note":"ok"}', None),
+    ('{"id":1}', "'ship' is a required property"),
+    ('{"id":1,"ship":{}}', "'ship.city' is a required property"),
+    ('{"id":1,"ship":[]}', "'ship' is not of type object"),
+    ('{"id":1,"ship":{"city":"Bern"}}', "'ship.city' is not one of ['Rome', 'Oslo']"),
+    ('{"id":1,"ship":{"city":"Rome","floor":-1}}', "'ship.floor' is less than the minimum of 0"),
+    ('{"id":1,"ship":{"city":"Rome","floor":1.5}}', "'ship.floor' is not of type integer"),
+    ('{"id":1,"ship":{"city":"Rome","floor":"1"}}', "'ship.floor' is not of type integer"),
+    ('{"id":1,"ship":{"city":"Rome","floor":null}}', "'ship.floor' is not of type integer"),
+    ('{"id":1,"ship":{"city":"Rome","floor":1e30}}', "'ship.floor' does not fit 64 bits"),
+    ('{"id":1,"ship":{"city":"Rome","door":1}}', "additional properties are not allowed: ship.door"),
+    ('{"id":1,"ship":{"city":"Rome"},"b":1,"a":2}', "additional properties are not allowed: a, b"),
+    ('{"id":1,"ship":{"city":"Rome","geo":{}}}', "'ship.geo.lat' is a required property"),
+    ('{"id":1,"ship":{"city":"Rome","geo":{"lat":-91}}}', "'ship.geo.lat' is less than the minimum of -90"),
+    ('{"id":1,"ship":{"city":"Rome","geo":{"lat":"x"}}}', "'ship.geo.lat' is not of type number"),
+    ('{"id":1,"gift":"no","ship":{"city":"Rome"}}', "'gift' is not of type boolean"),
+    ('{"id":1,"note":"x","ship":{"city":"Rome"}}', "'note' is too short"),
+    ('{"id":0,"ship":{"city":"Rome"}}', "'id' is less than the minimum of 1"),
+    ('{"id":1,"ship.city":1,"ship":{"city":"Rome"}}', "additional properties are not allowed: ship.city"),
+    ("[1]", "not of type object"), ("{", "not a JSON document"), ("", "not a JSON document"),
+]
+
+
+@pytest.mark.parametrize("open_", [False, True])
+def test_rules_from_schema_text(spark, open_):
+    """Nested and optional fields; with other keys allowed, only the complaints about them go."""
+    text = NESTED.replace('"additionalProperties": false, ', "") if open_ else NESTED
+    rules = schemas.rules_from(text)
+    df = spark.createDataFrame(DOCUMENTS, "text string, want string")
+    got = {r["text"]: r["error"] for r in validate.check(df, F.col("text"), rules).collect()}
+    want = {t: None if open_ and w and w.startswith("additional") else w for t, w in DOCUMENTS}
+    assert got == want
+    valid = validate.valid_only(df, F.col("text"), rules)
+    assert valid.schema == rules.schema and valid.count() == sum(w is None for w in want.values())
+    event = validate.check(df.where(F.col("text").contains("more")), F.col("text"), rules).first()["event"].asDict(recursive=True)
+    assert event == {"id": 7, "gift": True, "note": "ok", "ship": {"city": "Oslo", "floor": 2, "geo": {"lat": 5.0}}}
+
+
+def test_the_published_schemas(spark):
+    assert schemas.PAYMENT_RULES.schema == schemas.PAYMENT and schemas.PERSON_RULES.schema == schemas.PERSON_EVENT
+    assert [f.name for f in schemas.PAYMENT_RULES.fields] == schemas.PAYMENT.fieldNames() and schemas.PAYMENT_RULES.closed
+
+
+@pytest.mark.parametrize("change, complaint", [
+    (('"minimum": 1', '"multipleOf": 1'), r"\$\.id: keyword 'multipleOf'"), (('"minLength": 2', '"pattern": "x"'), r"\$\.note: keyword 'pattern'"),
+    (('"boolean"', '"array"'), r"\$\.gift: type 'array'"), (('["lat"]', '["lon"]'), r"\$\.ship\.geo: required property 'lon'"),
+    (('"enum": ["Rome", "Oslo"]', '"enum": ["Rome", 1]'), "'enum' is understood for strings"), (('"title"', '"oneOf"'), "keyword 'oneOf'"),
+    (('"additionalProperties": false, "required": ["id"', '"additionalProperties": {}, "required": ["id"'), "true or false only")])
+def test_what_is_not_understood_is_refused(change, complaint):
+    with pytest.raises(ValueError, match=complaint):
+        schemas.rules_from(NESTED.replace(*change, 1))
