@@ -96,6 +96,10 @@ def chain_interval_joins(streams: Sequence[tuple[DataFrame, str]], key: str, *,
         out = interval_join(out, right, [(key, f"_{name}_{key}")], left_time=anchor,
                             right_time=f"{name}_{time}", before_ms=before_ms,
                             after_ms=after_ms).drop(f"_{name}_{key}")
+        if df.isStreaming:
+            # A stream may have one event-time column: the first one's leads the next join, this one becomes a plain time.
+            own = f"{name}_{time}"
+            out = out.withColumn(own, F.timestamp_micros(F.unix_micros(F.col(own))))
     return out
 
 

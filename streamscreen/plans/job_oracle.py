@@ -7,8 +7,10 @@ from streamscreen.plans.oracle import (
     _HOT_TX,
     _NEWEST,
     _NUM,
+    _R1,
     _R1_RISK,
     _R2_RISK,
+    _R4,
     _R5_RISK,
     _SCORED,
     _SCREENED,
@@ -20,6 +22,7 @@ from streamscreen.plans.oracle import (
     _round,
     _rule,
     _total,
+    chained,
 )
 
 
@@ -68,6 +71,34 @@ _FILES = f"""{_SCORED}, numbered AS (
   SELECT id, row_number() OVER (PARTITION BY merchant_id ORDER BY id) + 1 AS row FROM pay)"""
 
 
+_LIVE = f"""WITH {_TX}, alerts AS (SELECT *, event_time AS alert_time FROM ({_R1} UNION ALL {_R4})),
+span AS (SELECT min(epoch_us(ts) // 1000) AS a, max(epoch_us(ts) // 1000) AS z FROM events),
+so_far AS (
+  SELECT CAST(p AS BIGINT) AS batch, alerts.*,
+         row_number() OVER (PARTITION BY p ORDER BY alert_time DESC, transaction_id DESC, rule_id DESC) AS place
+  FROM range(4) t(p), span, alerts WHERE p = 3 OR alert_time <= a + (z - a) * (p + 1) // 4),
+newest AS (SELECT * FROM so_far WHERE place <= 500),
+customers AS (
+  SELECT batch, customer_id, count(*) AS alert_count, {_round('max(risk_score)', 1)} AS max_risk, {_round('avg(risk_score)', 1)} AS avg_risk,
+         row_number() OVER (PARTITION BY batch ORDER BY {_round('max(risk_score)', 1)} DESC,
+                            min((alert_time, transaction_id, rule_id)), customer_id) AS place
+  FROM newest GROUP BY batch, customer_id),
+grid AS (SELECT batch, (max(alert_time) // 60000 - i) * 60000 AS minute_ms FROM so_far, range(1, 31) t(i) GROUP BY batch, i),
+minutes AS (SELECT grid.batch, minute_ms, count(alert_time) AS n FROM grid LEFT JOIN so_far
+            ON grid.batch = so_far.batch AND alert_time // 60000 * 60000 = minute_ms GROUP BY grid.batch, minute_ms),
+totals AS (SELECT batch, count(*) AS total, {_round('avg(risk_score)', 1)} AS risk, count(*) FILTER (WHERE risk_score >= 80) AS high,
+                  count(DISTINCT customer_id) AS customers, count(DISTINCT rule_id) AS rules FROM newest GROUP BY batch)
+SELECT batch, figure, key, CAST(value AS DOUBLE) AS value FROM (
+  SELECT batch, 'total_alerts' AS figure, '' AS key, total AS value FROM totals
+  UNION ALL SELECT batch, 'avg_risk_score', '', risk FROM totals UNION ALL SELECT batch, 'high_risk_count', '', high FROM totals
+  UNION ALL SELECT batch, 'flagged_customers', '', customers FROM totals UNION ALL SELECT batch, 'rules_fired', '', rules FROM totals
+  UNION ALL SELECT batch, 'alerts_of_rule', rule_id, count(*) FROM newest GROUP BY batch, rule_id
+  UNION ALL SELECT batch, 'alerts_in_minute', CAST(minute_ms AS VARCHAR), n FROM minutes
+  UNION ALL SELECT batch, 'customer_alert_count', customer_id, alert_count FROM customers WHERE place <= 10
+  UNION ALL SELECT batch, 'customer_max_risk', customer_id, max_risk FROM customers WHERE place <= 10
+  UNION ALL SELECT batch, 'customer_avg_risk', customer_id, avg_risk FROM customers WHERE place <= 10)"""
+
+
 def job_sql() -> dict[str, str]:
     return {
         "fraud_job": _JOB,
@@ -127,6 +158,16 @@ def job_sql() -> dict[str, str]:
         "snapshot_polls": """SELECT 'postgres-customer' AS topic, CAST(p AS BIGINT) AS poll, CAST(c_custkey AS VARCHAR) AS key,
             c_name AS said FROM customer, range(2) t(p)
             UNION ALL SELECT 'postgres-orders', p, CAST(o_orderkey AS VARCHAR), o_orderpriority FROM orders, range(2) t(p)""",
+        "snapshots_on_ticks": """SELECT 'postgres-customer' AS topic, CAST(p AS BIGINT) AS poll, CAST(c_custkey AS VARCHAR) AS key,
+            c_name || ' ' || p AS said FROM customer, range(3) t(p)""",
+        "lag_of_a_checkpoint": """WITH e AS (SELECT event_id, CAST(event_id % 3 AS INTEGER) AS p, epoch_us(ts) // 1000 AS ms FROM events),
+            half AS (SELECT min(ms) + (max(ms) - min(ms)) // 2 AS m FROM e)
+            SELECT 'events' AS topic, p AS "partition", max(event_id) AS last_offset,
+                   coalesce(max(event_id) FILTER (WHERE ms <= m) + 1, 0) AS next_offset,
+                   max(event_id) + 1 - coalesce(max(event_id) FILTER (WHERE ms <= m) + 1, 0) AS lag
+            FROM e, half GROUP BY p""",
+        "live_alert_figures": _LIVE,
+        "streamed_chained_joins": chained(),
         "new_customers_sent": """SELECT CAST(1 AS BIGINT) AS run, CAST(c_custkey AS VARCHAR) AS key, c_name AS name FROM customer""",
         "new_events_sent": """WITH b AS (SELECT min(epoch_us(ts) // 1000) AS a, max(epoch_us(ts) // 1000) AS z FROM events)
             SELECT CASE WHEN ms <= a + (z - a) // 3 THEN 0 WHEN ms <= a + (z - a) * 2 // 3 THEN 1 ELSE 2 END :: BIGINT AS run,

@@ -8,13 +8,14 @@ from pyspark.sql import types as T
 
 from streamscreen.functions.units import epoch_ms
 from streamscreen.operators import rules, stats, windows, words
+from streamscreen.operators.intervals import chain_interval_joins
 from streamscreen.plans import bindings as b
 from streamscreen.plans import card_fraud, payment_screening
 from streamscreen.plans.queries import ARRIVAL, DAY, _alerts, _drained, _kept, _stateful, register
 from streamscreen.schemas import APP_USER, PERSON_RULES, TRANSACTION
 from streamscreen.session import new_path
 from streamscreen.sources import catalog, jsonlines, relational, tabular, topics, validate
-from streamscreen.streaming import processors
+from streamscreen.streaming import live, processors, progress
 from streamscreen.streaming.jobs import (
     UNTIL_DRAINED,
     drain,
@@ -22,6 +23,7 @@ from streamscreen.streaming.jobs import (
     run_to_table,
     split_late,
     stop_after,
+    stop_after_batches,
 )
 
 #: What the alerts of the whole fraud job are stamped with.
@@ -311,6 +313,22 @@ def snapshot_polls(spark, sf):
     return _sent(spark, "customer", folder, "c_name").unionByName(_sent(spark, "orders", folder, "o_orderpriority"))
 
 
+@register
+def snapshots_on_ticks(spark, sf):
+    """Three polls on a tick; between them customers get other names. Content and poll of every record."""
+    folder, checkpoint, polls = new_path(spark, "topics"), new_path(spark, "ticks"), []
+
+    def read(name):
+        polls.append(name)
+        return b.table(spark, sf, name).withColumn("c_name", F.concat_ws(" ", "c_name", F.lit(len(polls) - 1)))
+
+    query = relational.publish_snapshots(
+        spark, read, {"customer": F.col("c_custkey")}, lambda name: topics.Topic(name, folder=folder), checkpoint, interval="4 seconds",
+        number=lambda r, poll: _positioned(r, F.lit(poll), F.timestamp_millis(F.lit(STAMP))))
+    stop_after_batches(query, 3)
+    return _sent(spark, "customer", folder, "c_name").where(F.col("poll") < 3)
+
+
 @register
 def new_customers_sent(spark, sf):
     """An empty table, then all customers, then the same ones again: each run sends the rows above the stored mark."""
@@ -338,6 +356,43 @@ def new_events_sent(spark, sf):
         F.get_json_object(F.col("value").cast("string"), "$.event_id").cast("bigint").alias("event_id"))
 
 
+@register
+def lag_of_a_checkpoint(spark, sf):
+    """Lag of a stream that has read the first half of a topic, by what its own checkpoint says."""
+    topic, out = topics.Topic("events", folder=new_path(spark, "topics")), new_path(spark, "streamed")
+    for half, part in enumerate(b.event_parts(spark, sf, 2)):
+        made = topics.record(part, key=F.col("user_id"), value=F.struct("event_id"), topic="events")
+        number = F.get_json_object(F.col("value").cast("string"), "$.event_id").cast("long")
+        placed = topics.numbered(made, 3, number, F.timestamp_millis(F.lit(STAMP))).withColumn("partition", (number % 3).cast("int"))
+        topics.write_batch(placed, topic)
+        if not half:
+            drain(run_to_table(topics.decode(topics.read_stream(spark, topic)), f"{out}/rows", f"{out}/checkpoint", trigger=UNTIL_DRAINED))
+    return topics.lag_behind(topics.read_batch(spark, topic), progress.committed_offsets(spark, f"{out}/checkpoint", topic))
+
+
+@register
+def live_alert_figures(spark, sf):
+    """The kept figures after each of four micro-batches."""
+    txns = b.transactions(spark, sf, b.event_stream(spark, sf, parts=4))
+    alerts = rules.alerts_of(txns, [rules.high_value(), rules.night_owl()]).drop("details").withColumn("alert_time", F.col("event_time"))
+    out = new_path(spark, "streamed")
+    drain(live.run_live_figures(alerts, f"{out}/checkpoint", f"{out}/figures", arrival=ARRIVAL, trigger=UNTIL_DRAINED))
+    return spark.read.parquet(f"{out}/figures").withColumn("batch", F.col("batch").cast("bigint"))
+
+
+@register
+def streamed_chained_joins(spark, sf):
+    """Five streams joined on the user within a day of the click, in one streaming plan of four stateful joins."""
+    path = new_path(spark, "event-files")
+    for part in b.event_parts(spark, sf, 2):
+        b.write_events(part, path)
+    parts = [(b.read_event_stream(spark, path).where(F.col("event_type") == kind).select("user_id", "event_id", "ts")
+              .withWatermark("ts", "5 seconds"), kind) for kind in ("click", "view", "purchase", "signup", "error")]
+    out = chain_interval_joins(parts, "user_id", time="ts", before_ms=DAY, after_ms=DAY)
+    return _drained(spark, out).select("user_id", "click_event_id", "view_event_id", "purchase_event_id", "signup_event_id",
+                                       "error_event_id")
+
+
 # Late rows and state -----------------------------------------------------------------------------
 
 def _late_stream(spark: SparkSession, sf: str, closed: bool) -> DataFrame:

@@ -25,6 +25,11 @@ def delete(spark: SparkSession, path: str) -> None:
     fs.delete(target, True)
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    fs, target = _file_system(spark, path)
+    return fs.exists(target)
+
+
 class Manifest:
     """Versions 1, 2, ... of a JSON object below ``path``; one writer at a time."""
 

@@ -10,7 +10,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from streamscreen.sources.topics import Topic, record, write_batch
+from streamscreen.sources.manifest import delete, exists
+from streamscreen.sources.topics import Topic, record, replace_part, write_batch
 
 
 @dataclass(frozen=True)
@@ -65,15 +66,27 @@ def publish_snapshot(read: Callable[[str], DataFrame], tables: Sequence[str], ta
         write_batch(number(as_records(read(table), table, prefix, key)), target(topic_name(table, prefix)))
 
 
-def publish_snapshots(spark: SparkSession, read: Callable[[str], DataFrame], tables: Sequence[str],
-                      target: Callable[[str], Topic], checkpoint: str, interval: str = "5 seconds", **options) -> StreamingQuery:
-    """Publish every row of the listed tables each ``interval``; every poll sends all rows again.
+def publish_snapshots(spark: SparkSession, read: Callable[[str], DataFrame], tables: Mapping[str, Column | None],
+                      target: Callable[[str], Topic], checkpoint: str, *, interval: str = "5 seconds", prefix: str = "postgres-",
+                      number: Callable[[DataFrame, int], DataFrame] = lambda r, _: r) -> StreamingQuery:
+    """Publish every row of the ``tables`` (name to key column) each ``interval``; every poll sends all rows again.
 
-    ``read`` may be ``partial(read_table, spark, db)`` or any other reader of a table's name.
+    ``read`` may be ``partial(read_table, spark, db)`` or any other reader of a table's name. Polls are numbered by ticks that are
+    replayed after a failure. What a poll has read is kept until the next one, so a poll that is repeated
+    sends the same records, and in a folder topic they replace those sent before.
     """
-    ticks = spark.readStream.format("rate").option("rowsPerSecond", "1").load()
-    return (ticks.writeStream.foreachBatch(lambda _tick, _batch: publish_snapshot(read, tables, target, **options))
-            .option("checkpointLocation", checkpoint).trigger(processingTime=interval).start())
+    def poll(_ticks: DataFrame, batch: int) -> None:
+        for table, key in tables.items():
+            kept = f"{checkpoint}-polls/poll={batch}/{table}"
+            if not exists(spark, f"{kept}/_SUCCESS"):
+                read(table).write.mode("overwrite").parquet(kept)
+            records = number(as_records(spark.read.parquet(kept), table, prefix, key), batch)
+            replace_part(records, target(topic_name(table, prefix)), f"poll-{batch:012d}")
+        delete(spark, f"{checkpoint}-polls/poll={batch - 1}")
+
+    ticks = (spark.readStream.format("rate-micro-batch").option("rowsPerBatch", "1").option("numPartitions", "1").load())
+    return (ticks.writeStream.foreachBatch(poll).option("checkpointLocation", checkpoint)
+            .trigger(processingTime=interval).start())
 
 
 def publish_new(spark: SparkSession, rows: DataFrame, table: str, column: str, target: Topic, marks: str, *,

@@ -63,7 +63,9 @@ def read_batch(spark: SparkSession, topic: Topic) -> DataFrame:
     """Everything the topic holds now."""
     if topic.servers:
         return spark.read.format("kafka").options(**kafka_options(topic)).load()
-    return spark.read.schema(schemas.TOPIC_RECORD).options(**topic.options).parquet(topic.path)
+    # Parts are sub-folders.
+    return (spark.read.schema(schemas.TOPIC_RECORD).option("recursiveFileLookup", "true").options(**topic.options)
+            .parquet(topic.path))
 
 
 def peek(spark: SparkSession, topic: Topic, n: int) -> DataFrame:
@@ -147,6 +149,14 @@ def write_batch(records: DataFrame, topic: Topic) -> None:
         records.select(*schemas.TOPIC_RECORD.fieldNames()).write.mode("append").parquet(topic.path)
 
 
+def replace_part(records: DataFrame, topic: Topic, part: str) -> None:
+    """Write records as a named part of a topic; in a folder they replace what the part held, so a repeated writer sends them once."""
+    if topic.servers:
+        write_batch(records, topic)
+    else:
+        records.select(*schemas.TOPIC_RECORD.fieldNames()).write.mode("overwrite").parquet(f"{topic.path}/{part}")
+
+
 def write_stream(records: DataFrame, checkpoint: str, *, servers: str | None = None,
                  folder: str | None = None, trigger: Mapping[str, object] | None = None,
                  options: Mapping[str, str] | None = None) -> StreamingQuery:

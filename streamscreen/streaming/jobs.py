@@ -66,6 +66,18 @@ def stop_after(query: StreamingQuery, rows: int, seconds: float = 900) -> Stream
     return query
 
 
+def stop_after_batches(query: StreamingQuery, batches: int, seconds: float = 300) -> StreamingQuery:
+    """Stop a query that never ends by itself once it has done ``batches`` micro-batches."""
+    end = time.monotonic() + seconds
+    while query.isActive and (query.lastProgress is None or query.lastProgress["batchId"] < batches - 1):
+        if time.monotonic() > end:
+            query.stop()
+            raise TimeoutError(f"fewer than {batches} micro-batches in {seconds} seconds")
+        time.sleep(0.2)
+    query.stop()
+    return query
+
+
 def split_late(df: DataFrame, at: str, delay: str, path: str, checkpoint: str, *,
                trigger: Mapping[str, object] | None = None) -> StreamingQuery:
     """Audit copy of a stream: each row with ``late``, true if it is more than ``delay`` behind the
@@ -92,10 +104,5 @@ def split_late(df: DataFrame, at: str, delay: str, path: str, checkpoint: str, *
             .trigger(**(trigger or EVERY_30_SECONDS)).start())
 
 
-def dropped_by_watermark(query: StreamingQuery) -> int:
-    """Rows that stateful operators refused as late, over the micro-batches that the query still reports (100 at most)."""
-    return sum(int(op["numRowsDroppedByWatermark"]) for p in query.recentProgress for op in p["stateOperators"])
-
-
 def read_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)

@@ -6,12 +6,12 @@ import pytest
 from pyspark.sql import functions as F
 
 from streamscreen import schemas
-from streamscreen.operators import rules, tables, windows
+from streamscreen.operators import rules, stats, tables, windows
 from streamscreen.operators.rules import Limits
 from streamscreen.plans import card_fraud, environment
-from streamscreen.sources import validate
+from streamscreen.sources import relational, topics, validate
 from streamscreen.sources.catalog import current_table, persist_table, push
-from streamscreen.streaming import jobs
+from streamscreen.streaming import jobs, live, progress
 from streamscreen.streaming.processors import bucket_totals, cool_off_stream, with_streaming_history
 from tests.conftest import rows
 
@@ -303,10 +303,113 @@ def test_dropped_rows_are_counted(spark, tmp_path):
     feed.add(txn(5, "C1", 1.0, 2_000_001))
     feed.add(txn(2, "C1", 1.0, 5), txn(3, "C1", 1.0, 4_000_000))
     spend = rules.spend_alerts(feed.transactions(spark).withWatermark("event_ts", "5 seconds"))
-    query = jobs.run_to_table(spend, str(tmp_path / "rows"), str(tmp_path / "cp"), trigger=DRAIN)
-    jobs.drain(query)
-    dropped = [sum(o["numRowsDroppedByWatermark"] for o in p["stateOperators"]) for p in query.recentProgress]
-    assert sum(dropped) == 1 == jobs.dropped_by_watermark(query)
+    log = progress.ProgressLog(spark, str(tmp_path / "progress"))
+    spark.streams.addListener(log)
+    try:
+        query = jobs.run_to_table(spend, str(tmp_path / "rows"), str(tmp_path / "cp"), trigger=DRAIN)
+        jobs.drain(query)
+        log.wait(query.runId)
+    finally:
+        spark.streams.removeListener(log)
+    written = progress.progress_rows(spark, str(tmp_path / "progress"))
+    assert progress.dropped_by_watermark(written).agg(F.sum("dropped")).first()[0] == 1
+    assert written.agg(F.sum("numInputRows")).first()[0] == 5
+
+
+def test_late_rows_of_more_batches_than_a_query_reports(spark, tmp_path):
+    """The log holds every batch; the rows behind the checkpoint's own watermarks are those that were dropped."""
+    feed = Feed(tmp_path / "in")
+    for i in range(14):
+        feed.add(txn(10 * i, "C1", 1.0, 100_000 * i), txn(10 * i + 1, "C2", 1.0, 100_000 * i - 70_000 * (i % 4)))
+    most = "spark.sql.streaming.numRecentProgressUpdates"
+    before = spark.conf.get(most)
+    spark.conf.set(most, "3")
+    log = progress.ProgressLog(spark, str(tmp_path / "progress"))
+    spark.streams.addListener(log)
+    try:
+        rows_ = feed.transactions(spark).withWatermark("event_ts", "5 seconds").dropDuplicates(["transaction_id", "event_ts"])
+        query = jobs.run_to_table(rows_, str(tmp_path / "rows"), str(tmp_path / "cp"), trigger=DRAIN)
+        jobs.drain(query)
+        log.wait(query.runId)
+    finally:
+        spark.streams.removeListener(log)
+        spark.conf.set(most, before)
+    assert len(query.recentProgress) <= 3
+    dropped = progress.dropped_by_watermark(progress.progress_rows(spark, str(tmp_path / "progress")))
+    batches = progress.batch_log(spark, str(tmp_path / "cp"))
+    assert dropped.count() == batches.count() >= 14 and batches.where("committed").count() == batches.count()
+    audit = str(tmp_path / "audit")
+    jobs.drain(jobs.run_idempotent(feed.transactions(spark), str(tmp_path / "cp2"), audit, trigger=DRAIN))
+    late = progress.late_rows(spark.read.parquet(audit), batches, F.col("event_ts"))
+    kept = spark.read.parquet(str(tmp_path / "rows"))
+    assert late.count() == dropped.agg(F.sum("dropped")).first()[0] == 28 - kept.count() > 3
+    assert not {r[0] for r in late.select("transaction_id").collect()} & {r[0] for r in kept.select("transaction_id").collect()}
+
+
+def test_live_figures_equal_the_batch_ones(spark, feed, tmp_path):
+    """After every micro-batch, also where it is repeated and where no alert comes."""
+    def alerts(streaming):
+        found = rules.alerts_of(feed.transactions(spark, streaming), [rules.high_value()])
+        return found.withColumn("alert_time", F.col("event_time"))
+
+    out, arrival = str(tmp_path / "out"), ("alert_time", "transaction_id")
+    jobs.drain(live.run_live_figures(alerts(True), str(tmp_path / "cp"), out, arrival=arrival, keep=6, ring=3, trigger=DRAIN))
+    got = spark.read.parquet(out)
+    assert got.select("batch").distinct().count() == 6
+    files = feed.lines(spark, False).select("value", F.col("_metadata.file_name").alias("file"))
+    for batch in range(6):
+        so_far = validate.parse_transactions(files.where(F.substring("file", 1, 4).cast("int") <= batch), F.col("value"))
+        found = rules.alerts_of(so_far, [rules.high_value()]).withColumn("alert_time", F.col("event_time"))
+        newest = stats.newest(found, 6, arrival)
+        own = {(r["figure"], r["key"]): r["value"] for r in got.where(F.col("batch") == batch).collect()}
+        total = stats.key_figures(newest).first()
+        assert (own["total_alerts", ""], own["avg_risk_score", ""], own["high_risk_count", ""]) == tuple(total)
+        assert {k: v for (f, k), v in own.items() if f == "alerts_of_rule"} == dict(map(tuple, stats.alerts_by_rule(newest).collect()))
+        now = newest.agg(F.max("alert_time")).first()[0]
+        want = stats.alerts_per_minute(found, F.lit(now), minutes=3).collect() if now else []
+        assert {k: v for (f, k), v in own.items() if f == "alerts_in_minute"} == {str(r["minute_ms"]): r["count"] for r in want}
+        top = {r["customer_id"]: r["max_risk"] for r in stats.top_customers(newest, arrival=arrival).collect()}
+        assert {k: v for (f, k), v in own.items() if f == "customer_max_risk"} == top
+
+
+def test_a_repeated_poll_sends_the_same(spark, tmp_path):
+    """A poll that fails after sending is repeated: it sends what it had read, though the table has changed since."""
+    reads, topic = [], topics.Topic("postgres-people", folder=str(tmp_path / "topics"))
+
+    def read(_name):
+        reads.append(1)
+        return spark.createDataFrame([(1, f"read {len(reads)}")], "id int, name string")
+
+    failed = []
+
+    def number(records, poll):
+        if poll == 1 and not failed:
+            failed.append(1)
+            topics.replace_part(topics.numbered(records, 1, F.lit(poll), F.current_timestamp()), topic, f"poll-{poll:012d}")
+            raise RuntimeError("lost after sending")
+        return topics.numbered(records, 1, F.lit(poll), F.current_timestamp())
+
+    def start():
+        return relational.publish_snapshots(spark, read, {"people": F.col("id")}, lambda _: topic, str(tmp_path / "cp"),
+                                            interval="3 seconds", number=number)
+
+    with pytest.raises(Exception, match="lost after sending"):
+        start().awaitTermination(120)
+    jobs.stop_after_batches(start(), 3, seconds=60)
+    sent = topics.read_batch(spark, topic).select("offset", F.get_json_object(F.col("value").cast("string"), "$.name").alias("name"))
+    assert rows(sent.where("offset < 3")) == [(0, "read 1"), (1, "read 2"), (2, "read 3")]
+
+
+def test_offsets_of_a_kafka_checkpoint(spark, tmp_path):
+    """The log's own offsets; an uncommitted batch does not count."""
+    for folder, files in {"offsets": {"0": '{"events":{"0":5,"1":7}}', "1": '{"events":{"0":9,"1":7}}'}, "commits": {"0": "{}"}}.items():
+        (tmp_path / folder).mkdir()
+        for name, text in files.items():
+            (tmp_path / folder / name).write_text(f'v1\n{{"batchWatermarkMs":{name}000}}\n{text}')
+    topic = topics.Topic("events", servers="broker:9092")
+    assert rows(progress.committed_offsets(spark, str(tmp_path), topic)) == [("events", 0, 5), ("events", 1, 7)]
+    assert rows(progress.batch_log(spark, str(tmp_path)), "batch", "watermark_ms", "committed") == [(0, 0, True), (1, 1000, False)]
+
 
 
 def test_odd_records_do_not_end_a_stream(spark, tmp_path):
