@@ -79,8 +79,8 @@ def batch_log(spark: SparkSession, checkpoint: str) -> DataFrame:
 
 
 def late_rows(rows: DataFrame, log: DataFrame, at: Column) -> DataFrame:
-    """The rows (with their ``batch``) that were behind the watermark that their micro-batch ran with."""
-    marks = log.select(F.col("batch").alias("_batch"), "watermark_ms")
+    """The rows (with their ``batch``) that a stateful operator refuses: behind the watermark with which the batch before theirs ran."""
+    marks = log.select((F.col("batch") + 1).alias("_batch"), "watermark_ms")
     # A row per micro-batch; joined by shuffle or broadcast as Spark sees fit.
     return rows.join(marks, F.col("batch") == F.col("_batch")).where(
         (F.col("watermark_ms") > 0) & (at <= F.timestamp_millis("watermark_ms"))).select(*rows.columns)
