@@ -100,6 +100,12 @@ def event_alerts(transactions: DataFrame, limits: Limits = Limits(), *, tie: Seq
     return alerts_of(history, [high_value(limits), velocity(limits), night_owl(limits), escalation(limits)])
 
 
+def _window_text(window: str) -> str:
+    """How a window's length reads in an alert: minutes as ``10-min``, anything else as it is given."""
+    number, _, unit = window.partition(" ")
+    return f"{number}-min" if unit in ("minute", "minutes") else window
+
+
 def spend_alerts(transactions: DataFrame, limits: Limits = Limits(), *,
                  order_by: Sequence[str] = ("event_time", "transaction_id"),
                  time: str = "event_ts") -> DataFrame:
@@ -119,7 +125,7 @@ def spend_alerts(transactions: DataFrame, limits: Limits = Limits(), *,
     start, end = epoch_ms(grouped, "_start"), epoch_ms(grouped, "_end")
     details = F.concat(
         F.col("_n").cast("string"), F.lit(" transactions totalling "), dollars(total),
-        F.lit(f" in {limits.spend_window} window "), span(start, end))
+        F.lit(f" in {_window_text(limits.spend_window)} window "), span(start, end))
     # NaN compares as larger than any number; a total that is none gives no alert.
     return grouped.where(~F.isnan(total) & (total > limits.spend_limit)).select(
         F.col("_last.transaction_id").alias("transaction_id"), "customer_id",

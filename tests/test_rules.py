@@ -51,7 +51,7 @@ def test_spend_window(spark):
     assert len(got) == 1
     assert (got[0]["risk_score"], got[0]["amount"], got[0]["transaction_id"], got[0]["city"]) == (
         64.0, 54000.0, "t5", "city5")
-    assert got[0]["details"] == (f"6 transactions totalling $54,000.00 in 10 minutes window "
+    assert got[0]["details"] == (f"6 transactions totalling $54,000.00 in 10-min window "
                                  f"[{T0} - {T0 + 600_000}]")
     split = txns(spark, [(f"t{i}", "C1", 9000, 597_000 + i * 1000) for i in range(6)])
     assert rules.spend_alerts(split).count() == 0
