@@ -43,12 +43,38 @@ def tables(spark):
     return docs, spark.createDataFrame([(i, t, "z") for i, t in ITEMS], "item_id long, text string, doc_id string")
 
 
-@pytest.mark.parametrize("block", [d.BLOCK, 7])
-def test_hits_match_brute_force(spark, block):
-    got = {r["doc_id"]: (r["n_words"], r["n_hit"], r["items"]) for r in d.contamination(*tables(spark), block=block).collect()}
+@pytest.mark.parametrize("limits", [{}, {"max_passages": 7}, {"max_bytes": 400}])
+def test_hits_match_brute_force(spark, limits):
+    got = {r["doc_id"]: (r["n_words"], r["n_hit"], r["items"]) for r in d.contamination(*tables(spark), **limits).collect()}
     assert got == {i: brute(t)[:3] for i, t in DOCS}
 
 
+def test_documents_are_read_once_and_no_words_are_shuffled(spark):
+    docs, items = tables(spark)
+    windows = d.benchmark_windows(items)
+    plan = d.hits(docs, windows, ["doc_id"])._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("BroadcastHashJoin") == 1
+    # The only exchanges are those of the relation.
+    above = plan[:plan.index("BroadcastExchange")]
+    assert "Exchange" not in above
+    many = d.hits(docs, windows, ["doc_id"], max_passages=7)._jdf.queryExecution().executedPlan().toString()
+    assert many.count("BroadcastHashJoin") == -(-windows.select("passage").distinct().count() // 7)
+
+
+def test_items_without_an_id_mark_words_but_are_not_listed(spark):
+    items = spark.createDataFrame([(None, "two words"), (8, "two words more")], "item_id long, text string")
+    docs = spark.createDataFrame([(1, "say two words"), (2, "two words more")], "doc_id long, text string")
+    got = {r["doc_id"]: (r["n_hit"], r["n_items"], r["items"]) for r in d.contamination(docs, items).collect()}
+    assert got == {1: (2, 0, []), 2: (3, 1, ["8"])}
+
+
+def test_one_passage_of_many_items(spark):
+    items = spark.range(3000).selectExpr("id AS item_id", "'an opening that all of them share' AS text")
+    docs = spark.createDataFrame([(1, "an opening that all of them share"), (2, "none")], "doc_id long, text string")
+    got = {r["doc_id"]: (r["n_hit"], r["n_items"]) for r in d.contamination(docs, items).collect()}
+    assert got == {1: (7, 3000), 2: (0, 0)}
+
+
 def test_documents_mode_drops_hit_documents(spark):
     docs, items = tables(spark)
     clean = [i for i, t in DOCS if not brute(t)[1]]
