@@ -160,6 +160,11 @@ def job_sql() -> dict[str, str]:
             UNION ALL SELECT 'postgres-orders', p, CAST(o_orderkey AS VARCHAR), o_orderpriority FROM orders, range(2) t(p)""",
         "snapshots_on_ticks": """SELECT 'postgres-customer' AS topic, CAST(p AS BIGINT) AS poll, CAST(c_custkey AS VARCHAR) AS key,
             c_name || ' ' || p AS said FROM customer, range(3) t(p)""",
+        "captured_customer_changes": """SELECT CAST(0 AS BIGINT) AS poll, c_custkey, 'insert' AS change, c_name FROM customer
+            UNION ALL SELECT 1, c_custkey, 'delete', c_name FROM customer WHERE c_acctbal < 0
+            UNION ALL SELECT 1, c_custkey, 'update', c_name || ' 1' FROM customer WHERE c_acctbal >= 0 AND c_mktsegment = 'BUILDING'
+            UNION ALL SELECT 2, c_custkey, 'insert', c_name FROM customer WHERE c_acctbal < 0
+            UNION ALL SELECT 2, c_custkey, 'update', c_name FROM customer WHERE c_acctbal >= 0 AND c_mktsegment = 'BUILDING'""",
         "lag_of_a_checkpoint": """WITH e AS (SELECT event_id, CAST(event_id % 3 AS INTEGER) AS p, epoch_us(ts) // 1000 AS ms FROM events),
             half AS (SELECT min(ms) + (max(ms) - min(ms)) // 2 AS m FROM e)
             SELECT 'events' AS topic, p AS "partition", max(event_id) AS last_offset,

@@ -329,6 +329,22 @@ def snapshots_on_ticks(spark, sf):
     return _sent(spark, "customer", folder, "c_name").where(F.col("poll") < 3)
 
 
+@register
+def captured_customer_changes(spark, sf):
+    """Three polls: all customers; debtors gone and builders renamed; all as before. What each poll found changed."""
+    out, polls = new_path(spark, "captured"), []
+    customer = b.table(spark, sf, "customer")
+    renamed = F.when(F.col("c_mktsegment") == "BUILDING", F.concat("c_name", F.lit(" 1"))).otherwise(F.col("c_name"))
+
+    def read():
+        polls.append(None)
+        return customer.where(F.col("c_acctbal") >= 0).withColumn("c_name", renamed) if len(polls) == 2 else customer
+
+    stop_after_batches(relational.capture_changes(spark, read, "c_custkey", f"{out}/checkpoint", f"{out}/rows", interval="4 seconds"), 3)
+    return spark.read.parquet(f"{out}/rows").where(F.col("poll") < 3).select(
+        F.col("poll").cast("long").alias("poll"), "c_custkey", "change", "c_name")
+
+
 @register
 def new_customers_sent(spark, sf):
     """An empty table, then all customers, then the same ones again: each run sends the rows above the stored mark."""

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from streamscreen.operators.tables import snapshot_changes
 from streamscreen.sources.manifest import delete, exists
 from streamscreen.sources.topics import Topic, record, replace_part, write_batch
 
@@ -89,6 +90,31 @@ def publish_snapshots(spark: SparkSession, read: Callable[[str], DataFrame], tab
             .trigger(processingTime=interval).start())
 
 
+def capture_changes(spark: SparkSession, read: Callable[[], DataFrame], key: str, checkpoint: str, path: str, *,
+                    interval: str = "5 seconds") -> StreamingQuery:
+    """Write what changed in a table with a unique ``key`` since the poll before to ``path``/poll=<number>, each ``interval``.
+
+    The first poll gives every row as an insert; deletes carry the row's last values. Polls are numbered by ticks that are
+    replayed after a failure, and the last two that were read are kept: a poll that is repeated compares the same rows and replaces what it
+    had written, and a restart goes on from the rows that were seen last. A column that is new is null in the rows before.
+    """
+    def kept(number: int) -> str:
+        return f"{checkpoint}-polls/poll={number}"
+
+    def poll(_ticks: DataFrame, batch: int) -> None:
+        if not exists(spark, f"{kept(batch)}/_SUCCESS"):
+            read().write.mode("overwrite").parquet(kept(batch))
+        new = spark.read.parquet(kept(batch))
+        old = new.where("false") if batch == 0 else spark.read.schema(new.schema).parquet(kept(batch - 1))
+        snapshot_changes(old, new, key).write.mode("overwrite").parquet(f"{path}/poll={batch}")
+        # The poll before is committed, so nobody compares with what came before it.
+        delete(spark, kept(batch - 2))
+
+    ticks = spark.readStream.format("rate-micro-batch").option("rowsPerBatch", "1").option("numPartitions", "1").load()
+    return (ticks.writeStream.foreachBatch(poll).option("checkpointLocation", checkpoint)
+            .trigger(processingTime=interval).start())
+
+
 def publish_new(spark: SparkSession, rows: DataFrame, table: str, column: str, target: Topic, marks: str, *,
                 prefix: str = "postgres-", key: Column | None = None,
                 number: Callable[[DataFrame], DataFrame] = lambda r: r) -> int | None:

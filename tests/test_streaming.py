@@ -430,3 +430,33 @@ def test_rows_can_be_limited_and_pushed(spark, tmp_path):
     feed.add(*[txn(i, "C1", 1.0, i) for i in range(20)])
     push(feed.transactions(spark).limit(10), "first_ten").awaitTermination()
     assert spark.table("first_ten").count() == 10
+
+
+def test_captured_changes_go_on_after_a_restart_and_repeat_alike(spark, tmp_path):
+    path, checkpoint, commits = str(tmp_path / "changes"), str(tmp_path / "cp"), tmp_path / "cp" / "commits"
+    states = [[(1, "a"), (2, "b")], [(1, "a"), (2, "c"), (3, None)], [(2, "c"), (3, "d")]]
+    now = {}
+
+    def polled():
+        return max(int(f.name) for f in commits.iterdir() if f.name.isdigit()) + 1
+
+    def run(state, polls):
+        now["rows"] = state
+        jobs.stop_after_batches(relational.capture_changes(
+            spark, lambda: spark.createDataFrame(now["rows"], "id long, name string"), "id", checkpoint, path, interval="2 seconds"), polls)
+
+    def changes(poll):
+        return sorted((r["id"], r["change"], r["name"]) for r in spark.read.parquet(f"{path}/poll={poll}").collect())
+
+    run(states[0], 1)
+    # The last poll is repeated, as after a failure before its commit, and compares the rows that it had read.
+    last = polled() - 1
+    before = changes(last)
+    for name in (f"{last}", f".{last}.crc"):
+        (commits / name).unlink(missing_ok=True)
+    # A poll that was broken off has read its rows already, so two more make sure that one reads anew.
+    run(states[1], last + 3)
+    assert changes(last) == before
+    run(states[2], polled() + 2)
+    assert [c for c in map(changes, range(polled())) if c] == [
+        [(1, "insert", "a"), (2, "insert", "b")], [(2, "update", "c"), (3, "insert", None)], [(1, "delete", "a"), (3, "update", "d")]]
