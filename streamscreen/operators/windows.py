@@ -110,3 +110,9 @@ def per_minute(df: DataFrame, time_ms: str, keys: Sequence[str] = ()) -> DataFra
         ms = epoch_ms(df, time_ms)
         minute = ms - F.pmod(ms, F.lit(60_000))
     return df.groupBy(minute.alias("minute_ms"), *keys).agg(F.count(F.lit(1)).alias("n"))
+
+
+def bucket_counts(df: DataFrame, key: str, time_ms: str, bucket_ms: int) -> DataFrame:
+    """Rows per key and time bucket (epoch ms of its start); batch or streaming, partly aggregated before rows are shuffled."""
+    bucket = F.col(time_ms) - F.pmod(F.col(time_ms), F.lit(bucket_ms))
+    return df.groupBy(F.col(key).alias("key"), bucket.alias("bucket_ms")).agg(F.count(F.lit(1)).alias("bucket_count"))
