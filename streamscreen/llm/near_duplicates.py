@@ -210,6 +210,24 @@ def _verified(members: DataFrame, n: int, threshold: float) -> DataFrame:
         run, "node bigint, parent bigint, linked bigint, linked_docs bigint")
 
 
+def _groups(candidates: DataFrame) -> DataFrame:
+    """(node, root) of the candidates (a, b), where b is the smallest of a bucket: the components.
+
+    A node needs one link, to the smallest b it knows; that b is linked to the other ones, which a large group shares. Only the b's go
+    through the rounds of ``components``: every other node goes with its own b.
+    """
+    known = durable(candidates.groupBy("a").agg(F.min("b").alias("b"), F.collect_set("b").alias("_all")), "near-candidates")
+    heads = known.select("b", F.explode("_all").alias("_other")).where(F.col("b") != F.col("_other")).distinct()
+    # A node that is the smallest of another bucket goes through the rounds, with its own link.
+    least = durable(known.select(F.explode("_all").alias("_head")).distinct(), "near-heads")
+    inner = known.join(least, F.col("a") == F.col("_head"), "left_semi").select("a", "b")
+    roots = components(heads.select(F.col("b").alias("a"), F.col("_other").alias("b")).unionByName(inner))
+    own = known.select(F.col("a").alias("node"), "b").unionByName(least.select(F.col("_head").alias("node"), F.col("_head").alias("b")))
+    led = own.groupBy("node").agg(F.min("b").alias("_led"))
+    named = roots.select(F.col("node").alias("_node"), F.col("root").alias("_root"))
+    return led.join(named, F.col("_led") == F.col("_node"), "left").select("node", F.coalesce("_root", "_led").alias("root"))
+
+
 def _members(docs: DataFrame, classes: DataFrame, groups: DataFrame, block: int) -> DataFrame:
     """The members of candidate groups with their texts, dealt to the tasks that verify them."""
     sizes = groups.groupBy("root").agg(F.count(F.lit(1)).alias("_size"))
@@ -243,7 +261,7 @@ def _classified(docs: DataFrame, n: int, threshold: float, recall: float, block:
     banded = classes.select(F.col("node").alias("a"), F.explode("bands").alias("_band"))
     buckets = banded.groupBy("_band").agg(F.min("a").alias("b"), F.count(F.lit(1)).alias("_n")).where(F.col("_n") > 1)
     candidates = banded.join(buckets, "_band").where(F.col("a") != F.col("b")).select("a", "b").distinct()
-    groups = components(candidates)
+    groups = _groups(candidates)
     found = durable(_verified(_members(docs, classes, groups, block), n, threshold), "near-links")
     roots = components(found.select(F.col("node").alias("a"), F.col("parent").alias("b")).where(F.col("a") != F.col("b")))
     counts = found.groupBy("node").agg(F.sum("linked_docs").alias("linked_docs"))
