@@ -173,7 +173,9 @@ def job_sql() -> dict[str, str]:
             FROM e, half GROUP BY p""",
         "live_alert_figures": _LIVE,
         "streamed_chained_joins": chained(),
-        "new_customers_sent": """SELECT CAST(1 AS BIGINT) AS run, CAST(c_custkey AS VARCHAR) AS key, c_name AS name FROM customer""",
+        "new_customers_sent": """SELECT CAST(CASE WHEN c_custkey <= m THEN 1 ELSE 2 END AS BIGINT) AS run,
+            CAST(c_custkey AS VARCHAR) AS key, c_name AS name
+            FROM customer, (SELECT (min(c_custkey) + max(c_custkey)) // 2 AS m FROM customer)""",
         "new_events_sent": """WITH b AS (SELECT min(epoch_us(ts) // 1000) AS a, max(epoch_us(ts) // 1000) AS z FROM events)
             SELECT CASE WHEN ms <= a + (z - a) // 3 THEN 0 WHEN ms <= a + (z - a) * 2 // 3 THEN 1 ELSE 2 END :: BIGINT AS run,
                    CAST(user_id AS VARCHAR) AS key, event_id FROM (SELECT *, epoch_us(ts) // 1000 AS ms FROM events), b""",

@@ -62,3 +62,9 @@ def test_words_of_a_table_of_several_files(spark, tmp_path):
     spark.createDataFrame([(1, "to be", "en", "s", 5), (2, "or not to be", "en", "s", 12)], docs).repartition(2).write.parquet(
         f"{tmp_path}/documents.parquet")
     assert rows(queries.streamed_word_counts(spark, str(tmp_path))) == [("be", 2), ("not", 1), ("or", 1), ("to", 2)]
+
+
+def test_customers_are_sent_in_runs(spark, tmp_path):
+    spark.sql("SELECT id AS c_custkey, concat('n', id) AS c_name FROM range(1, 6)").write.parquet(f"{tmp_path}/customer.parquet")
+    assert rows(job_queries.new_customers_sent(spark, str(tmp_path)), "run", "key") == [
+        (1, "1"), (1, "2"), (1, "3"), (2, "4"), (2, "5")]
