@@ -131,6 +131,19 @@ def numbered_records(spark: SparkSession, path: str, separator: str = ",") -> Da
     return plain.unionByName(records.select(F.concat_ws("\n", "_lines.value").alias("value"), "source", "row"))
 
 
+def numbered_through(rows: DataFrame, spark: SparkSession, path: str, of: Column) -> DataFrame:
+    """``rows`` (source, row) of files that are parts of one, in the order of their names: ``row`` counts on from part to part.
+
+    ``of`` tells from ``source`` which file a part belongs to. Totals are one row for each part.
+    """
+    totals = spark.read.text(path).groupBy(F.col("_metadata.file_path").alias("source")).agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.partitionBy("_of").orderBy("source").rowsBetween(Window.unboundedPreceding, -1)
+    starts = durable(totals.withColumn("_of", of).select(
+        F.col("source").alias("_part"), F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start")), "file-starts")
+    joined = rows.join(F.broadcast(starts) if small_enough(starts) else starts, F.col("source") == F.col("_part"))
+    return joined.withColumn("row", F.col("row") + F.col("_start")).select(*rows.columns)
+
+
 def read_payment_rows(spark: SparkSession, path: str, separator: str = ",") -> DataFrame:
     """Rows of CSV files, each field as text, with ``source`` and ``row``, the number of a row's first line.
 

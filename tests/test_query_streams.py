@@ -68,3 +68,23 @@ def test_customers_are_sent_in_runs(spark, tmp_path):
     spark.sql("SELECT id AS c_custkey, concat('n', id) AS c_name FROM range(1, 6)").write.parquet(f"{tmp_path}/customer.parquet")
     assert rows(job_queries.new_customers_sent(spark, str(tmp_path)), "run", "key") == [
         (1, "1"), (1, "2"), (1, "3"), (2, "4"), (2, "5")]
+
+
+def test_lines_are_numbered_through_the_files_of_a_language(spark, tmp_path, monkeypatch):
+    docs = "doc_id bigint, text string, lang string, source string, n_chars bigint"
+    made = [(i, 'a "b"\n\nc' if i % 3 else "d", "en" if i % 4 else None, "s", 1) for i in range(60)]
+    spark.createDataFrame(made, docs).write.parquet(f"{tmp_path}/documents.parquet")
+    monkeypatch.setattr(job_queries, "new_path", lambda _spark, _label: f"{tmp_path}/csv")
+    coalesce = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(coalesce, "false")
+    try:
+        got = rows(job_queries.quoted_line_breaks(spark, str(tmp_path)), "file", "doc_id", "row")
+    finally:
+        spark.conf.unset(coalesce)
+    assert len(spark.read.text(f"{tmp_path}/csv").inputFiles()) > 2
+    expected, lines = [], {}
+    for i, text, lang, *_ in made:
+        file = lang or "none"
+        expected.append((file, i, lines.get(file, 0) + 1))
+        lines[file] = lines.get(file, 0) + text.count("\n") + 1
+    assert got == sorted(expected, key=repr)
