@@ -88,3 +88,20 @@ def test_lines_are_numbered_through_the_files_of_a_language(spark, tmp_path, mon
         expected.append((file, i, lines.get(file, 0) + 1))
         lines[file] = lines.get(file, 0) + text.count("\n") + 1
     assert got == sorted(expected, key=repr)
+
+
+def paired(spark, tmp_path, monkeypatch):
+    """Two groups of 20 events at one instant each, a forecast's lead apart; the folder where the queries write is given too."""
+    made = [(i, datetime(2024, 1, 1) + timedelta(minutes=17 * (i // 20)), i % 2, "click", 1.0, '{"k": 1}') for i in range(40)]
+    spark.createDataFrame(made, bindings.EVENTS_SCHEMA).write.parquet(f"{tmp_path}/events.parquet")
+    spark.sql("SELECT id AS c_custkey, id * 0 AS c_nationkey, concat('n', id) AS c_name, 1.0D AS c_acctbal FROM range(2)").write.parquet(
+        f"{tmp_path}/customer.parquet")
+    spark.sql("SELECT 0L AS n_nationkey, 'N' AS n_name").write.parquet(f"{tmp_path}/nation.parquet")
+    monkeypatch.setattr(queries, "new_path", lambda _spark, label: f"{tmp_path}/{label}")
+    return str(tmp_path), f"{tmp_path}/streamed/rows"
+
+
+def test_streamed_dashboard_writes_blocks_not_pairs(spark, tmp_path, monkeypatch):
+    sf, out = paired(spark, tmp_path, monkeypatch)
+    assert queries.streamed_dashboard(spark, sf).count() == 1600
+    assert spark.read.parquet(out).count() <= 16
