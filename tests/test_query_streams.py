@@ -105,3 +105,9 @@ def test_streamed_dashboard_writes_blocks_not_pairs(spark, tmp_path, monkeypatch
     sf, out = paired(spark, tmp_path, monkeypatch)
     assert queries.streamed_dashboard(spark, sf).count() == 1600
     assert spark.read.parquet(out).count() <= 16
+
+
+def test_streamed_comparison_writes_blocks_not_pairs(spark, tmp_path, monkeypatch):
+    sf, out = paired(spark, tmp_path, monkeypatch)
+    assert queries.streamed_sensor_against_forecast(spark, sf).count() == 400
+    assert spark.read.parquet(out).count() <= 16
