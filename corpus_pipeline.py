@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from streamscreen.llm import decontaminate, near_duplicates, pieces, pii, quality_rules
 from streamscreen.llm.common import table
 from streamscreen.llm.queries import may_learn
-from streamscreen.session import discard, durable, temporary_tables
+from streamscreen.session import arrow_rows, discard, durable, temporary_tables
 
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -36,8 +36,10 @@ def redact_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, lang, source and the pieces of each text."""
-    return pieces.encode(docs.select("doc_id", "lang", "source", "text")).select(
+    made = pieces.encode(docs.select("doc_id", "lang", "source", "text")).select(
         "doc_id", "lang", "source", "n_pieces", "ids", "restored")
+    with arrow_rows(spark):
+        return durable(made, "pipeline-pieces")
 
 
 STAGES = [

@@ -1,10 +1,27 @@
-"""What the operators share: reading tables, held-out rows, bounded samples."""
+"""What the operators share: reading tables, held-out rows, bounded samples, what a Python worker remembers."""
 
 from __future__ import annotations
 
+from collections.abc import Callable, Hashable
+from typing import TypeVar
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+Memory = TypeVar("Memory")
+_REMEMBERED: dict[Hashable, object] = {}
+
+
+def remembered(owner: Hashable, make: Callable[[], Memory]) -> Memory:
+    """What ``owner`` remembers in this Python worker from batch to batch, made where it is missing.
+
+    Workers live on from stage to stage, so what another owner left is forgotten first: a worker holds one at a time.
+    """
+    if owner not in _REMEMBERED:
+        _REMEMBERED.clear()
+        _REMEMBERED[owner] = make()
+    return _REMEMBERED[owner]
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

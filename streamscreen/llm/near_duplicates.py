@@ -32,9 +32,9 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from streamscreen.llm.common import join_counted
+from streamscreen.llm.common import join_counted, remembered
 from streamscreen.llm.components import components
-from streamscreen.session import durable
+from streamscreen.session import arrow_rows, durable
 
 N, THRESHOLD, RECALL, MAX_HASHES = 5, 0.8, 0.9999, 128
 BLOCK = 256
@@ -70,7 +70,8 @@ class _Words(dict):
         return value
 
 
-_words = _Words()
+def _words() -> _Words:
+    return remembered("n-gram words", _Words)
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -83,7 +84,7 @@ def gram_set(text: str | None, n: int = N) -> np.ndarray:
     words = _WORD.findall(text.lower()) if text else []
     if not words:
         return np.empty(0, dtype=np.uint64)
-    hashed = np.fromiter(map(_words.__getitem__, words), dtype=np.uint64, count=len(words))
+    hashed = np.fromiter(map(_words().__getitem__, words), dtype=np.uint64, count=len(words))
     n = min(n, len(words))
     grams = hashed[:len(words) - n + 1].copy()
     for k in range(1, n):
@@ -135,11 +136,12 @@ def scan(docs: DataFrame, n: int, bands: int, rows: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("text_key"), pa.array(keys, pa.binary()),
                  pa.array(found, pa.list_(pa.int64()))], ["doc_id", "text_key", "set_key", "bands"])
-        _words.clear()  # the worker lives on, and later stages need its memory
+        _words().clear()  # the worker lives on, and later stages need its memory
 
     made = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), _text_key().alias("text_key"), "text").mapInArrow(
         run, "doc_id bigint, text_key bigint, set_key binary, bands array<bigint>")
-    return durable(made, "near-scan")
+    with arrow_rows(docs.sparkSession):
+        return durable(made, "near-scan")
 
 
 def _shared(sets: list[np.ndarray]) -> np.ndarray:
@@ -203,6 +205,7 @@ def _verified(members: DataFrame, n: int, threshold: float) -> DataFrame:
             if len(own) > 1:
                 rows = sorted(own.values(), key=lambda r: r[0])
                 found += links([r[0] for r in rows], [r[3] for r in rows], [r[2] for r in rows], [r[1] for r in rows], threshold)
+        _words().clear()
         return pa.table({name: pa.array([f[i] for f in found], pa.int64())
                          for i, name in enumerate(("node", "parent", "linked", "linked_docs"))})
 
@@ -262,7 +265,9 @@ def _classified(docs: DataFrame, n: int, threshold: float, recall: float, block:
     buckets = banded.groupBy("_band").agg(F.min("a").alias("b"), F.count(F.lit(1)).alias("_n")).where(F.col("_n") > 1)
     candidates = banded.join(buckets, "_band").where(F.col("a") != F.col("b")).select("a", "b").distinct()
     groups = _groups(candidates)
-    found = durable(_verified(_members(docs, classes, groups, block), n, threshold), "near-links")
+    members = _members(docs, classes, groups, block)
+    with arrow_rows(docs.sparkSession):
+        found = durable(_verified(members, n, threshold), "near-links")
     roots = components(found.select(F.col("node").alias("a"), F.col("parent").alias("b")).where(F.col("a") != F.col("b")))
     counts = found.groupBy("node").agg(F.sum("linked_docs").alias("linked_docs"))
     linked = classes.select("set_key", "node", "representative", "copies").join(counts.join(roots, "node", "left").withColumnRenamed(

@@ -36,6 +36,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from streamscreen.llm.common import remembered
+
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MAX_MODEL_BYTES = 64 << 20
 MARK = "▁"
@@ -232,14 +234,9 @@ class Vocabulary:
         return text[1:] if self.dummy_prefix and text.startswith(" ") else text
 
 
-_VOCABULARIES: dict[int, Vocabulary] = {}
-
-
 def _vocabulary(data: bytes) -> Vocabulary:
     """One for each Python worker, with what it remembers."""
-    if hash(data) not in _VOCABULARIES:
-        _VOCABULARIES[hash(data)] = Vocabulary.parse(data)
-    return _VOCABULARIES[hash(data)]
+    return remembered(("pieces", hash(data)), lambda: Vocabulary.parse(data))
 
 
 def _shared_model(df: DataFrame, path: str):
