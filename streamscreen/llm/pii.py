@@ -78,12 +78,11 @@ def _valid(kind: str, found: Column) -> Column:
 
 
 def _placed(text: Column, pattern: str, keep, made) -> Column:
-    """``made(match, start, gap before, gap after)`` for each match that ``keep`` accepts, in order."""
-    gaps, found = F.split(text, pattern, -1), F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    parts = F.zip_with(F.slice(gaps, 1, F.size(found)), found, lambda g, m: F.struct(g.alias("gap"), m.alias("match")))
-    parts = F.transform(parts, lambda p, i: F.struct(
-        p["gap"].alias("gap"), p["match"].alias("match"), F.get(gaps, i + 1).alias("after"),
-        keep(p["match"]).alias("keep")))
+    """``made(match, start, gap before, gap after)`` for each match that ``keep`` accepts, in order.
+
+    A text is cut once, not again for each match, and only if there is one: what stands within a lambda is worked out for
+    every element.
+    """
     blank = F.struct(F.lit("").alias("gap"), F.lit("").alias("match"), F.lit("").alias("after"), F.lit(False).alias("keep"))
     kind = F.filter(F.array(made(blank, F.lit(0))), lambda _: F.lit(False))
     begin = F.struct(F.lit(0).alias("at"), kind.alias("out"))
@@ -93,7 +92,17 @@ def _placed(text: Column, pattern: str, keep, made) -> Column:
         out = F.when(p["keep"], F.concat(acc["out"], F.array(made(p, start)))).otherwise(acc["out"])
         return F.struct((start + F.length(p["match"])).alias("at"), out.alias("out"))
 
-    return F.aggregate(parts, begin, step, lambda acc: acc["out"])
+    def placed(cut: Column) -> Column:
+        gaps, found = cut["gaps"], cut["found"]
+        parts = F.zip_with(F.slice(gaps, 1, F.size(found)), found, lambda g, m: F.struct(g.alias("gap"), m.alias("match")))
+        parts = F.zip_with(parts, F.slice(gaps, 2, F.size(found)), lambda p, after: F.struct(
+            p["gap"].alias("gap"), p["match"].alias("match"), after.alias("after"), keep(p["match"]).alias("keep")))
+        return F.aggregate(parts, begin, step, lambda acc: acc["out"])
+
+    found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+    cut = F.transform(F.filter(F.array(found), lambda f: F.size(f) > 0),
+                      lambda f: F.struct(F.split(text, pattern, -1).alias("gaps"), f.alias("found")))
+    return F.coalesce(F.get(F.transform(cut, placed), F.lit(0)), kind)
 
 
 def _span(kind: str, start: Column, end: Column) -> Column:
