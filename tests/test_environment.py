@@ -93,6 +93,36 @@ def test_interval_join_equals_brute_force(spark):
         assert rows(got, "l", "r") == expected
 
 
+def test_spread_join_equals_brute_force(spark):
+    """Groups above the limit on the left, on the right and on both sides, repeated rows, null keys and times."""
+    left = [("hot" if i % 3 else "cold", (i * 37) % 1000 - 500) for i in range(60)] + [("many", 5)] * 9 + [(None, 1), ("hot", None)]
+    right = [("hot" if i % 2 else "cold", (i * 53) % 1000 - 500) for i in range(60)] + [("many", 6)] * 2 + [(None, 1), ("hot", None)]
+    l = spark.createDataFrame([(k, t, i % 65) for i, (k, t) in enumerate(left)], "k string, lt long, l int")
+    r = spark.createDataFrame([(k, t, i) for i, (k, t) in enumerate(right)], "k2 string, rt long, r int")
+    for before, after, piece_rows in ((0, 0, 1), (25, 25, 3), (0, 90, 5), (300, 0, 4096)):
+        settings = {"left_time": "lt", "right_time": "rt", "before_ms": before, "after_ms": after}
+        got = intervals.spread_interval_join(l, r, [("k", "k2")], piece_rows=piece_rows, **settings)
+        expected = sorted(((k, t, i % 65, k2, u, j) for i, (k, t) in enumerate(left) for j, (k2, u) in enumerate(right)
+                           if k and k == k2 and None not in (t, u) and u - before <= t <= u + after), key=repr)
+        assert got.columns == [*l.columns, *r.columns] and rows(got) == expected and expected
+
+
+def test_pairs_of_one_key_and_hour_are_made_by_many_tasks(spark):
+    """However few bytes are read, and also where they are all of one key and bucket, no task makes most of the pairs."""
+    readings = spark.range(300).selectExpr("concat('s', id) AS sensor_id", "'Rome' AS location", "id AS at", "1.0D AS temperature_fahrenheit",
+                                           "1.0D AS humidity_percent", "1.0D AS pressure_hpa", "1 AS air_quality_index", "'x' AS air_quality_status")
+    forecasts = spark.range(300).selectExpr("'Rome' AS city", "id AS at", "1 AS temperature_f", "'s' AS short_forecast", "'w' AS wind_speed")
+    table = spark.sql("SELECT 1 AS user_id, 'n' AS username, 'e' AS email, 'Rome' AS city, 'X' AS state")
+    one = intervals.spread_interval_join(readings, forecasts.withColumnsRenamed({"at": "w_at"}), [("location", "city")], left_time="at",
+                                         right_time="w_at", before_ms=1000, after_ms=1000, piece_rows=30)
+    tasks = rows(one.groupBy(F.spark_partition_id()).count().select("count"))
+    assert sum(n for n, in tasks) == 90_000 and len(tasks) > 8 and max(tasks)[0] <= 30_000
+    for made in (environment.complete_dashboard, environment.short_dashboard):
+        hours = readings.withColumn("at", F.col("sensor_id").substr(2, 9).cast("long") * 10_000_000)
+        pairs = made(hours, table, forecasts.withColumn("at", F.col("at") * 10_000_000), sensor_time="at", weather_time="at")
+        assert pairs.rdd.getNumPartitions() > 8 and pairs.count() == 300
+
+
 def test_dashboard_three_way(spark, users):
     table = tables.users_table(users)
     readings = sensors(spark, [("s", "Miami", 0, 151, 50, 10), ("s", "Nowhere", 0, 1, 50, 10)])
