@@ -65,6 +65,9 @@ def odd_tables(spark, tmp_path):
     spark.createDataFrame(rows, schema).write.parquet(f"{tmp_path}/t/documents.parquet")
     for name in ("benchmark", "labels", "conversations"):
         table(spark, SMALL, name).where("false").write.parquet(f"{tmp_path}/t/{name}.parquet")
+    # As many vectors as documents: op11 has a row for each of them.
+    vectors = [(i, [float(i % 3 + k) for k in range(8)], i % 2 or None) for i in range(len(rows))]
+    spark.createDataFrame(vectors, "vec_id bigint, embedding array<float>, label int").write.parquet(f"{tmp_path}/t/embeddings.parquet")
     return f"{tmp_path}/t"
 
 
@@ -76,6 +79,8 @@ def test_odd_tables(spark, odd_tables):
             assert [r["conv_id"] for r in got] == [-1]
         elif name.startswith("op5"):
             assert len(got) == len({r["doc_id"] for r in table(spark, odd_tables, "documents").collect()})
+        elif name.startswith("op12"):
+            assert got == [], "there are no items to search for"
         elif not name.startswith("op10"):
             assert len(got) == rows, name
     ends = corpus_pipeline.run(spark, odd_tables).collect()
@@ -83,7 +88,7 @@ def test_odd_tables(spark, odd_tables):
 
 
 def test_empty_documents(spark, odd_tables, tmp_path):
-    for name in ("documents", "benchmark", "labels", "conversations"):
+    for name in ("documents", "benchmark", "labels", "conversations", "embeddings"):
         table(spark, odd_tables, name).where("false").write.parquet(f"{tmp_path}/e/{name}.parquet")
     for name, query in REGISTRY.items():
         assert len(query(spark, f"{tmp_path}/e").collect()) == (1 if name.startswith("op4") else 0), name
